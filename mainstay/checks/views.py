@@ -224,7 +224,7 @@ VIEWS["liner_prices"] = _rates("max_diameter price", (8, 40), (15, 66), (30, 140
 VIEWS["cleaning_prices"] = _rates("max_diameter price", (12, 3), (24, 5), (90, 9))
 
 VIEWS["rosetta"] = """
-SELECT DISTINCT p_type AS category, CASE WHEN p_type LIKE '%STEEL' THEN 'rigid' WHEN p_type LIKE '%TIN' THEN 'flex' WHEN p_type LIKE '%BRASS' THEN 'lined' ELSE 'none' END AS curve
+SELECT DISTINCT p_type AS category, CASE WHEN p_type < 'F' THEN 'rigid' WHEN p_type < 'N' THEN 'flex' WHEN p_type < 'S' THEN 'lined' ELSE 'none' END AS curve
 FROM part
 """
 VIEWS["bands"] = """
@@ -299,7 +299,7 @@ FROM fin f
 
 
 def _uses(text: str, names: list[str]) -> list[str]:
-    return [n for n in names if re.search(rf"(?i)\b(?:from|join)\s+{n}\b", text)]
+    return [n for n in names if re.search(rf"(?i)\b(?:from|join)\s+\(?{n}\b", text)]
 
 
 def prelude(sql: str) -> str:
