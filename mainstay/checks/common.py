@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mainstay.checks.views import Inputs
@@ -18,14 +18,10 @@ SEVERE = [1003, 1007, 1011, 1013, 1019, 1023, 1029, 1031, 1037, 1041, 1047, -1,
 SEVERE_SQL = "(1003, 1007, 1011, 1013, 1019, 1023, 1029, 1031, 1037, 1041, 1047)"
 
 
-def r(name: str, digits: int = 4) -> Column:
-    """Rounded column under its own name; the sum with 0 turns -0.0 into 0.0."""
-    return (F.round(F.col(name), digits) + F.lit(0.0)).alias(name)
+# Added before rounding money on both sides, so that exact halves fall the same way.
+NUDGE = 1e-7
 
 
-def rounded(df: DataFrame, names: list[str], digits: int = 4) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n), digits) + F.lit(0.0) for n in names})
-
-
-def longs(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("long") for n in names})
+def rounded(df: DataFrame, names: list[str], digits: int = 4, nudge: float = 0.0) -> DataFrame:
+    """Columns rounded in place; the sum with 0 turns -0.0 into 0.0."""
+    return df.withColumns({n: F.round(F.col(n) + F.lit(nudge), digits) + F.lit(0.0) for n in names})

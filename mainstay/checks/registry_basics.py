@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mainstay.checks.common import AS_OF, Query, longs, r, rounded
+from mainstay.checks.common import AS_OF, Query, rounded
 from mainstay.functions.scalar import append_note, flag, is_unit_id, normal_cdf, same_text
 from mainstay.operators import condition as C
 from mainstay.operators import decision as D
 from mainstay.operators.intervals import overlap_join, point_in_segment
 from mainstay.operators.lookups import band_lookup, ceiling_lookup, floor_lookup
-from mainstay.operators.skew import attach, hot_keys
+from mainstay.operators.skew import attach
 from mainstay.operators.tables import (
     accumulate_layers, copy_segments_to_whole, copy_whole_to_segments, job_cost_agg, latest_inspections, masked_max,
     masked_sum, rows_at_max, sandwich, shares_node, with_updates,
@@ -98,7 +98,7 @@ WHERE a.compkey IS NULL AND b.compkey IS NULL
 
 def _pairs(variant):
     def run(v):
-        hot = hot_keys(v("latest"), ["compkey"])
+        hot = v.hot("latest")
         pairs = overlap_join(v("seg").select("id", "compkey", "fm", "to_"), v("latest").select("compkey", "obskey", "distfrom", "distto"), variant, hot=hot)
         return pairs.select("id", "obskey", "distfrom", "distto")
 
@@ -183,7 +183,7 @@ AND EXISTS (SELECT 1 FROM whole d WHERE d.grade_h5 >= 2 AND d.usnode = m.dsnode)
 
 
 def _both_ways(v):
-    hot = hot_keys(v("seg"), ["compkey"])
+    hot = v.hot("seg")
     down = copy_whole_to_segments(v("seg").select("id", "compkey", "length"), v("whole"), ["grade_h5"], hot)
     up = copy_segments_to_whole(v("whole").select("compkey", "length"), v("seg"), {"length": F.max("length"), "cuts": F.count(F.lit(1))})
     return down.join(up.select("compkey", F.col("length").alias("longest"), "cuts"), "compkey").select("id", "length", "grade_h5", "longest", "cuts")
@@ -196,7 +196,7 @@ JOIN (SELECT compkey, max(length) AS longest, count(*) AS cuts FROM seg GROUP BY
 """
 
 Q["j12_join_on_other_rows_value"] = lambda v: (
-    attach(v("scored").select("id", "compkey", "fail_yr_seg"), v("pipe").select("compkey", F.col("fail_yr").alias("first_failure")), "compkey", "inner", hot_keys(v("scored"), ["compkey"]))
+    attach(v("scored").select("id", "compkey", "fail_yr_seg"), v("pipe").select("compkey", F.col("fail_yr").alias("first_failure")), "compkey", "inner", v.hot("scored"))
     .filter(F.col("fail_yr_seg") <= F.col("first_failure") + 30).groupBy("compkey").agg(F.count(F.lit(1)).alias("rows"))
 )
 SQL["j12_join_on_other_rows_value"] = """
@@ -219,7 +219,7 @@ WHERE trim(lower(x.us_node)) <> trim(lower(y.us_node)) AND trim(lower(x.ds_node)
 """
 
 Q["j14_update_from_join"] = lambda v: with_updates(
-    v("seg").select("id", "compkey", "material"), v("chg"), ["compkey"], {"material": "chdetail"}, hot_keys(v("seg"), ["compkey"])
+    v("seg").select("id", "compkey", "material"), v("chg"), ["compkey"], {"material": "chdetail"}, v.hot("seg")
 ).select("id", "material")
 SQL["j14_update_from_join"] = """
 SELECT s.id, CASE WHEN c.compkey IS NULL THEN s.material ELSE c.detail END AS material
@@ -239,7 +239,7 @@ SELECT compkey, type, round(sum(capitalnonmobilization) + max(capitalmobilizatio
 FROM jobs GROUP BY compkey, type
 """
 
-Q["a5_rows_at_max"] = lambda v: rows_at_max(v("chg"), ["compkey"], "distto", hot_keys(v("chg"), ["compkey"])).select("compkey", "chdetail", "distto")
+Q["a5_rows_at_max"] = lambda v: rows_at_max(v("chg"), ["compkey"], "distto", v.hot("chg")).select("compkey", "chdetail", "distto")
 SQL["a5_rows_at_max"] = """
 SELECT c.compkey, c.chdetail, c.distto FROM chg c JOIN (SELECT compkey, max(distto) AS far FROM chg GROUP BY compkey) m ON m.compkey = c.compkey AND m.far = c.distto
 """
@@ -265,7 +265,7 @@ SELECT compkey, max(x) AS best, min(x) AS worst FROM (SELECT compkey, nbcr_oc_oc
   UNION ALL SELECT compkey, nbcr_sp_cipp FROM ratios) u GROUP BY compkey
 """
 
-Q["w1_latest_inspection"] = lambda v: latest_inspections(v("insp"), hot_keys(v("insp"), ["compkey"])).select("inspkey", "compkey", "compdttm")
+Q["w1_latest_inspection"] = lambda v: latest_inspections(v("insp"), v.hot("insp")).select("inspkey", "compkey", "compdttm")
 SQL["w1_latest_inspection"] = """
 SELECT inspkey, compkey, compdttm FROM (SELECT *, rank() OVER (PARTITION BY compkey ORDER BY compdttm DESC NULLS LAST) AS place FROM insp) x WHERE place = 1
 """

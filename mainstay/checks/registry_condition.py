@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mainstay.checks.common import AS_OF, Query, YEAR, longs, rounded
+from mainstay.checks.common import AS_OF, Query, YEAR, rounded
 from mainstay.operators import condition as C
 from mainstay.operators import material as M
-from mainstay.operators.skew import hot_keys
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -16,7 +15,7 @@ STRUCTURAL = ["BP", "BRK", "CR", "DS"]
 
 
 def _hot(v, name="seg"):
-    return hot_keys(v(name), ["compkey"])
+    return v.hot(name)
 
 
 def _codes(v):
@@ -104,14 +103,12 @@ Q["d6_linear_defect_scores"] = _lines
 SQL["d6_linear_defect_scores"] = LINES_SQL
 
 
-def _scored(v):
-    return C.apply_scores(v("seg"), _points(v), _lines(v))
-
-
 def _apply(v):
     cols = ["id", "compkey", "point_score", "linear_score", "total_score"]
-    wholes = C.apply_scores_whole(v("whole"), _points(v), _lines(v))
-    return _scored(v).select(*cols).unionByName(wholes.select(*cols))
+    points, lines = _points(v), _lines(v)
+    segs = C.apply_scores(v("seg"), points, lines)
+    wholes = C.apply_scores_whole(v("whole"), points, lines)
+    return segs.select(*cols).unionByName(wholes.select(*cols))
 
 
 Q["d7_apply_scores"] = _apply

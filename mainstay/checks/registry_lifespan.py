@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mainstay import params as P
-from mainstay.checks.common import Query, SEVERE, SEVERE_SQL, YEAR, longs, rounded
+from mainstay.checks.common import Query, SEVERE, SEVERE_SQL, YEAR, rounded
 from mainstay.checks.registry_basics import tail_sql
 from mainstay.operators import lifespan as L
-from mainstay.operators.skew import hot_keys
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
 def _hot(v, name="seg"):
-    return hot_keys(v(name), ["compkey"])
+    return v.hot(name)
 
 
 def _risk(v):

@@ -10,10 +10,18 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-    "embeddings", "pages", "benchmark", "labels", "conversations",
-]
+from mainstay.operators.skew import HotKeys, hot_keys
+
+# Declared schemas of the base tables the views read.
+TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+    "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 VIEWS: dict[str, str] = {}
 
@@ -330,6 +338,14 @@ class Inputs:
         self.spark = spark
         self.folder = folder
         self._made: dict[str, DataFrame] = {}
+        self._hot: dict[tuple[str, ...], HotKeys] = {}
+
+    def hot(self, name: str, *keys: str) -> HotKeys:
+        """Hot keys of a view, counted once."""
+        wanted = keys or ("compkey",)
+        if (name, *wanted) not in self._hot:
+            self._hot[(name, *wanted)] = hot_keys(self(name), list(wanted))
+        return self._hot[(name, *wanted)]
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -338,10 +354,10 @@ class Inputs:
 
     def _make(self, name: str) -> DataFrame:
         if name in TABLES:
-            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            df = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
         else:
             text = VIEWS[name]
-            for used in _uses(text, TABLES + list(VIEWS)):
+            for used in _uses(text, [*TABLES, *VIEWS]):
                 self(used).createOrReplaceTempView(used)
             df = self.spark.sql(text)
         return df

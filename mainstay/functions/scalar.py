@@ -46,6 +46,11 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+def all_known(names: list[str]) -> Column:
+    """No column of the list is NULL."""
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+
+
 def same_text(left: Column | str, right: Column | str) -> Column:
     """Equality without regard to case; NULL stays unknown."""
     left = col(left)

@@ -9,7 +9,7 @@ from mainstay import params as P
 from mainstay.functions.scalar import total, zero
 from mainstay.operators.intervals import point_in_segment
 from mainstay.operators.lifespan import with_risk
-from mainstay.operators.skew import attach
+from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import bid_from, job_cost_agg, latest_inspections
 
 LENGTH_LIMIT = 0.1
@@ -34,7 +34,7 @@ def surcharged(surcharge: DataFrame, limit: float) -> DataFrame:
 
 
 def observations_with_severity(
-    insp: DataFrame, obs: DataFrame, severities: tuple[str, ...], hot: DataFrame | None = None
+    insp: DataFrame, obs: DataFrame, severities: tuple[str, ...], hot: HotKeys | None = None
 ) -> DataFrame:
     """Latest-inspection observations of the severities, with a length of at least ten feet."""
     inspected = insp.join(obs.select("inspkey").distinct(), "inspkey", "left_semi")
@@ -48,7 +48,7 @@ def observations_with_severity(
 
 def defect_fraction(
     insp: DataFrame, obs: DataFrame, seg: DataFrame, whole_pipes: DataFrame, severities: tuple[str, ...],
-    limit: float = LENGTH_LIMIT, hot: DataFrame | None = None,
+    limit: float = LENGTH_LIMIT, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Pipes where defects of the severities cover more than ``limit`` of the length.
 
@@ -123,7 +123,7 @@ def spot_jobs(seg: DataFrame, jobs: DataFrame) -> DataFrame:
 
 def spot_sums(
     branch: DataFrame, seg: DataFrame, jobs: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules(),
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All spot sums a pipe needs, from one join and one aggregation.
 
@@ -314,7 +314,7 @@ def with_present_value(target: DataFrame, branch: DataFrame) -> DataFrame:
 
 def benefit(
     branch: DataFrame, seg: DataFrame, jobs: DataFrame, risk: DataFrame, as_of_year: int,
-    rules: P.LifeRules = P.LifeRules(), hot: DataFrame | None = None,
+    rules: P.LifeRules = P.LifeRules(), hot: HotKeys | None = None,
 ) -> DataFrame:
     """All benefit-cost columns for noted branches."""
     out = present_value_lost(branch, seg, as_of_year, rules)

@@ -12,7 +12,7 @@ from mainstay import params as P
 from mainstay.functions.scalar import same_text
 from mainstay.operators.intervals import clipped_length, overlap_join, point_in_segment
 from mainstay.operators.lookups import band_lookup
-from mainstay.operators.skew import attach
+from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import rows_at_max
 
 NEVER = -1
@@ -39,7 +39,7 @@ def resolve_codes(lookup: DataFrame, description: str, key: str, wanted: list[st
     return lookup.filter(F.lower(description).isin(names)).select(key).distinct()
 
 
-def with_service_status(df: DataFrame, sanitary: DataFrame, storm: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_service_status(df: DataFrame, sanitary: DataFrame, storm: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Status from the asset tables: storm over sanitary over the row's own."""
 
     def one_per_pipe(asset: DataFrame, name: str) -> DataFrame:
@@ -66,7 +66,7 @@ def valid_inspections(
     when: dt.date,
     subset: DataFrame | None = None,
     code: str = "obcode",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Observations of inspections that have an asset and a structural index, up to a date.
 
@@ -81,13 +81,13 @@ def valid_inspections(
     return attach(obs, rated, "inspkey", "inner").withColumn("newscore", score)
 
 
-def latest_observations(*sources: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def latest_observations(*sources: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Observations of each pipe's latest inspection, per source, then united."""
     latest = [rows_at_max(s, ["compkey"], "startdttm", hot) for s in sources]
     return reduce(DataFrame.unionByName, latest)
 
 
-def observations_of_latest(insp: DataFrame, obs: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def observations_of_latest(insp: DataFrame, obs: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Observations joined to the latest inspections only; older ones never reach the join."""
     latest = rows_at_max(insp, ["compkey"], "startdttm", hot)
     return attach(obs, latest, "inspkey", "inner")
@@ -106,7 +106,7 @@ def scored_places(obs: DataFrame, peak: DataFrame) -> DataFrame:
     )
 
 
-def point_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def point_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Sum of peak scores of the point defects in each segment.
 
     The last segment of a pipe also takes every defect at or beyond its start.
@@ -126,7 +126,7 @@ def point_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: Da
     )
 
 
-def linear_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def linear_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Overlap length times peak score, added per segment."""
     narrow = seg.select("id", "compkey", "cutno", "fm", "to_", "length")
     pairs = overlap_join(narrow, scored_places(obs, peak), "closed", hot=hot)
@@ -163,7 +163,7 @@ def _totals(df: DataFrame) -> DataFrame:
 
 
 def inspection_recency(
-    pipes: DataFrame, latest: DataFrame, report_year: int, hot: DataFrame | None = None
+    pipes: DataFrame, latest: DataFrame, report_year: int, hot: HotKeys | None = None
 ) -> DataFrame:
     """Last inspection date, years since then and rating (the largest when several match)."""
     one = latest.groupBy("compkey").agg(

@@ -16,8 +16,8 @@ from mainstay import params as P
 from mainstay.functions.scalar import factor_power, flag, mean_depth, total, zero
 from mainstay.operators.intervals import point_in_segment
 from mainstay.operators.lookups import ceiling_lookup, floor_lookup
-from mainstay.operators.skew import attach
-from mainstay.operators.tables import bid_from, latest_inspections
+from mainstay.operators.skew import HotKeys, attach
+from mainstay.operators.tables import bid_from, give_to, latest_inspections
 
 CUBIC_FEET_PER_YARD = 27.0
 SQUARE_FEET_PER_YARD = 9.0
@@ -47,32 +47,50 @@ def pipe_dimensions(df: DataFrame, diameters: DataFrame, trenches: DataFrame) ->
     return ceiling_lookup(sized, "outside", trenches, "max_outside", {"width": "trench_width"})
 
 
+def _volume() -> Column:
+    return mean_depth() * F.col("trench_width") / CUBIC_FEET_PER_YARD
+
+
 def excavation_volume(df: DataFrame) -> DataFrame:
     """Cubic yards to dig per foot of pipe."""
-    return df.withColumn("volume", mean_depth() * F.col("trench_width") / CUBIC_FEET_PER_YARD)
+    return df.withColumn("volume", _volume())
+
+
+def _water(unit: P.UnitCosts) -> Column:
+    return F.when(F.col("pwtr") > 0, unit.water_per_inch * F.col("pwtrmaxd") + unit.water_base)
 
 
 def water_relocation(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
-    price = unit.water_per_inch * F.col("pwtrmaxd") + unit.water_base
-    return df.withColumn("water", F.when(F.col("pwtr") > 0, price))
+    return df.withColumn("water", _water(unit))
+
+
+def _crossing(unit: P.UnitCosts) -> Column:
+    return unit.crossing * total("xsewer", "xwtr", "xgas", "xfiber")
 
 
 def crossing_relocation(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
-    return df.withColumn("crossing", unit.crossing * total("xsewer", "xwtr", "xgas", "xfiber"))
+    return df.withColumn("crossing", _crossing(unit))
 
 
-def hazardous_material(df: DataFrame, unit: P.UnitCosts = P.UnitCosts(), any_site: bool = False) -> DataFrame:
-    """For segments exactly one site counts; for whole pipes (``any_site``) one or more."""
+def _hazard(unit: P.UnitCosts, any_site: bool) -> Column:
     near = F.col("xecsi") > 0 if any_site else F.col("xecsi") == 1
     length = F.when(F.col("length") > unit.hazard_length, unit.hazard_length).otherwise(F.col("length"))
-    return df.withColumn("hazard", F.when(near, length * F.col("volume") * unit.hazard))
+    return F.when(near, length * F.col("volume") * unit.hazard)
 
 
-def environmental_mitigation(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
-    feet = total("xftezonc", "xftezonp")
+def hazardous_material(df: DataFrame, unit: P.UnitCosts = P.UnitCosts(), any_site: bool = False) -> DataFrame:
+    """For segments exactly one site counts; for whole pipes (``any_site``) one or more."""
+    return df.withColumn("hazard", _hazard(unit, any_site))
+
+
+def _mitigation(unit: P.UnitCosts) -> Column:
     inside = (F.col("xftezonc") > 0) | (F.col("xftezonp") > 0)
-    price = unit.mitigation * feet * unit.mitigation_width / SQUARE_FEET_PER_ACRE
-    return df.withColumn("mitigation", F.when(inside, price))
+    price = unit.mitigation * total("xftezonc", "xftezonp") * unit.mitigation_width / SQUARE_FEET_PER_ACRE
+    return F.when(inside, price)
+
+
+def environmental_mitigation(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
+    return df.withColumn("mitigation", _mitigation(unit))
 
 
 def patch_rate(unit: P.UnitCosts = P.UnitCosts()) -> Column:
@@ -86,15 +104,30 @@ def patch_rate(unit: P.UnitCosts = P.UnitCosts()) -> Column:
     )
 
 
-def asphalt(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
-    """Removal, base course and trench patch over the widened trench."""
+def _asphalt(unit: P.UnitCosts) -> dict[str, Column]:
     width = F.col("trench_width") + unit.extra_width
     yards = width / SQUARE_FEET_PER_YARD
-    return (
-        df.withColumn("asphalt_removal", unit.asphalt_removal * yards * F.col("length"))
-        .withColumn("base_course", width * unit.base_depth / CUBIC_FEET_PER_YARD * unit.base_course * F.col("length"))
-        .withColumn("patch", yards * patch_rate(unit) * F.col("length"))
-    )
+    return {
+        "asphalt_removal": unit.asphalt_removal * yards * F.col("length"),
+        "base_course": width * unit.base_depth / CUBIC_FEET_PER_YARD * unit.base_course * F.col("length"),
+        "patch": yards * patch_rate(unit) * F.col("length"),
+    }
+
+
+def asphalt(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
+    """Removal, base course and trench patch over the widened trench."""
+    return df.withColumns(_asphalt(unit))
+
+
+def _backfill(unit: P.UnitCosts) -> dict[str, Column]:
+    width, outside = F.col("trench_width"), F.col("outside")
+    zone = width * ((outside + unit.zone_inches) / INCHES_PER_FOOT) / CUBIC_FEET_PER_YARD
+    covered = width * ((unit.base_depth + outside + unit.zone_inches) / INCHES_PER_FOOT) / CUBIC_FEET_PER_YARD
+    body = outside * outside * INCHES_PER_FOOT * (math.pi / 4.0) / INCHES_PER_YARD**3
+    return {
+        "fill": (F.col("volume") - covered) * F.col("length") * unit.fill,
+        "backfill": (zone - body) * F.col("length") * unit.backfill,
+    }
 
 
 def backfill(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
@@ -103,37 +136,44 @@ def backfill(df: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
     The fill adds the base depth (feet) to inches before converting; this is the
     documented formula.
     """
-    width, outside = F.col("trench_width"), F.col("outside")
-    zone = width * ((outside + unit.zone_inches) / INCHES_PER_FOOT) / CUBIC_FEET_PER_YARD
-    covered = width * ((unit.base_depth + outside + unit.zone_inches) / INCHES_PER_FOOT) / CUBIC_FEET_PER_YARD
-    body = outside * outside * INCHES_PER_FOOT * (math.pi / 4.0) / INCHES_PER_YARD**3
-    return df.withColumn("fill", (F.col("volume") - covered) * F.col("length") * unit.fill).withColumn(
-        "backfill", (zone - body) * F.col("length") * unit.backfill
-    )
+    return df.withColumns(_backfill(unit))
 
 
-def excavation_costs(df: DataFrame, depth_rates: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
-    """Saw cut, excavation, truck haul, and shoring of deep trenches."""
-    priced = ceiling_lookup(df, mean_depth(), depth_rates, "depth", {"cost_per_yard": "__rate"})
+def _excavation(unit: P.UnitCosts, rate: str) -> dict[str, Column]:
     spoil = F.col("volume") * unit.spoil_factor
     shoring = mean_depth() * unit.shoring_area * unit.shoring_cost * F.col("length")
-    return (
-        priced.withColumn("saw", unit.saw_length * unit.saw_cost * F.col("length"))
-        .withColumn("excavation", F.col("__rate") * spoil * F.col("length"))
-        .withColumn("haul", spoil * unit.haul * F.col("length"))
-        .withColumn("shoring", F.when(mean_depth() > unit.shoring_depth, shoring))
-        .drop("__rate")
-    )
+    return {
+        "saw": unit.saw_length * unit.saw_cost * F.col("length"),
+        "excavation": F.col(rate) * spoil * F.col("length"),
+        "haul": spoil * unit.haul * F.col("length"),
+        "shoring": F.when(mean_depth() > unit.shoring_depth, shoring),
+    }
 
 
-def pipe_material(df: DataFrame, prices: DataFrame, difficulty: DataFrame) -> DataFrame:
-    """Price per foot by diameter times a factor by diameter and depth."""
+def _with_dig_rate(df: DataFrame, depth_rates: DataFrame) -> DataFrame:
+    return ceiling_lookup(df, mean_depth(), depth_rates, "depth", {"cost_per_yard": "__rate"})
+
+
+def excavation_costs(df: DataFrame, depth_rates: DataFrame, unit: P.UnitCosts = P.UnitCosts()) -> DataFrame:
+    """Saw cut, excavation, truck haul, and shoring of deep trenches."""
+    return _with_dig_rate(df, depth_rates).withColumns(_excavation(unit, "__rate")).drop("__rate")
+
+
+def _pipe() -> Column:
+    return F.col("depth_factor") * F.col("pipe_price") * F.col("length")
+
+
+def _with_pipe_rates(df: DataFrame, prices: DataFrame, difficulty: DataFrame) -> DataFrame:
     priced = floor_lookup(df, ["diamwidth"], prices, ["min_diameter"], {"price": "pipe_price"}, {"price": 0.0})
-    hard = floor_lookup(
+    return floor_lookup(
         priced, ["diamwidth", mean_depth()], difficulty, ["min_diameter", "min_depth"],
         {"factor": "depth_factor"}, {"factor": 1.0},
     )
-    return hard.withColumn("pipe", F.col("depth_factor") * F.col("pipe_price") * F.col("length"))
+
+
+def pipe_material(df: DataFrame, prices: DataFrame, difficulty: DataFrame) -> DataFrame:
+    """Price per foot by diameter times a factor by diameter and depth."""
+    return _with_pipe_rates(df, prices, difficulty).withColumn("pipe", _pipe())
 
 
 def manhole_detail(
@@ -165,9 +205,7 @@ def manhole_detail(
 def manhole(seg: DataFrame, whole_priced: DataFrame) -> DataFrame:
     """First segments take the manhole price of their whole pipe, later ones 0."""
     prices = whole_priced.select("compkey", F.col("manhole").alias("__price"))
-    # Only first segments need the price: one per pipe, so the join has no hot key.
-    first = seg.filter(F.col("cutno") == 1).select("id", "compkey").join(prices, "compkey").select("id", "__price")
-    joined = seg.join(first, "id", "left")
+    joined = give_to(seg, prices, F.col("cutno") == 1)
     value = F.when(F.col("cutno") == 1, F.col("__price")).when(F.col("cutno") > 1, 0.0)
     return joined.withColumn("manhole", value).drop("__price")
 
@@ -187,27 +225,38 @@ def bypass_rate(df: DataFrame, rates: DataFrame, flow: P.FlowRules = P.FlowRules
     )
 
 
-def traffic_rate(df: DataFrame, costs: P.TrafficCosts = P.TrafficCosts()) -> DataFrame:
-    """Rate by street class; each leg beyond two at an intersection adds a half."""
+def _traffic_rate(costs: P.TrafficCosts) -> Column:
     street = F.lower("pstrttext")
     rate = (
         F.when(street == "f", costs.freeway).when(street == "a", costs.arterial)
         .when(street == "m", costs.major).when(street == "s", costs.street).otherwise(0.0)
     )
     legs = F.when(zero("uxclx") < 2, 0).otherwise(F.col("uxclx") - 2)
-    return df.withColumn("traffic_rate", rate * (legs / 2.0 + 1.0))
+    return rate * (legs / 2.0 + 1.0)
+
+
+def traffic_rate(df: DataFrame, costs: P.TrafficCosts = P.TrafficCosts()) -> DataFrame:
+    """Rate by street class; each leg beyond two at an intersection adds a half."""
+    return df.withColumn("traffic_rate", _traffic_rate(costs))
+
+
+def _time_costs() -> dict[str, Column]:
+    hours = F.col("base_hours") + F.col("mob_hours")
+    return {"bypass": F.col("bypass_rate") * hours, "traffic": F.col("traffic_rate") * hours}
 
 
 def time_costs(df: DataFrame) -> DataFrame:
     """Bypass pumping and traffic control over all construction hours."""
-    hours = F.col("base_hours") + F.col("mob_hours")
-    return df.withColumn("bypass", F.col("bypass_rate") * hours).withColumn("traffic", F.col("traffic_rate") * hours)
+    return df.withColumns(_time_costs())
+
+
+def _mob_rate(add_bypass: bool) -> Column:
+    return total("bypass_rate", "traffic_rate") if add_bypass else zero("traffic_rate")
 
 
 def mobilization_rate(df: DataFrame, add_bypass: bool) -> DataFrame:
     """Daily rate: for segments traffic replaces bypass; for whole pipes (``add_bypass``) both count."""
-    rate = total("bypass_rate", "traffic_rate") if add_bypass else zero("traffic_rate")
-    return df.withColumn("mob_rate", rate)
+    return df.withColumn("mob_rate", _mob_rate(add_bypass))
 
 
 def needs_boring(freeway: Column, unit: P.UnitCosts = P.UnitCosts()) -> Column:
@@ -217,25 +266,25 @@ def needs_boring(freeway: Column, unit: P.UnitCosts = P.UnitCosts()) -> Column:
     )
 
 
-def boring_jacking(df: DataFrame, unit: P.UnitCosts = P.UnitCosts(), is_whole: bool = False) -> DataFrame:
-    """Boring price where digging is not possible; a detail that is part of no sum."""
+def _boring(unit: P.UnitCosts, is_whole: bool) -> Column:
     freeway = F.col("xfrwy") > 0 if is_whole else F.col("pstrttyp").isin(*P.FREEWAY_STREET_CODES)
     price = (
         unit.boring * (unit.base_index / unit.jacking_index)
         * F.exp(unit.boring_growth * F.col("diamwidth")) * F.col("length")
     )
-    return df.withColumn("boring", F.when(needs_boring(freeway, unit), price))
+    return F.when(needs_boring(freeway, unit), price)
+
+
+def boring_jacking(df: DataFrame, unit: P.UnitCosts = P.UnitCosts(), is_whole: bool = False) -> DataFrame:
+    """Boring price where digging is not possible; a detail that is part of no sum."""
+    return df.withColumn("boring", _boring(unit, is_whole))
 
 
 def _steep() -> Column:
     return flag(F.abs(zero("gslope")) >= 0.1)
 
 
-def difficult_area(df: DataFrame, is_whole: bool = False, whole_factor: float = 1.0, exact: bool = False) -> DataFrame:
-    """1.5 per difficult condition; a slope counts only beside another condition.
-
-    For whole pipes the factor is 1 by default.
-    """
+def _difficult(is_whole: bool, whole_factor: float = 1.0, exact: bool = False) -> Column:
     n = flag(F.col("hardarea") > 0) + flag(F.col("prail") > 0) + flag(F.col("plrt") > 0) + _steep()
     if is_whole:
         hit = (F.col("hardarea") > 0) | (F.col("prail") > 0) | (F.col("plrt") > 0)
@@ -243,12 +292,20 @@ def difficult_area(df: DataFrame, is_whole: bool = False, whole_factor: float =
     else:
         hit = (F.col("hardarea") == 1) | (F.col("prail") > 0) | (F.col("plrt") == 1)
         value = factor_power(n, exact)
-    return df.withColumn("difficult", F.when(hit, value))
+    return F.when(hit, value)
+
+
+def difficult_area(df: DataFrame, is_whole: bool = False, whole_factor: float = 1.0, exact: bool = False) -> DataFrame:
+    """1.5 per difficult condition; a slope counts only beside another condition.
+
+    For whole pipes the factor is 1 by default.
+    """
+    return df.withColumn("difficult", _difficult(is_whole, whole_factor, exact))
 
 
 def laterals(
     insp: DataFrame, obs: DataFrame, code: str = "obkey", lateral: int | str = P.LATERAL_CODE,
-    excluded: tuple[int, ...] = P.LATERAL_EXCLUDED, hot: DataFrame | None = None,
+    excluded: tuple[int, ...] = P.LATERAL_EXCLUDED, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Lateral observations of each pipe's latest inspection.
 
@@ -303,11 +360,11 @@ def marked_up(amount: Column, markups: P.Markups = P.Markups()) -> Column:
 
 def capital_cost(df: DataFrame, markups: P.Markups = P.Markups()) -> DataFrame:
     """Three markups one after the other."""
-    return (
-        df.withColumn("standard_cost", F.col("direct") * markups.conditions)
-        .withColumn("contingency_cost", F.col("standard_cost") * markups.reserve)
-        .withColumn("capital", F.col("contingency_cost") * markups.delivery)
-    )
+    standard = F.col("direct") * markups.conditions
+    return df.withColumns({
+        "standard_cost": standard, "contingency_cost": standard * markups.reserve,
+        "capital": marked_up(F.col("direct"), markups),
+    })
 
 
 def capital_nonmob(
@@ -315,11 +372,11 @@ def capital_nonmob(
 ) -> DataFrame:
     """Fixed capital and daily capital rate of one job type, marked up."""
     items = {"Spot": FIXED, "Dig": [*FIXED, "manhole"], "Line": ["liner_material", "liner_cleaning"]}[kind]
-    return (
-        df.withColumn("type", F.lit(kind))
-        .withColumn("capitalnonmobilization", marked_up(_site_factor(unit) * total(*items), markups))
-        .withColumn("capitalmobilizationrate", marked_up(_site_factor(unit) * zero("mob_rate"), markups))
-    )
+    return df.withColumns({
+        "type": F.lit(kind),
+        "capitalnonmobilization": marked_up(_site_factor(unit) * total(*items), markups),
+        "capitalmobilizationrate": marked_up(_site_factor(unit) * zero("mob_rate"), markups),
+    })
 
 
 def liner_cost(
@@ -388,23 +445,21 @@ def cost_components(
     df: DataFrame, tables: dict[str, DataFrame], unit: P.UnitCosts = P.UnitCosts(),
     flow: P.FlowRules = P.FlowRules(), traffic: P.TrafficCosts = P.TrafficCosts(), is_whole: bool = False,
 ) -> DataFrame:
-    """All components for one frame of pipes with crossings and construction hours."""
+    """All components for one frame of pipes with crossings and construction hours.
+
+    The lookups come first; the formulas then follow in two projections.
+    """
     out = pipe_dimensions(df, tables["diameters"], tables["trenches"])
-    out = excavation_volume(out)
-    out = water_relocation(out, unit)
-    out = crossing_relocation(out, unit)
-    out = hazardous_material(out, unit, any_site=is_whole)
-    out = environmental_mitigation(out, unit)
-    out = asphalt(out, unit)
-    out = backfill(out, unit)
-    out = excavation_costs(out, tables["depth_rates"], unit)
-    out = pipe_material(out, tables["prices"], tables["difficulty"])
+    out = _with_dig_rate(out, tables["depth_rates"])
+    out = _with_pipe_rates(out, tables["prices"], tables["difficulty"])
     out = bypass_rate(out, tables["bypass_rates"], flow)
-    out = traffic_rate(out, traffic)
-    out = time_costs(out)
-    out = mobilization_rate(out, add_bypass=is_whole)
-    out = boring_jacking(out, unit, is_whole)
-    return difficult_area(out, is_whole)
+    out = out.withColumns({"volume": _volume(), "traffic_rate": _traffic_rate(traffic)})
+    return out.withColumns({
+        "water": _water(unit), "crossing": _crossing(unit), "hazard": _hazard(unit, is_whole),
+        "mitigation": _mitigation(unit), **_asphalt(unit), **_backfill(unit), **_excavation(unit, "__rate"),
+        "pipe": _pipe(), **_time_costs(), "mob_rate": _mob_rate(is_whole), "boring": _boring(unit, is_whole),
+        "difficult": _difficult(is_whole),
+    }).drop("__rate")
 
 
 def apply_costs(

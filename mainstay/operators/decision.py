@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from mainstay import params as P
 from mainstay.functions.scalar import flag, is_unit_id, zero
 from mainstay.operators.benefit import RATIO_NAMES, combined_bid, line_jobs, spot_jobs, with_notes
-from mainstay.operators.skew import attach
-from mainstay.operators.tables import copy_whole_to_segments, job_cost_agg, sandwich
+from mainstay.operators.skew import HotKeys, attach
+from mainstay.operators.tables import give_to, job_cost_agg, sandwich
 
 # Actions and notes that results are compared by.
 OPEN_CUT, SPOT, LINER, SANDWICH = "OC", "SP", "CIPP", "OC Sandwich"
@@ -179,13 +179,10 @@ def final_table(pipes: DataFrame) -> DataFrame:
     """Start of the final table: spots to repair before lining, summed on whole pipes."""
     marked = pipes.withColumn("spots_before_lining", flag(F.col("action") == P.ACTION_SPOT))
     sums = marked.filter(F.col("cutno") > 0).groupBy("compkey").agg(F.sum("spots_before_lining").alias("__spots"))
-    # Only whole pipes take the sum, one row per key on both sides.
-    whole_rows = marked.filter(F.col("cutno") == 0).join(sums, "compkey", "left")
-    whole_rows = whole_rows.withColumn("spots_before_lining", F.coalesce("__spots", "spots_before_lining"))
-    rest = marked.filter(F.col("cutno") != 0).withColumn(
-        "spots_before_lining", F.col("spots_before_lining").cast("long")
-    )
-    return rest.unionByName(whole_rows.drop("__spots"))
+    joined = give_to(marked, sums, F.col("cutno") == 0)
+    return joined.withColumn(
+        "spots_before_lining", F.coalesce("__spots", F.col("spots_before_lining").cast("long"))
+    ).drop("__spots")
 
 
 def wide_costs(final: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -214,7 +211,7 @@ def _by_solution(values: dict[str, str]) -> Column:
     return chosen
 
 
-def recommend(final: DataFrame, branch: DataFrame, as_of_year: int, horizon: int = FAIL_HORIZON, hot: DataFrame | None = None) -> DataFrame:
+def recommend(final: DataFrame, branch: DataFrame, as_of_year: int, horizon: int = FAIL_HORIZON, hot: HotKeys | None = None) -> DataFrame:
     """Failure action and recommended action with its ratios and benefit.
 
     Whole pipes of a bad grade that are owned, fail within the horizon and have
@@ -254,7 +251,7 @@ def recommend(final: DataFrame, branch: DataFrame, as_of_year: int, horizon: int
     return out.select(*final.drop("problems", "max_cof").columns, "problems", "max_cof", "failure_action", "recommended", *picked)
 
 
-def watch_list(final: DataFrame, pipes: DataFrame, as_of_year: int, horizon: int = FAIL_HORIZON, hot: DataFrame | None = None) -> DataFrame:
+def watch_list(final: DataFrame, pipes: DataFrame, as_of_year: int, horizon: int = FAIL_HORIZON, hot: HotKeys | None = None) -> DataFrame:
     """Mark pending pipes; bad pipes that are pending, or that fail late at a loss, are watched."""
     pending = pipes.filter(F.lower("hservstat") == P.STATUS_PEND.lower()).select("compkey").distinct()
     marked = attach(final, pending.withColumn("__pending", F.lit(True)), "compkey", "left", hot)
@@ -272,12 +269,15 @@ RESULT_COLUMNS = [
 ]
 
 
-def propagate(final: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def propagate(final: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Segments take the results of their whole pipe."""
-    whole_rows = final.filter(F.col("cutno") == 0)
-    seg = final.filter(F.col("cutno") > 0)
-    taken = copy_whole_to_segments(seg, whole_rows.select("compkey", *RESULT_COLUMNS), RESULT_COLUMNS, hot)
-    return whole_rows.unionByName(taken.select(*final.columns))
+    results = final.filter(F.col("cutno") == 0).select(
+        "compkey", F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in RESULT_COLUMNS]
+    )
+    joined = attach(final, results, "compkey", "left", hot)
+    takes = (F.col("cutno") > 0) & F.coalesce("__hit", F.lit(False))
+    values = {c: F.when(takes, F.col(f"__{c}")).otherwise(F.col(c)) for c in RESULT_COLUMNS}
+    return joined.withColumns(values).select(*final.columns)
 
 
 def restate_consequence(final: DataFrame, factor: float = 1.4) -> DataFrame:
@@ -286,7 +286,7 @@ def restate_consequence(final: DataFrame, factor: float = 1.4) -> DataFrame:
         F.sum(F.col("spot_only") * F.col("spot_count")).alias("__sum"), F.max("spot_only").alias("__max"),
         F.lit(True).alias("__seg"),
     )
-    whole_rows = final.filter(F.col("cutno") == 0).join(seg, "compkey", "left")
+    joined = give_to(final, seg, F.col("cutno") == 0)
     action = F.col("recommended")
     rest = F.col("max_cof")
     value = (
@@ -296,8 +296,8 @@ def restate_consequence(final: DataFrame, factor: float = 1.4) -> DataFrame:
         .when(((action != SPOT) | action.isNull()) & F.col("__seg"), F.col("__max") * factor + rest)
         .otherwise(F.col("cof"))
     )
-    restated = whole_rows.withColumn("cof", value).select(*final.columns)
-    return restated.unionByName(final.filter(F.col("cutno") > 0))
+    is_whole = F.col("cutno") == 0
+    return joined.withColumn("cof", F.when(is_whole, value).otherwise(F.col("cof"))).select(*final.columns)
 
 
 def view_costs(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mainstay import params as P
 from mainstay.functions.scalar import flag, mean_depth, strict_total, total, zero
 from mainstay.operators.costs import CUBIC_FEET_PER_YARD
-from mainstay.operators.tables import copy_segments_to_whole
+from mainstay.operators.tables import give_to
 
 # Street groups as the time rates name them.
 STREET, ARTERIAL, MAJOR_ARTERIAL = "Strt", "Art", "MajArt"
@@ -36,55 +36,86 @@ def base_durations(df: DataFrame, rates: P.TimeRates = P.TimeRates()) -> DataFra
         mean_depth() >= rates.spot_depth, rates.deep_spot
     )
     first = F.col("cutno") == 0
-    return (
-        df.withColumn("open_cut", F.when(_is_whole(), (dig + length / rates.pave_per_day) * hours + crossings))
-        .withColumn("pipe_burst", F.when(first, F.lit(hours)))
-        .withColumn("bore_jack", F.when(_is_whole(), bore))
-        .withColumn("cipp", F.when(first, F.lit(rates.cipp_days * hours)))
-        .withColumn("spot", F.when(~_is_whole(), spot))
+    return df.withColumns({
+        "open_cut": F.when(_is_whole(), (dig + length / rates.pave_per_day) * hours + crossings),
+        "pipe_burst": F.when(first, F.lit(hours)),
+        "bore_jack": F.when(_is_whole(), bore),
+        "cipp": F.when(first, F.lit(rates.cipp_days * hours)),
+        "spot": F.when(~_is_whole(), spot),
+    })
+
+
+def _traffic_hours(rates: P.TimeRates) -> Column:
+    group = F.lower("street_grp")
+    return F.when(
+        group.isNotNull(),
+        F.when(group == STREET.lower(), rates.traffic_street)
+        .when(group == ARTERIAL.lower(), rates.traffic_arterial)
+        .when(group == MAJOR_ARTERIAL.lower(), rates.traffic_major)
+        .otherwise(0.0),
     )
 
 
+def _beside_streets(df: DataFrame, streets: DataFrame, rates: P.TimeRates) -> DataFrame:
+    beside = df.join(streets, F.col("pstrttyp") == F.col("street_number"), "left")
+    hours = F.when(~_is_whole(), _traffic_hours(rates))
+    return beside.withColumn("traffic", hours).drop("street_number", "street_grp")
+
+
+def _manhole_hours(rates: P.TimeRates) -> Column:
+    dug = rates.manhole_min_depth
+    depth = F.when(mean_depth() < dug, dug).otherwise(mean_depth())
+    return F.when(F.col("cutno") == 0, depth / rates.manhole_per_day * rates.hours_per_day)
+
+
 def traffic_mobilization(df: DataFrame, streets: DataFrame, rates: P.TimeRates = P.TimeRates()) -> DataFrame:
     """Hours to set up traffic control: by street group for segments, the largest of them for whole pipes."""
-    group = F.col("street_grp")
-    hours = (
-        F.when(group.isNull(), None)
-        .when(F.lower(group) == STREET.lower(), rates.traffic_street)
-        .when(F.lower(group) == ARTERIAL.lower(), rates.traffic_arterial)
-        .when(F.lower(group) == MAJOR_ARTERIAL.lower(), rates.traffic_major)
-        .otherwise(0.0)
-    )
-    beside = df.join(streets, F.col("pstrttyp") == F.col("street_number"), "left")
-    marked = beside.withColumn("traffic", F.when(~_is_whole(), hours)).drop("street_number", "street_grp")
-    seg = marked.filter(~_is_whole())
-    return seg.unionByName(copy_segments_to_whole(marked.filter(_is_whole()), seg, {"traffic": F.max("traffic")}))
+    marked = _beside_streets(df, streets, rates)
+    worst = marked.groupBy("compkey").agg(F.max("traffic").alias("__traffic"))
+    joined = give_to(marked, worst, _is_whole())
+    return joined.withColumn("traffic", F.coalesce("traffic", "__traffic")).drop("__traffic")
 
 
-def mobilization_durations(df: DataFrame, rates: P.TimeRates = P.TimeRates()) -> DataFrame:
-    """Hours for mainline bypass, manholes, lateral bypass and bore pits."""
+def _own_setup(df: DataFrame, rates: P.TimeRates) -> DataFrame:
+    """Setup hours that need the row itself only."""
     hours, depth = rates.hours_per_day, mean_depth()
     small = (depth < rates.shallow_trench) & (F.col("diamwidth") <= rates.small_bypass)
-    dug = rates.manhole_min_depth
-    manhole = F.when(depth < dug, dug).otherwise(depth) / rates.manhole_per_day * hours
     per_yard = CUBIC_FEET_PER_YARD * rates.excavate_per_day
     lateral = (
         rates.lateral_width * rates.lateral_length * depth / per_yard + rates.lateral_length / rates.pave_per_day
     )
-    first = F.col("cutno") == 0
-    marked = (
-        df.withColumn("bypass", F.when(small, hours / 2.0).otherwise(hours))
-        .withColumn("__manhole", F.when(first, manhole))
-        .withColumn("lateral_bypass", F.col("lateral_count") * lateral)
-        .withColumn("bore_pit", F.when(first, F.col("lateral_count") * (rates.pit_area * depth / per_yard)))
+    pit = F.col("lateral_count") * (rates.pit_area * depth / per_yard)
+    return df.withColumns({
+        "bypass": F.when(small, hours / 2.0).otherwise(hours),
+        "lateral_bypass": F.col("lateral_count") * lateral,
+        "bore_pit": F.when(F.col("cutno") == 0, pit),
+    })
+
+
+def mobilization_durations(df: DataFrame, rates: P.TimeRates = P.TimeRates()) -> DataFrame:
+    """Hours for mainline bypass, manholes, lateral bypass and bore pits.
+
+    The first segment copies the manhole hours of its pipe.
+    """
+    marked = _own_setup(df, rates).withColumn("manhole", _manhole_hours(rates))
+    source = marked.filter(F.col("cutno") == 0).groupBy("compkey").agg(F.max("manhole").alias("__manhole"))
+    joined = give_to(marked, source, F.col("cutno") == 1)
+    return joined.withColumn("manhole", F.coalesce("manhole", "__manhole")).drop("__manhole")
+
+
+def setup_durations(df: DataFrame, streets: DataFrame, rates: P.TimeRates = P.TimeRates()) -> DataFrame:
+    """Traffic and mobilization hours together: one aggregation and one join for both."""
+    marked = _beside_streets(_own_setup(df, rates), streets, rates).withColumn("manhole", _manhole_hours(rates))
+    per_pipe = marked.groupBy("compkey").agg(
+        F.max("traffic").alias("__traffic"), F.max("manhole").alias("__manhole")
     )
-    # First segments copy the manhole hours of their pipe: at most one row per pipe on each side.
-    source = marked.filter(first).groupBy("compkey").agg(F.max("__manhole").alias("__copied"))
-    copies = (
-        marked.filter(F.col("cutno") == 1).select("id", "compkey").join(source, "compkey").select("id", "__copied")
+    first = F.col("cutno") == 1
+    joined = give_to(marked, per_pipe, _is_whole() | first)
+    return (
+        joined.withColumn("traffic", F.when(_is_whole(), F.col("__traffic")).otherwise(F.col("traffic")))
+        .withColumn("manhole", F.when(first, F.col("__manhole")).otherwise(F.col("manhole")))
+        .drop("__traffic", "__manhole")
     )
-    joined = marked.join(copies, "id", "left")
-    return joined.withColumn("manhole", F.coalesce("__manhole", "__copied")).drop("__manhole", "__copied")
 
 
 def bore_required(rates: P.TimeRates = P.TimeRates()) -> Column:
@@ -110,30 +141,24 @@ def method_durations(df: DataFrame, whole_xp: DataFrame, rates: P.TimeRates = P.
     Open cut is removed from whole pipes that need boring and boring from the others.
     """
     first = F.col("cutno") == 0
-    totals = (
-        df.withColumn("open_cut_total", strict_total("open_cut", "manhole", "traffic", "bypass"))
-        .withColumn(
-            "bore_jack_total",
-            F.when(first, strict_total("bore_jack", "traffic", "bypass", "lateral_bypass", "bore_pit")),
-        )
-        .withColumn("cipp_total", F.when(first, strict_total("cipp", "spot", "traffic", "bypass", "lateral_bypass")))
-        .withColumn("spot_total", strict_total("spot", "traffic", "bypass"))
+    totals = df.withColumns({
+        "open_cut_total": strict_total("open_cut", "manhole", "traffic", "bypass"),
+        "bore_jack_total": F.when(
+            first, strict_total("bore_jack", "traffic", "bypass", "lateral_bypass", "bore_pit")
+        ),
+        "cipp_total": F.when(first, strict_total("cipp", "spot", "traffic", "bypass", "lateral_bypass")),
+        "spot_total": strict_total("spot", "traffic", "bypass"),
+    })
+    rules = whole_xp.groupBy("compkey").agg(
+        F.max(flag(bore_required(rates))).alias("__bore"), F.max(flag(bore_needless(rates))).alias("__dig")
     )
-    rules = whole_xp.select(
-        "compkey", flag(bore_required(rates)).alias("__bore"), flag(bore_needless(rates)).alias("__dig")
-    ).groupBy("compkey").agg(F.max("__bore").alias("__bore"), F.max("__dig").alias("__dig"))
-    pipes = totals.filter(_is_whole()).join(rules, "compkey", "left")
-    return totals.filter(~_is_whole()).unionByName(_remove(pipes, F.col("__bore") == 1, F.col("__dig") == 1))
+    return _remove(give_to(totals, rules, _is_whole()), F.col("__bore") == 1, F.col("__dig") == 1)
 
 
 def _remove(pipes: DataFrame, bore: Column, dig: Column) -> DataFrame:
-    def blank(names: list[str], test: Column, df: DataFrame) -> DataFrame:
-        for name in names:
-            df = df.withColumn(name, F.when(test, None).otherwise(F.col(name)))
-        return df
-
-    pipes = blank(["open_cut", "open_cut_total"], bore, pipes)
-    return blank(["bore_jack", "bore_jack_total", "bore_pit"], dig, pipes).drop("__bore", "__dig")
+    rules = {"open_cut": bore, "open_cut_total": bore, "bore_jack": dig, "bore_jack_total": dig, "bore_pit": dig}
+    blanked = {name: F.when(test, None).otherwise(F.col(name)) for name, test in rules.items()}
+    return pipes.withColumns(blanked).drop("__bore", "__dig")
 
 
 def durations(
@@ -142,8 +167,7 @@ def durations(
 ) -> DataFrame:
     """All hours in one frame. ``null_as_zero`` is the desktop form: a missing part counts 0."""
     out = base_durations(df, rates)
-    out = traffic_mobilization(out, streets, rates)
-    out = mobilization_durations(out, rates)
+    out = setup_durations(out, streets, rates)
     if not null_as_zero:
         return method_durations(out, whole_xp if whole_xp is not None else out.filter(_is_whole()), rates)
     return desktop_totals(out, rates)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainstay.operators.skew import attach
+from mainstay.operators.skew import HotKeys, attach
 
 CELL_FEET = 50.0
 _CELL, _FIRST, _LAST = "__cell", "__first", "__last"
@@ -60,7 +60,7 @@ def overlap_join(
     hi: str = "distto",
     key: str = "compkey",
     cell: float = CELL_FEET,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Pairs of segment and interval on one pipe that overlap.
 

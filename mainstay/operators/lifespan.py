@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mainstay import params as P
 from mainstay.functions.scalar import flag, has_replacement_prefix, upper_tail
 from mainstay.operators.intervals import clipped_length, overlap_join, point_in_segment
-from mainstay.operators.skew import attach
+from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import copy_segments_to_whole
 
 
@@ -55,7 +55,7 @@ def is_severe(codes: list[int], code: str = "obsevkey") -> Column:
 
 
 def severe_touched(
-    seg: DataFrame, obs: DataFrame, codes: list[int], variant: str, hot: DataFrame | None = None
+    seg: DataFrame, obs: DataFrame, codes: list[int], variant: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Distinct segments that a severe observation touches."""
     places = obs.filter(is_severe(codes)).select("compkey", "distfrom", "distto").distinct()
@@ -63,7 +63,7 @@ def severe_touched(
     return overlap_join(narrow, places, variant, hot=hot).select("id", "compkey", "cutno").distinct()
 
 
-def broken_segments(seg: DataFrame, obs: DataFrame, codes: list[int], hot: DataFrame | None = None) -> DataFrame:
+def broken_segments(seg: DataFrame, obs: DataFrame, codes: list[int], hot: HotKeys | None = None) -> DataFrame:
     """Number of segments per pipe that a severe observation touches."""
     touched = severe_touched(seg, obs, codes, "half_open", hot)
     return touched.select("compkey", "cutno").distinct().groupBy("compkey").agg(
@@ -77,7 +77,7 @@ def repaired_segments(seg: DataFrame) -> DataFrame:
     return repaired.groupBy("compkey").agg(F.count(F.lit(1)).alias("fixed"))
 
 
-def defect_ledger(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def defect_ledger(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """One row per segment and defect: linear part by clipped score, point part by own score."""
     narrow = seg.select("id", "compkey", "cutno", "fm", "to_", "length", "seg_count")
     marks = ["obskey", "inspkey", "obsevkey"]
@@ -104,7 +104,7 @@ def failed_segments(seg: DataFrame, ledger: DataFrame, codes: list[int]) -> Data
 
 
 def pipe_summary(
-    seg: DataFrame, obs: DataFrame, ledger: DataFrame, codes: list[int], hot: DataFrame | None = None
+    seg: DataFrame, obs: DataFrame, ledger: DataFrame, codes: list[int], hot: HotKeys | None = None
 ) -> DataFrame:
     """Per pipe: largest consequence and costs, and the counted segments."""
     base = seg.filter(F.col("compkey").isNotNull()).groupBy("compkey").agg(
@@ -131,7 +131,7 @@ def rollup_failure(seg: DataFrame, whole_pipes: DataFrame) -> tuple[DataFrame, D
     return kept, rolled
 
 
-def action_flags(seg: DataFrame, obs: DataFrame, codes: list[int], hot: DataFrame | None = None) -> DataFrame:
+def action_flags(seg: DataFrame, obs: DataFrame, codes: list[int], hot: HotKeys | None = None) -> DataFrame:
     """Spot repair where a severe defect overlaps; a spot is also counted for a total score of 1,000 or more."""
     severe = severe_touched(seg, obs, codes, "closed", hot).select("id").withColumn("__severe", F.lit(True))
     joined = seg.join(severe, "id", "left")
@@ -162,7 +162,7 @@ def in_replacement(whole_pipes: DataFrame, as_of_year: int, rules: P.LifeRules =
     )
 
 
-def failure_percent(seg: DataFrame, summary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def failure_percent(seg: DataFrame, summary: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Counts of the pipe on each segment, with the failed share in percent."""
     counts = summary.select(
         "compkey", F.col("segments").alias("seg_count"), F.col("broken").alias("fail_near"),

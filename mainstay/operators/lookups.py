@@ -69,13 +69,13 @@ def floor_lookup(
 def _finish(
     df: DataFrame, packed: DataFrame, found: Column, outputs: dict[str, str], defaults: dict[str, float] | None
 ) -> DataFrame:
-    result = _with_pack(df, packed).withColumn("__hit", found)
-    for source, target in outputs.items():
-        value = F.col("__hit")[source]
-        if defaults and source in defaults:
-            value = F.coalesce(value, F.lit(defaults[source]))
-        result = result.withColumn(target, value)
-    return result.drop("__rows", "__hit")
+    def value(source: str) -> Column:
+        hit = F.col("__hit")[source]
+        return F.coalesce(hit, F.lit(defaults[source])) if defaults and source in defaults else hit
+
+    kept = [c for c in df.columns if c not in outputs.values()]
+    picked = [value(source).alias(target) for source, target in outputs.items()]
+    return _with_pack(df, packed).withColumn("__hit", found).select(*kept, *picked)
 
 
 def band_lookup(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mainstay import params as P
 from mainstay.functions.scalar import same_text
 from mainstay.operators.intervals import overlap_join
-from mainstay.operators.skew import attach
+from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import rows_at_max
 
 
@@ -20,7 +20,7 @@ def material_changes(chg: DataFrame) -> DataFrame:
     return chg.filter(same_text("chtype", P.MATERIAL_CHANGE))
 
 
-def _touching(seg: DataFrame, chg: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _touching(seg: DataFrame, chg: DataFrame, hot: HotKeys | None) -> DataFrame:
     narrow = varies_segments(seg).select("id", "compkey", "fm", "to_")
     spans = chg.select("compkey", "chdetail", "distfrom", "distto")
     pairs = overlap_join(narrow, spans, "straddle", hot=hot)
@@ -28,14 +28,14 @@ def _touching(seg: DataFrame, chg: DataFrame, hot: DataFrame | None) -> DataFram
 
 
 def segments_with_material(
-    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: DataFrame | None = None
+    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: HotKeys | None = None
 ) -> DataFrame:
     """Unknown-material segments that touch an interval of the given material."""
     return _touching(seg, material_changes(chg).filter(same_text("chdetail", material)), hot)
 
 
 def patch_segments(
-    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: DataFrame | None = None
+    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: HotKeys | None = None
 ) -> DataFrame:
     """Other-material intervals touched on pipes that hold the given material."""
     pipes = segments_with_material(seg, chg, material, hot).select("compkey").distinct()
@@ -44,7 +44,7 @@ def patch_segments(
 
 
 def pipes_without_material(
-    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: DataFrame | None = None
+    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: HotKeys | None = None
 ) -> DataFrame:
     """Pipes with unknown-material segments of which none touches the given material."""
     pipes = segments_with_material(seg, chg, material, hot).select("compkey").distinct()
@@ -52,7 +52,7 @@ def pipes_without_material(
 
 
 def other_material_segments(
-    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: DataFrame | None = None
+    seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, hot: HotKeys | None = None
 ) -> DataFrame:
     """Segments of such pipes with the material intervals they touch."""
     rest = pipes_without_material(seg, chg, material, hot)
@@ -66,7 +66,8 @@ def dominant_material(chg: DataFrame) -> DataFrame:
         .groupBy("compkey", "chdetail")
         .agg(F.sum(F.abs(F.col("distto") - F.col("distfrom"))).alias("total_length"))
     )
-    return rows_at_max(sums, ["compkey"], "total_length")
+    # One row per pipe and material: a pipe has few, so none is hot.
+    return rows_at_max(sums, ["compkey"], "total_length", HotKeys(("compkey",), None))
 
 
 def _stamp(prefix: str, detail: str) -> Column:
@@ -76,7 +77,7 @@ def _stamp(prefix: str, detail: str) -> Column:
 
 def stamp_material(
     seg: DataFrame, chg: DataFrame, material: str = P.MATERIAL_VSP, keep_original: bool = False,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Write the found material on unknown-material segments.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from mainstay.functions.geometry import (
     length_inside, piece_meets_area, pieces_distance, point_in_area, point_segment_distance, polygon_edges,
 )
-from mainstay.operators.skew import attach, hot_keys, repeat_rows, salt_rows
+from mainstay.operators.skew import HotKeys, attach, hot_keys
 from mainstay.operators.tables import shares_node
 
 MIN_CELL = 100.0
@@ -99,11 +99,8 @@ def _first_shared_cell() -> Column:
 
 def _cell_join(seg_cells: DataFrame, feat_cells: DataFrame, keys: list[str]) -> DataFrame:
     """Join on cells; crowded cells are split by feature and their segments repeated."""
-    hot = hot_keys(feat_cells, keys)
-    left = salt_rows(feat_cells, keys, hot)
-    right = repeat_rows(seg_cells, keys, hot)
-    joined = right.join(left, keys + ["__salt"]).filter(_first_shared_cell())
-    return joined.drop(*keys, "__salt", "__sx", "__sy", "__fx", "__fy")
+    joined = attach(feat_cells, seg_cells, keys, "inner", hot_keys(feat_cells, keys))
+    return joined.filter(_first_shared_cell()).drop(*keys, "__sx", "__sy", "__fx", "__fy")
 
 
 def _merged_points(points: DataFrame, extra: list[str]) -> DataFrame:
@@ -346,7 +343,7 @@ def slopes(pipes: DataFrame) -> DataFrame:
     )
 
 
-def lateral_count(pipes: DataFrame, laterals: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def lateral_count(pipes: DataFrame, laterals: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Laterals of the pipe on each of its rows; NULL if none."""
     counts = laterals.groupBy("compkey").agg(F.count(F.lit(1)).alias("lateralcount"))
     return attach(pipes.select("id", "compkey"), counts, "compkey", "left", hot)

@@ -2,77 +2,87 @@
 
 A pipe, inspection or node may own a third of a table. Aggregations are safe
 (Spark combines them before the shuffle); joins on that key are not, because all
-its rows meet in one task. ``attach`` spreads the rows of such keys over many
-tasks and repeats the matching side for them only.
+its rows meet in one task. ``hot_keys`` finds such keys once, on a base table, and
+``attach`` spreads their rows over many tasks and repeats the matching side for
+them only. Where there is no such key the plan is a plain join.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 256
-HOT_SHARE = 0.001
-HOT_FLOOR = 200_000
+HOT_LIMIT = 1_000
+ROWS_PER_TASK = 1_000_000
+MAX_SALTS = 4_096
 _SALT = "__salt"
-_HOT = "__hot"
+_SALTS = "__salts"
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """At most ``HOT_LIMIT`` keys with the number of parts to split each into; ``table`` is None for none."""
+
+    keys: tuple[str, ...]
+    table: DataFrame | None
 
+    @property
+    def found(self) -> bool:
+        return self.table is not None
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR) -> DataFrame:
-    """Keys that own more than ``share`` of all rows.
 
-    There can be at most 1/share of them whatever the size of the data (1,000 by
-    default): the bound that makes the result safe to broadcast. Counts are exact, so every
-    evaluation gives the same set. Take it from a base table and pass it on; it
-    costs one narrow aggregation.
+def hot_keys(
+    df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK, limit: int = HOT_LIMIT
+) -> HotKeys:
+    """Keys with more rows than one task should hold.
+
+    Only the ``limit`` largest are taken: by counting, any other key owns less than
+    1/limit of all rows. So the result is bounded whatever the size of the data,
+    and it travels with the plan as a local table. Counts are exact, so both sides
+    of a join see the same set. One narrow aggregation; take it from a base table
+    and pass it on.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    rows = counts.agg(F.sum("__n").alias("__rows"))
-    limit = F.greatest(F.col("__rows") * share, F.lit(float(floor)))
-    return (
-        counts.crossJoin(F.broadcast(rows))
-        .filter(F.col("__n") > limit)
-        .select(*keys)
-        .dropna()
-    )
-
-
-def _row_salt(df: DataFrame, salts: int) -> Column:
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.least(F.ceil(F.col("__n") / rows_per_task), F.lit(MAX_SALTS)).cast("int")
+    largest = counts.filter(F.col("__n") > rows_per_task).orderBy(F.desc("__n")).limit(limit)
+    largest = largest.select(*keys, parts.alias(_SALTS))
+    rows = largest.collect()
+    table = df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
+    return HotKeys(tuple(keys), table)
+
+
+def _row_hash(df: DataFrame) -> Column:
     # A hash of the row and not rand(): a re-run task must give the same salt.
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    return F.xxhash64(*[f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
 
 
-def salt_rows(rows: DataFrame, keys: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Number the rows of hot keys 0..salts-1; all other rows get 0."""
-    marked = rows.join(F.broadcast(hot.select(*keys).withColumn(_HOT, F.lit(True))), keys, "left")
-    return marked.withColumn(_SALT, F.when(F.col(_HOT), _row_salt(rows, salts)).otherwise(0)).drop(_HOT)
+def salt_rows(rows: DataFrame, hot: HotKeys) -> DataFrame:
+    """Number the rows of hot keys 0..parts-1; all other rows get 0."""
+    marked = rows.join(F.broadcast(hot.table), list(hot.keys), "left")
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(_row_hash(rows), F.col(_SALTS))).otherwise(0)
+    return marked.withColumn(_SALT, salt.cast("int")).drop(_SALTS)
 
 
-def repeat_rows(rows: DataFrame, keys: list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Repeat the rows of hot keys once per salt; all other rows appear once."""
-    marked = rows.join(F.broadcast(hot.select(*keys).withColumn(_HOT, F.lit(True))), keys, "left")
-    numbers = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return marked.withColumn(_SALT, F.explode(numbers)).drop(_HOT)
+def repeat_rows(rows: DataFrame, hot: HotKeys) -> DataFrame:
+    """Repeat the rows of hot keys once per part; all other rows appear once."""
+    marked = rows.join(F.broadcast(hot.table), list(hot.keys), "left")
+    last = F.coalesce(F.col(_SALTS) - 1, F.lit(0))
+    return marked.withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_SALTS)
 
 
 def attach(
-    rows: DataFrame,
-    other: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
+    rows: DataFrame, other: DataFrame, on: str | list[str], how: str = "left", hot: HotKeys | None = None
 ) -> DataFrame:
     """Join ``rows`` (many per key) to ``other`` (few per key) on equal keys.
 
-    Without ``hot`` this is a plain join: Spark broadcasts ``other`` only below its
-    size limit and else shuffles, with run-time splitting of skewed partitions.
-    With ``hot`` the rows of those keys are spread by salt first.
+    Without hot keys this is a plain join: Spark broadcasts ``other`` only below its
+    size limit and else shuffles, with run-time splitting of skewed partitions. The
+    rows of hot keys are spread by salt first.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if hot is None:
+    if hot is None or not hot.found:
         return rows.join(other, keys, how)
-    left = salt_rows(rows, keys, hot, salts)
-    right = repeat_rows(other, keys, hot, salts)
+    left, right = salt_rows(rows, hot), repeat_rows(other, hot)
     return left.join(right, keys + [_SALT], how).drop(_SALT)

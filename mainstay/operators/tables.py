@@ -4,37 +4,44 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mainstay.functions.scalar import col
-from mainstay.operators.skew import attach
+from mainstay.functions.scalar import all_known, col
+from mainstay.operators.skew import HotKeys, attach
 
 HOURS_PER_DAY = 8.0
 
 
 def rows_at_max(
-    df: DataFrame, keys: list[str], order: str, hot: DataFrame | None = None, keep_unknown: bool = False
+    df: DataFrame, keys: list[str], order: str, hot: HotKeys | None = None, keep_unknown: bool = False
 ) -> DataFrame:
     """All rows that hold the largest ``order`` of their key; ties are kept.
 
-    The maximum is combined before the shuffle and joined back, so no task sorts
-    all rows of one key. With ``keep_unknown`` a key whose values are all NULL
-    keeps its rows, as a descending rank does.
+    Where no key is hot, a rank with a limit per group does it in one shuffle: each
+    task first drops all rows below the best it has seen. Else, or where nothing is
+    known about the keys, the maximum is combined before the shuffle and joined
+    back, so no task sorts all rows of one key. With ``keep_unknown`` a key whose
+    values are all NULL keeps its rows.
     """
+    if hot is not None and not hot.found:
+        place = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+        # Without a key there is no group: such rows leave here, as they do in a join.
+        known = df.filter(all_known([*keys] if keep_unknown else [*keys, order]))
+        return known.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
     best = df.groupBy(*keys).agg(F.max(order).alias("__best"))
     joined = attach(df, best, keys, "inner", hot)
     test = F.col(order).eqNullSafe(F.col("__best")) if keep_unknown else F.col(order) == F.col("__best")
     return joined.filter(test).drop("__best")
 
 
-def latest_inspections(insp: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def latest_inspections(insp: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Inspections of the latest completion date per pipe; unknown dates come last, ties stay."""
     return rows_at_max(insp, ["compkey"], "compdttm", hot, keep_unknown=True)
 
 
 def with_updates(
-    df: DataFrame, updates: DataFrame, keys: list[str], columns: dict[str, str], hot: DataFrame | None = None
+    df: DataFrame, updates: DataFrame, keys: list[str], columns: dict[str, str], hot: HotKeys | None = None
 ) -> DataFrame:
     """Overwrite ``columns`` (target: source) where a key matches; other rows keep their value.
 
@@ -103,8 +110,19 @@ def sandwich(middle: DataFrame, ends: DataFrame) -> DataFrame:
     return middle.join(above, "usnode", "left_semi").join(below, "dsnode", "left_semi")
 
 
+def give_to(df: DataFrame, values: DataFrame, takers: Column, key: str = "compkey", own: str = "id") -> DataFrame:
+    """Join per-pipe ``values`` to the few rows of each pipe that take them.
+
+    All other rows get a key of their own that matches nothing: they spread evenly,
+    and a pipe with very many segments is not gathered in one task.
+    """
+    target = F.when(takers, F.col(key)).otherwise(-F.col(own) - 1)
+    right = values.withColumnRenamed(key, "__key")
+    return df.withColumn("__key", target).join(right, "__key", "left").drop("__key")
+
+
 def copy_whole_to_segments(
-    seg: DataFrame, whole: DataFrame, columns: list[str], hot: DataFrame | None = None
+    seg: DataFrame, whole: DataFrame, columns: list[str], hot: HotKeys | None = None
 ) -> DataFrame:
     """Segments take the named columns of their whole pipe; without one they keep their own."""
     return with_updates(seg, whole, ["compkey"], {c: c for c in columns}, hot)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from mainstay import params as P
 from mainstay.functions.scalar import flag, total, zero
-from mainstay.operators.skew import attach
-from mainstay.operators.tables import masked_max, masked_sum
+from mainstay.operators.skew import HotKeys, attach
+from mainstay.operators.tables import give_to, masked_max, masked_sum
 
 NOW, SMALL, LATER, RETURN = "A", "small", "B", "returns"
 
@@ -45,7 +45,7 @@ def first_failure(seg: DataFrame, as_of_year: int, span: P.Windows = P.Windows()
 
 
 def windows_reactive(
-    seg: DataFrame, as_of_year: int, span: P.Windows = P.Windows(), hot: DataFrame | None = None
+    seg: DataFrame, as_of_year: int, span: P.Windows = P.Windows(), hot: HotKeys | None = None
 ) -> DataFrame:
     """Windows counted from each pipe's own first failure year."""
     starts = first_failure(seg, as_of_year, span)
@@ -68,7 +68,7 @@ def window_totals(windows: DataFrame) -> DataFrame:
     )
 
 
-def action_years(windows: DataFrame, span: P.Windows = P.Windows(), hot: DataFrame | None = None) -> DataFrame:
+def action_years(windows: DataFrame, span: P.Windows = P.Windows(), hot: HotKeys | None = None) -> DataFrame:
     """Line in the first later year of the pipe, replace one liner life after."""
     later = _after(windows)
     first = later.groupBy("compkey").agg(F.min("year").alias("line_at_year"))
@@ -80,7 +80,7 @@ def action_years(windows: DataFrame, span: P.Windows = P.Windows(), hot: DataFra
 
 
 def line_at_year(
-    windows: DataFrame, as_of_year: int | None, span: P.Windows = P.Windows(), hot: DataFrame | None = None
+    windows: DataFrame, as_of_year: int | None, span: P.Windows = P.Windows(), hot: HotKeys | None = None
 ) -> DataFrame:
     """Rows of windows A and B on pipes with a window A, with the year to line.
 
@@ -128,12 +128,8 @@ def job_times(jobs: DataFrame, durations: DataFrame, whole_xp: DataFrame) -> Dat
         "id", "spot", "cipp", "open_cut", "bore_jack", "bore_pit", "traffic", "bypass", "lateral_bypass",
         F.lit(True).alias("__known"),
     )
-    # Segments never need the crossing flag, so only whole pipes meet it: one row per pipe.
-    arterial = (
-        jobs.filter(F.col("type") == "Line").select("id", "compkey")
-        .join(_crosses_arterial(whole_xp), "compkey", "left").select("id", "arterial")
-    )
-    joined = jobs.join(parts, "id", "left").join(arterial, "id", "left")
+    # Only liner jobs need the crossing flag: one row per pipe.
+    joined = give_to(jobs.join(parts, "id", "left"), _crosses_arterial(whole_xp), F.col("type") == "Line")
     kind, setup = F.col("type"), total("traffic", "bypass")
     digging = F.when(F.col("open_cut").isNull(), 0.0).otherwise(zero("lateral_bypass"))
     base = (
