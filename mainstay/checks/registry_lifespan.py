@@ -28,12 +28,13 @@ tails AS (SELECT fy, sd, k, {tail_sql('z0')} AS q0, {tail_sql('z1')} AS q1, {tai
 risk AS (SELECT CAST(fy AS DOUBLE) AS fy, CAST(sd AS DOUBLE) AS sd, CASE WHEN max(q) <= 0 THEN 1 ELSE sum(pow(CAST(1.025 AS DOUBLE), -k) * (q0 - q1) / nullif(q, 0)) END AS m FROM tails GROUP BY fy, sd)
 """
 
-Q["d20_risk_multiplier"] = lambda v: rounded(
-    L.with_risk(
-        v("scored").select("id", "fail_yr_seg", (F.col("length") % 12 + F.when(F.col("cutno") == 5, 0.5).otherwise(1)).alias("sd")),
-        _risk(v), F.col("fail_yr_seg"), F.col("sd"), "multiplier",
-    ).select("id", "sd", "multiplier"), ["multiplier"], 9,
-)
+def _risk_rows(v):
+    sd = F.col("length") % 12 + F.when(F.col("cutno") == 5, 0.5).otherwise(1.0)
+    rows = L.with_risk_table(v("scored").select("id", "fail_yr_seg", sd.alias("sd")), _risk(v))
+    return rounded(rows.select("id", "sd", L.risk_at(F.col("fail_yr_seg"), F.col("sd")).alias("multiplier")), ["multiplier"], 9)
+
+
+Q["d20_risk_multiplier"] = _risk_rows
 SQL["d20_risk_multiplier"] = f"""
 WITH {RISK_SQL}, x AS (SELECT id, fail_yr_seg, CAST(length % 12 + CASE WHEN cutno = 5 THEN 0.5 ELSE 1 END AS DOUBLE) AS sd FROM scored)
 SELECT x.id, x.sd, round(r.m, 9) AS multiplier FROM x LEFT JOIN risk r ON r.fy = x.fail_yr_seg AND r.sd = x.sd

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mainstay import params as P
 from mainstay.functions.scalar import total, zero
 from mainstay.operators.intervals import point_in_segment
-from mainstay.operators.lifespan import with_risk
+from mainstay.operators.lifespan import RISK, risk_at, with_risk_table
 from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import bid_from, job_cost_agg, latest_inspections
 
@@ -167,9 +167,9 @@ def spot_bids(branch: DataFrame, sums: DataFrame) -> DataFrame:
     """Spot bid now and later, and at and after the first failure; NULL where no segment qualifies."""
     joined = branch.join(sums, "compkey", "left")
     names = {"now": "spot_now", "later": "spot_later", "fail": "spot_fail", "after": "spot_after"}
-    for source, target in names.items():
-        joined = joined.withColumn(target, F.when(F.col(f"{source}_any"), zero(_bid(source))))
-    return joined
+    return joined.withColumns({
+        target: F.when(F.col(f"{source}_any"), zero(_bid(source))) for source, target in names.items()
+    })
 
 
 def line_jobs(jobs: DataFrame) -> DataFrame:
@@ -196,91 +196,93 @@ def _failure_cost(rules: P.LifeRules) -> Column:
     return F.col("replacecost") * rules.emergency_factor + F.col("max_cof")
 
 
-def _stage(df: DataFrame, risk: DataFrame, amount: Column, year: Column, sd: Column | int, into: str) -> DataFrame:
-    """amount * risk at (year, sd); NULL where the risk table has no such row."""
-    sd = sd if isinstance(sd, Column) else F.lit(float(sd))
-    joined = with_risk(df, risk, year, sd, "__m")
-    return joined.withColumn(into, amount * F.col("__m")).drop("__m")
-
-
-def bpw_open_cut(df: DataFrame, risk: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+def bpw_open_cut(df: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+    """Replace at failure, and again one pipe life later. Like all stages: cost times risk at (year, sd)."""
     first, cost = F.col("first_failure"), _failure_cost(rules)
-    df = _stage(df, risk, cost, first, F.col("std_dev"), "bpw_oc1")
-    return _stage(df, risk, cost, first + rules.whole_years, rules.whole_sd, "bpw_oc2")
+    return df.withColumns({
+        "bpw_oc1": cost * risk_at(first, F.col("std_dev"), rules),
+        "bpw_oc2": cost * risk_at(first + rules.whole_years, rules.whole_sd, rules),
+    })
 
 
-def bpw_liner(df: DataFrame, risk: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+def bpw_liner(df: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
     """Line at failure; where that is dearer than open cut, open cut takes its place."""
     first, cost = F.col("first_failure"), _failure_cost(rules)
     bid = F.when(
         F.col("with_liner_any") & F.col("has_line"),
         combined_bid("with_liner") * rules.emergency_factor + F.col("max_cof"),
     )
-    df = _stage(df, risk, bid, first, F.col("std_dev"), "__l1")
-    df = _stage(df, risk, cost, first + rules.liner_years, rules.liner_sd, "__l2")
-    df = _stage(df, risk, cost, first + rules.liner_years + rules.whole_years, rules.whole_sd, "__l3")
+    lined = first + rules.liner_years
+    staged = df.withColumns({
+        "__l1": bid * risk_at(first, F.col("std_dev"), rules),
+        "__l2": cost * risk_at(lined, rules.liner_sd, rules),
+        "__l3": cost * risk_at(lined + rules.whole_years, rules.whole_sd, rules),
+    })
     dearer = F.col("__l1") > F.col("bpw_oc1")
-    return (
-        df.withColumn("bpw_cipp1", F.when(dearer, F.col("bpw_oc1")).otherwise(F.col("__l1")))
-        .withColumn("bpw_cipp2", F.when(dearer, F.col("bpw_oc2")).otherwise(F.col("__l2")))
-        .withColumn("bpw_cipp3", F.when(dearer, 0.0).otherwise(F.col("__l3")))
-        .drop("__l1", "__l2", "__l3")
-    )
+    return staged.withColumns({
+        "bpw_cipp1": F.when(dearer, F.col("bpw_oc1")).otherwise(F.col("__l1")),
+        "bpw_cipp2": F.when(dearer, F.col("bpw_oc2")).otherwise(F.col("__l2")),
+        "bpw_cipp3": F.when(dearer, 0.0).otherwise(F.col("__l3")),
+    }).drop("__l1", "__l2", "__l3")
 
 
-def _spot_stages(
-    df: DataFrame, risk: DataFrame, start: Column, spot: str, prefix: str, rules: P.LifeRules
-) -> DataFrame:
+def _spot_stages(df: DataFrame, start: Column, spot: str, prefix: str, rules: P.LifeRules) -> DataFrame:
     """Stages 2 to 4 of a spot strategy that lines at ``start`` + 30.
 
     Where the second stage costs more than replacing the pipe then, all three go
     to 0; any 0 is then refilled with replacement stages. Where the risk table has
     no row for a test, the stage stays as it is.
     """
-    cost, line = _failure_cost(rules), rules.line_at_year
+    cost, line = _failure_cost(rules), start + rules.line_at_year
     bid = F.when(F.col("has_line"), combined_bid(spot) * rules.emergency_factor + F.col("max_cof"))
-    df = _stage(df, risk, bid, start + line, rules.spot_sd, "__s2")
-    df = _stage(df, risk, cost, start + line + rules.liner_years, rules.liner_sd, "__s3")
-    df = _stage(df, risk, cost, start + line + rules.liner_years + rules.whole_years, rules.whole_sd, "__s4")
+    relined = line + rules.liner_years
     refills = {"2": 0, "3": rules.whole_years, "4": 2 * rules.whole_years}
-    for stage, years in refills.items():
-        df = with_risk(df, risk, start + line + years, F.lit(float(rules.whole_sd)), f"__m{stage}")
-    dearer = F.col("__s2") > cost * F.col("__m2")
-    for stage in refills:
+    staged = df.withColumns({
+        "__s2": bid * risk_at(line, rules.spot_sd, rules),
+        "__s3": cost * risk_at(relined, rules.liner_sd, rules),
+        "__s4": cost * risk_at(relined + rules.whole_years, rules.whole_sd, rules),
+        **{f"__r{stage}": cost * risk_at(line + years, rules.whole_sd, rules) for stage, years in refills.items()},
+    })
+    dearer = F.col("__s2") > F.col("__r2")
+
+    def refilled(stage: str) -> Column:
         reset = F.when(dearer, 0.0).otherwise(F.col(f"__s{stage}"))
-        refill = (reset == 0) & F.col(f"__m{stage}").isNotNull()
-        df = df.withColumn(f"{prefix}{stage}", F.when(refill, cost * F.col(f"__m{stage}")).otherwise(reset))
-    return df.drop(*[f"__s{s}" for s in refills], *[f"__m{s}" for s in refills])
+        return F.when((reset == 0) & F.col(f"__r{stage}").isNotNull(), F.col(f"__r{stage}")).otherwise(reset)
 
+    done = staged.withColumns({f"{prefix}{stage}": refilled(stage) for stage in refills})
+    return done.drop(*[f"__s{s}" for s in refills], *[f"__r{s}" for s in refills])
 
-def bpw_spot(df: DataFrame, risk: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+
+def bpw_spot(df: DataFrame, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+    """Spots at failure, liner later, then as for the liner."""
     first = F.col("first_failure")
     repair = F.col("spot_fail") * rules.emergency_factor + F.col("max_cof")
-    df = _stage(df, risk, repair, first, F.col("std_dev"), "bpw_sp1")
-    return _spot_stages(df, risk, first, "after_line", "bpw_sp", rules)
+    df = df.withColumn("bpw_sp1", repair * risk_at(first, F.col("std_dev"), rules))
+    return _spot_stages(df, first, "after_line", "bpw_sp", rules)
 
 
-def apw_open_cut(df: DataFrame, risk: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
-    df = df.withColumn("apw_oc1", total("replacecost", "pv_whole"))
-    return _stage(df, risk, _failure_cost(rules), F.lit(as_of_year + rules.whole_years), rules.whole_sd, "apw_oc2")
+def apw_open_cut(df: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+    later = F.lit(as_of_year + rules.whole_years)
+    return df.withColumns({
+        "apw_oc1": total("replacecost", "pv_whole"),
+        "apw_oc2": _failure_cost(rules) * risk_at(later, rules.whole_sd, rules),
+    })
 
 
-def apw_liner(df: DataFrame, risk: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+def apw_liner(df: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
     """Line now. The bid holds no spots: spot jobs exist for segments only, and this asks whole pipes."""
-    alone = bid_from(
-        F.col("line_nonmob"), zero("line_rate"), F.col("line_base"), zero("line_mob")
-    )
-    cost = _failure_cost(rules)
-    df = df.withColumn("apw_cipp1", zero(F.when(F.col("has_line"), alone)) + zero("pv_liner"))
-    df = _stage(df, risk, cost, F.lit(as_of_year + rules.liner_years), rules.liner_sd, "apw_cipp2")
-    return _stage(
-        df, risk, cost, F.lit(as_of_year + rules.liner_years + rules.whole_years), rules.whole_sd, "apw_cipp3"
-    )
+    alone = bid_from(F.col("line_nonmob"), zero("line_rate"), F.col("line_base"), zero("line_mob"))
+    cost, lined = _failure_cost(rules), F.lit(as_of_year + rules.liner_years)
+    return df.withColumns({
+        "apw_cipp1": zero(F.when(F.col("has_line"), alone)) + zero("pv_liner"),
+        "apw_cipp2": cost * risk_at(lined, rules.liner_sd, rules),
+        "apw_cipp3": cost * risk_at(lined + rules.whole_years, rules.whole_sd, rules),
+    })
 
 
-def apw_spot(df: DataFrame, risk: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
+def apw_spot(df: DataFrame, as_of_year: int, rules: P.LifeRules = P.LifeRules()) -> DataFrame:
     df = df.withColumn("apw_sp1", total("spot_now", "pv_spot"))
-    return _spot_stages(df, risk, F.lit(as_of_year), "after_line_now", "apw_sp", rules)
+    return _spot_stages(df, F.lit(as_of_year), "after_line_now", "apw_sp", rules)
 
 
 def nbcr(df: DataFrame) -> DataFrame:
@@ -290,21 +292,22 @@ def nbcr(df: DataFrame) -> DataFrame:
     but the first ratio read an unknown value as -10.
     """
     c = F.col
-    df = (
-        df.withColumn("bpw_own", c("bpw_oc1") + zero("bpw_oc2"))
-        .withColumn("bpw_cipp", c("bpw_cipp1") + c("bpw_cipp2") + zero("bpw_cipp3"))
-        .withColumn("bpw_sp", c("bpw_sp1") + c("bpw_sp2") + zero("bpw_sp3") + zero("bpw_sp4"))
-        .withColumn("apw_oc", c("apw_oc1") + zero("apw_oc2"))
-        .withColumn("apw_cipp", c("apw_cipp1") + c("apw_cipp2") + zero("apw_cipp3"))
-        .withColumn("apw_sp", c("apw_sp1") + c("apw_sp2") + zero("apw_sp3") + zero("apw_sp4"))
-        .withColumn("bpw_oc", F.least("bpw_own", "bpw_cipp", "bpw_sp"))
-        .drop("bpw_own")
-    )
-    for name in RATIO_NAMES:
+    df = df.withColumns({
+        "__own": c("bpw_oc1") + zero("bpw_oc2"),
+        "bpw_cipp": c("bpw_cipp1") + c("bpw_cipp2") + zero("bpw_cipp3"),
+        "bpw_sp": c("bpw_sp1") + c("bpw_sp2") + zero("bpw_sp3") + zero("bpw_sp4"),
+        "apw_oc": c("apw_oc1") + zero("apw_oc2"),
+        "apw_cipp": c("apw_cipp1") + c("apw_cipp2") + zero("apw_cipp3"),
+        "apw_sp": c("apw_sp1") + c("apw_sp2") + zero("apw_sp3") + zero("apw_sp4"),
+    })
+    df = df.withColumn("bpw_oc", F.least("__own", "bpw_cipp", "bpw_sp")).drop("__own")
+
+    def ratio(name: str) -> Column:
         cost = c("apw_" + name.rsplit("_", 1)[1])
-        ratio = F.try_divide(c("bpw_oc") - cost, cost)
-        df = df.withColumn(name, ratio if name == "nbcr_oc_oc" else F.coalesce(ratio, F.lit(-10.0)))
-    return df
+        value = F.try_divide(c("bpw_oc") - cost, cost)
+        return value if name == "nbcr_oc_oc" else F.coalesce(value, F.lit(-10.0))
+
+    return df.withColumns({name: ratio(name) for name in RATIO_NAMES})
 
 
 def with_present_value(target: DataFrame, branch: DataFrame) -> DataFrame:
@@ -321,10 +324,11 @@ def benefit(
     out = max_cof_without_replacement(out, seg, rules)
     out = spot_bids(out, spot_sums(branch, seg, jobs, as_of_year, rules, hot))
     out = out.join(line_jobs(jobs), "compkey", "left")
-    out = bpw_open_cut(out, risk, rules)
-    out = bpw_liner(out, risk, rules)
-    out = bpw_spot(out, risk, rules)
-    out = apw_open_cut(out, risk, as_of_year, rules)
-    out = apw_liner(out, risk, as_of_year, rules)
-    out = apw_spot(out, risk, as_of_year, rules)
-    return nbcr(out)
+    out = with_risk_table(out, risk)
+    out = bpw_open_cut(out, rules)
+    out = bpw_liner(out, rules)
+    out = bpw_spot(out, rules)
+    out = apw_open_cut(out, as_of_year, rules)
+    out = apw_liner(out, as_of_year, rules)
+    out = apw_spot(out, as_of_year, rules)
+    return nbcr(out.drop(RISK))

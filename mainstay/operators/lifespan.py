@@ -16,37 +16,54 @@ def risk_multiplier(spark: SparkSession, as_of_year: int, rules: P.LifeRules = P
     """Discounted chance of failure per failure year and standard deviation.
 
     Each row is the sum over the planning years of the chance to fail in that year,
-    given survival until now, discounted to now. The table has one row per
-    (year, sd) pair, so its size depends on the rules only and it is safe to
-    broadcast.
+    given survival until now, discounted to now. The sum is taken over survival
+    chances (each year's chance is a difference of two of them), so every tail is
+    computed once. The table has one row per (year, sd) pair: its size depends on
+    the rules only.
     """
     years = as_of_year + rules.risk_horizon - rules.risk_start_year + 1
     pairs = spark.range(years * rules.risk_max_sd).select(
         (F.lit(rules.risk_start_year) + F.floor(F.col("id") / rules.risk_max_sd)).cast("int").alias("failure_year"),
         (F.col("id") % rules.risk_max_sd + 1).cast("double").alias("std_dev"),
     )
-    term = pairs.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(rules.risk_horizon))))
+    last = rules.risk_horizon + 1
+    k = F.col("__k")
+    terms = pairs.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(last))))
 
-    def survival(year: Column) -> Column:
-        return upper_tail((year - F.col("failure_year")) / F.col("std_dev"))
+    def discount(step: Column) -> Column:
+        return F.pow(F.lit(rules.discount), -step)
 
-    year = F.lit(as_of_year) + F.col("__k")
-    discounted = F.pow(F.lit(rules.discount), -F.col("__k")) * (survival(year) - survival(year + 1))
-    sums = term.groupBy("failure_year", "std_dev").agg(F.sum(discounted).alias("__sum"))
-    alive = survival(F.lit(as_of_year))
-    value = F.when(alive <= 0, F.lit(1.0)).otherwise(F.col("__sum") / alive)
+    weight = (
+        F.when(k == 0, F.lit(1.0)).when(k == last, -discount(k - 1)).otherwise(discount(k) - discount(k - 1))
+    )
+    survival = upper_tail((F.lit(as_of_year) + k - F.col("failure_year")) / F.col("std_dev"))
+    sums = terms.withColumn("__alive", survival).groupBy("failure_year", "std_dev").agg(
+        F.sum(weight * F.col("__alive")).alias("__sum"), F.max(F.when(k == 0, F.col("__alive"))).alias("__now")
+    )
+    value = F.when(F.col("__now") <= 0, F.lit(1.0)).otherwise(F.col("__sum") / F.col("__now"))
     return sums.select("failure_year", "std_dev", value.alias("unit_multiplier"))
 
 
-def with_risk(df: DataFrame, risk: DataFrame, year: Column, sd: Column, into: str) -> DataFrame:
+RISK = "__risk"
+
+
+def with_risk_table(df: DataFrame, risk: DataFrame) -> DataFrame:
+    """Give every row the risk table as one ordered array, for ``risk_at``.
+
+    The array goes to each task once (about 14,600 numbers); any number of lookups
+    then needs no further join.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("failure_year", "std_dev", "unit_multiplier")))
+    packed = risk.agg(F.transform(ordered, lambda r: r["unit_multiplier"]).alias(RISK))
+    return df.crossJoin(F.broadcast(packed))
+
+
+def risk_at(year: Column, sd: Column | float, rules: P.LifeRules = P.LifeRules()) -> Column:
     """Multiplier for an exact (year, sd) pair; NULL where the table has no such row."""
-    keys = risk.select(
-        F.col("failure_year").cast("double").alias("__fy"), F.col("std_dev").alias("__sd"),
-        F.col("unit_multiplier").alias(into),
-    )
-    marked = df.withColumn("__year", year.cast("double")).withColumn("__dev", sd.cast("double"))
-    condition = (F.col("__year") == F.col("__fy")) & (F.col("__dev") == F.col("__sd"))
-    return marked.join(F.broadcast(keys), condition, "left").drop("__fy", "__sd", "__year", "__dev")
+    sd = sd if isinstance(sd, Column) else F.lit(float(sd))
+    whole_sd = (sd == F.floor(sd)) & (sd >= 1) & (sd <= rules.risk_max_sd)
+    place = (year - rules.risk_start_year) * rules.risk_max_sd + sd - 1
+    return F.when(whole_sd & (year >= rules.risk_start_year), F.get(F.col(RISK), place.cast("int")))
 
 
 def is_severe(codes: list[int], code: str = "obsevkey") -> Column:
