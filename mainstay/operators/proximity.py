@@ -25,6 +25,7 @@ from mainstay.operators.skew import HotKeys, attach, hot_keys
 from mainstay.operators.tables import shares_node
 
 MIN_CELL = 100.0
+LONG_EDGE = 1000.0
 _BOX = ["__bx1", "__by1", "__bx2", "__by2"]
 _CELLS = ["__cx", "__cy"]
 
@@ -66,7 +67,7 @@ def near_extent(features: DataFrame, ext: DataFrame, d: float = 0.0) -> DataFram
 
 
 def split_edges(edges: DataFrame, max_length: float) -> DataFrame:
-    """Cut long edges into equal pieces, so that each covers few cells."""
+    """Cut long edges into equal pieces, so that the box of each stays small."""
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     n = F.greatest(F.lit(1.0), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / max_length))
     cut = edges.withColumn("__n", n).withColumn("__k", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))))
@@ -83,16 +84,38 @@ def split_edges(edges: DataFrame, max_length: float) -> DataFrame:
     return cut.select(*others, *[c.alias(n) for c, n in zip(corners, names)])
 
 
-def _in_cells(df: DataFrame, size: float, prefix: str) -> DataFrame:
+def _box_cells(df: DataFrame, size: Column | float, prefix: str) -> DataFrame:
+    """One row per grid cell that the box of a row covers, with its first cell."""
     cells = [F.floor(F.col(b) / size) for b in _BOX]
     return (
-        df.withColumn(f"__{prefix}x", cells[0]).withColumn(f"__{prefix}y", cells[1])
+        df.withColumns({f"__{prefix}x": cells[0], f"__{prefix}y": cells[1]})
         .withColumn("__cx", F.explode(F.sequence(cells[0], cells[2])))
         .withColumn("__cy", F.explode(F.sequence(cells[1], cells[3])))
         .drop(*_BOX)
     )
 
 
+def _in_cells(df: DataFrame, size: float, prefix: str, grow: float = 0.0) -> DataFrame:
+    """Cells of points or edges. A long edge takes those along its course and keeps its own ends.
+
+    The exact test later sees the whole edge, so cutting it for the cells costs no digits.
+    """
+    if "x1" not in df.columns:
+        return _box_cells(with_box(df, grow), size, prefix)
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    n = F.greatest(F.lit(1.0), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / size))
+    k = F.col("__k")
+    pieces = df.withColumn("__n", n).withColumn("__k", F.explode(F.sequence(F.lit(0), (F.col("__n") - 1).cast("int"))))
+    ax, ay = F.col("x1") + dx * k / F.col("__n"), F.col("y1") + dy * k / F.col("__n")
+    bx, by = F.col("x1") + dx * (k + 1) / F.col("__n"), F.col("y1") + dy * (k + 1) / F.col("__n")
+    slack = grow + 1e-6
+    boxed = pieces.withColumns({
+        "__bx1": F.least(ax, bx) - slack, "__by1": F.least(ay, by) - slack,
+        "__bx2": F.greatest(ax, bx) + slack, "__by2": F.greatest(ay, by) + slack,
+    }).drop("__n", "__k")
+    return _box_cells(boxed, size, prefix)
+
+
 def _first_shared_cell() -> Column:
     return (F.col("__cx") == F.greatest("__sx", "__fx")) & (F.col("__cy") == F.greatest("__sy", "__fy"))
 
@@ -110,27 +133,24 @@ def _merged_points(points: DataFrame, extra: list[str]) -> DataFrame:
 def point_pairs(seg: DataFrame, points: DataFrame, d: float, extra: list[str] = []) -> DataFrame:
     """Segment and place pairs at a distance of at most ``d``: id, extra columns, weight, distance."""
     size = max(d, MIN_CELL)
-    places = _in_cells(with_box(_merged_points(points, extra)), size, "f")
-    pieces = _in_cells(with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), size), d), size, "s")
-    pairs = _cell_join(pieces, places, _CELLS)
+    places = _in_cells(_merged_points(points, extra), size, "f")
+    pieces = _in_cells(seg.select("id", "x1", "y1", "x2", "y2"), size, "s", d)
     distance = point_segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")])
-    near = pairs.withColumn("distance", distance).filter(F.col("distance") <= d)
+    near = _cell_join(pieces, places, _CELLS).withColumn("distance", distance).filter(F.col("distance") <= d)
     return near.groupBy("id", "x", "y", *extra).agg(
-        F.first("weight").alias("weight"), F.min("distance").alias("distance")
+        F.max("weight").alias("weight"), F.min("distance").alias("distance")
     )
 
 
 def line_pairs(seg: DataFrame, lines: DataFrame, d: float, extra: list[str] = []) -> DataFrame:
     """Segment and line-feature pairs at a distance of at most ``d``: id, feature_id, extra, distance."""
     size = max(d, MIN_CELL)
-    edges = split_edges(lines.select("feature_id", *extra, "x1", "y1", "x2", "y2"), size)
-    edges = _in_cells(with_box(edges), size, "f").select(
-        "feature_id", *extra, *_CELLS, "__fx", "__fy", *[F.col(c).alias(f"f_{c}") for c in ("x1", "y1", "x2", "y2")]
-    )
-    pieces = _in_cells(with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), size), d), size, "s")
+    ends = ["x1", "y1", "x2", "y2"]
+    edges = _in_cells(lines.select("feature_id", *extra, *ends), size, "f")
+    edges = edges.withColumnsRenamed({c: f"f_{c}" for c in ends})
+    pieces = _in_cells(seg.select("id", *ends), size, "s", d)
+    a, b = tuple(F.col(c) for c in ends), tuple(F.col(f"f_{c}") for c in ends)
     pairs = _cell_join(pieces, edges, _CELLS)
-    a = tuple(F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    b = tuple(F.col(f"f_{c}") for c in ("x1", "y1", "x2", "y2"))
     near = pairs.withColumn("distance", pieces_distance(a, b)).filter(F.col("distance") <= d)
     return near.groupBy("id", "feature_id", *extra).agg(F.min("distance").alias("distance"))
 
@@ -142,14 +162,7 @@ def _levels(polygons: DataFrame) -> DataFrame:
 
 
 def _at_level(df: DataFrame, prefix: str) -> DataFrame:
-    size = MIN_CELL * F.pow(F.lit(2.0), F.col("__level"))
-    cells = [F.floor(F.col(b) / size) for b in _BOX]
-    return (
-        df.withColumn(f"__{prefix}x", cells[0]).withColumn(f"__{prefix}y", cells[1])
-        .withColumn("__cx", F.explode(F.sequence(cells[0], cells[2])))
-        .withColumn("__cy", F.explode(F.sequence(cells[1], cells[3])))
-        .drop(*_BOX)
-    )
+    return _box_cells(df, MIN_CELL * F.pow(F.lit(2.0), F.col("__level")), prefix)
 
 
 def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
@@ -163,13 +176,20 @@ def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
     left = _at_level(
         boxes.crossJoin(F.broadcast(used)).withColumn("__level", F.explode("__used")).drop("__used"), "s"
     )
-    right = _at_level(leveled.withColumn("__edges", polygon_edges(F.col("parts"))).drop("parts"), "f")
-    return _cell_join(left, right, ["__level", *_CELLS])
+    outlines = leveled.withColumn("__edges", polygon_edges(F.col("parts"))).drop("parts")
+    kept = outlines.withColumns({f"__p{b[3:]}": F.col(b) for b in _BOX})
+    pairs = _cell_join(left, _at_level(kept, "f"), ["__level", *_CELLS])
+    # Most pairs of a cell do not even overlap in their boxes: drop those before the exact test.
+    low_x, low_y, high_x, high_y = _box_columns(boxes)
+    overlap = (
+        (high_x >= F.col("__px1")) & (low_x <= F.col("__px2")) & (high_y >= F.col("__py1")) & (low_y <= F.col("__py2"))
+    )
+    return pairs.filter(overlap).drop("__px1", "__py1", "__px2", "__py2")
 
 
 def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: list[str] = []) -> DataFrame:
     """Segment and polygon pairs that meet, with the length inside: id, feature_id, extra, length_inside."""
-    boxes = with_box(seg.select("id", "x1", "y1", "x2", "y2"))
+    boxes = with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), LONG_EDGE))
     pairs = polygon_candidates(boxes, polygons.select("feature_id", "parts", *extra))
     piece = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
     met = pairs.filter(piece_meets_area(*piece, F.col("__edges")))
@@ -292,12 +312,12 @@ def street_crossings(seg: DataFrame, streets: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(*aggs).filter(F.coalesce(*STREET_CROSSINGS.values()).isNotNull())
 
 
-def _six_measures(pairs: DataFrame, size: str, cross: str, near: str) -> DataFrame:
+def _six_measures(pairs: DataFrame, size: str, cross: str, size_prefix: str, near: str) -> DataFrame:
     touching, apart = F.col("distance") == 0, F.col("distance") > 0
     return pairs.groupBy("id").agg(
         F.sum(F.when(touching, 1)).alias(f"x{cross}"),
-        F.max(F.when(touching, F.col(size))).alias(f"x{near}maxd"),
-        F.min(F.when(touching, F.col(size))).alias(f"x{near}mind"),
+        F.max(F.when(touching, F.col(size))).alias(f"{size_prefix}maxd"),
+        F.min(F.when(touching, F.col(size))).alias(f"{size_prefix}mind"),
         F.sum(F.when(apart, 1)).alias(f"p{cross}"),
         F.max(F.when(apart, F.col(size))).alias(f"p{near}maxd"),
         F.min(F.when(apart, F.col("distance"))).alias(f"pft2{near}"),
@@ -318,13 +338,13 @@ def sewer_pairs(seg: DataFrame, nodes: DataFrame, sewers: DataFrame, d: float =
 
 def sewer_crossings(seg: DataFrame, nodes: DataFrame, sewers: DataFrame, d: float = 12.0) -> DataFrame:
     """Crossing and parallel sewers: counts, sizes and the nearest."""
-    return _six_measures(sewer_pairs(seg, nodes, sewers, d), "pipesize", "sewer", "swr")
+    return _six_measures(sewer_pairs(seg, nodes, sewers, d), "pipesize", "sewer", "xswr", "swr")
 
 
 def water_crossings(seg: DataFrame, mains: DataFrame, d: float = 12.0, abandoned: str = "ABN") -> DataFrame:
     """The same six measures for water mains in use; a main of unknown status does not count."""
     used = mains.filter(F.lower("status") != abandoned.lower())
-    return _six_measures(line_pairs(seg, used, d, ["mainsize"]), "mainsize", "wtr", "wtr")
+    return _six_measures(line_pairs(seg, used, d, ["mainsize"]), "mainsize", "wtr", "xwm", "wtr")
 
 
 def buildings(seg: DataFrame, polygons: DataFrame) -> DataFrame:
@@ -349,6 +369,23 @@ def lateral_count(pipes: DataFrame, laterals: DataFrame, hot: HotKeys | None = N
     return attach(pipes.select("id", "compkey"), counts, "compkey", "left", hot)
 
 
+# Columns of the wide result table.
+WIDE_COLUMNS = """
+id globalid us_node_id ds_node_id compkey
+xwtr xwmind xwmaxd pwtr pwtrmaxd pft2wtr
+xsewer xswrmind xswrmaxd psewer pswrmaxd pft2swr
+xstrt xart xmjart xfrwy pstrt pstrttyp pstrttext pft2strt ptraffic
+uxclx uxft2clx dxclx dxft2clx
+xfiber pfiber pft2fiber xgas pgas pft2gas xrail prail pft2rail xlrt plrt pft2lrt xemt pemt pft2emt
+xezonc xezonp xftezonc xftezonp xezareac xezareap
+uxms4 uxuic udepth ddepth xpipslope gslope
+xecsi xft2ecsi xecsilen xecsivol
+xschl xft2schl xhosp xft2hosp xpol xft2pol xfire xft2fire
+xbldg xft2bldg xhyd xft2hyd
+hardarea length parentlength diamwidth height cutno poverty xsfr lateralcount
+""".split()
+
+
 def crossing_table(base: DataFrame, layers: list[DataFrame], columns: list[str] | None = None) -> DataFrame:
     """Wide table: one row per segment with the results of all layers.
 
@@ -358,5 +395,5 @@ def crossing_table(base: DataFrame, layers: list[DataFrame], columns: list[str]
     wide = reduce(lambda acc, layer: acc.join(layer, "id", "left"), layers, base)
     if columns is None:
         return wide
-    missing = [F.lit(None).alias(c) for c in columns if c not in wide.columns]
-    return wide.select(*[F.col(c) for c in columns if c in wide.columns], *missing)
+    known = set(wide.columns)
+    return wide.select(*[F.col(c) if c in known else F.lit(None).cast("double").alias(c) for c in columns])
