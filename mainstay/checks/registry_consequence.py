@@ -54,16 +54,11 @@ SQL["c8_separated_area_fine"] = C8
 Q["c9_basement_flooding"] = lambda v: _money(K.basement_flooding(v("link"), COSTS))
 C9 = _label("sum(2 * 9000 * 0.5)", "BASEMENTFLOODING", 1, 10) + " FROM totals GROUP BY compkey"
 SQL["c9_basement_flooding"] = f"WITH {TOTALS} {C9}"
-Q["c10_flooding_health"] = lambda v: _money(K.flooding_health(v("link"), v("linkxp"), COSTS))
+Q["c10_flooding_health"] = lambda v: _money(K.flooding_health(v("link"), v("linkxp"), v("street"), COSTS))
 C10 = _label("sum(9000 * 2 * 0.5)", "PUBHEALTHBSMT", 1, 12) + " FROM cross_rows WHERE compkey IN (SELECT compkey FROM totals) GROUP BY compkey"
 SQL["c10_flooding_health"] = f"WITH {CROSS}, {TOTALS} {C10}"
 
 
-def _streets(v):
-    args = (v("link"), v("linkxp"), v("street"), COSTS)
-    return _money(K.sinkhole_freeway(*args).unionByName(K.sinkhole_major(*args)).unionByName(K.sinkhole_residential(*args)))
-
-
 def _sink(amount, reason, test):
     return _label(f"sum({amount})", reason, 1, 12) + (
         f" FROM cross_rows x JOIN street s ON s.street_number = x.pstrttyp GROUP BY compkey, street_grp HAVING {test}"
@@ -73,15 +68,15 @@ def _sink(amount, reason, test):
 C11B = _sink(250000, "PUBHEALTHSINKFRWY", "street_grp = 'Frwy'")
 C11C = _sink(120000, "PUBHEALTHSINKMJRART", "street_grp = 'MjrArt'")
 C11D = _sink(40000, "PUBHEALTHSINKRES", "street_grp = 'Art' OR street_grp = 'Strt'")
-Q["c11_sinkholes"] = _streets
+Q["c11_sinkholes"] = lambda v: _money(K.sinkholes(v("link"), v("linkxp"), v("street"), COSTS))
 SQL["c11_sinkholes"] = f"WITH {CROSS} {C11B} UNION ALL {C11C} UNION ALL {C11D}"
-Q["c12_near_public_building"] = lambda v: _money(K.near_public_building(v("link"), v("linkxp"), COSTS))
+Q["c12_near_public_building"] = lambda v: _money(K.near_public_building(v("link"), v("linkxp"), v("street"), COSTS))
 C12 = _label("sum(15000)", "PUBHEALTHNEARPUBBLDG", 1, 12) + (
     " FROM cross_rows GROUP BY compkey, xschl, xhosp, xpol, xfire HAVING xschl > 0 OR xhosp > 0 OR xpol > 0 OR xfire > 0"
 )
 SQL["c12_near_public_building"] = f"WITH {CROSS} {C12}"
 Q["c13_spill_and_school"] = lambda v: _money(
-    K.spill_near_school(v("link"), v("linkxp"), COSTS).unionByName(K.spill_far_school(v("link"), v("linkxp"), COSTS))
+    K.spill_and_school(v("link"), v("linkxp"), v("street"), COSTS)
 )
 C13F = _label("sum(8000)", "PUBHEALTHSPILLNEARSCH", 1, 12) + " FROM cross_rows GROUP BY compkey, xschl HAVING xschl > 0"
 C13G = _label("sum(3000)", "PUBHEALTHSPILLNEARSCH", 1, 12) + " FROM cross_rows GROUP BY compkey, xschl HAVING xschl = 0"

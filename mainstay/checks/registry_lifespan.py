@@ -150,11 +150,8 @@ FROM (SELECT *, insp_curr IN (3, 4) AND hservstat <> 'NEW' AND (2040 - year(inst
 
 
 def _percent(v):
-    summary = _summary(v)
-    seg = L.failure_percent(v("seg").select("id", "compkey"), summary, _hot(v))
-    wholes = L.failure_percent_whole(v("whole").select("id", "compkey"), summary)
-    cols = ["id", "compkey", "seg_count", "fail_near", "fail_prev", "fail_tot", "fail_pct"]
-    return rounded(seg.select(*cols).unionByName(wholes.select(*cols)), ["fail_pct"])
+    both = v("seg").select("id", "compkey").unionByName(v("whole").select("id", "compkey"))
+    return rounded(L.failure_percent(both, _summary(v), v.hot("seg")), ["fail_pct"])
 
 
 Q["d29_failure_percent"] = _percent

@@ -34,7 +34,8 @@ def surcharged(surcharge: DataFrame, limit: float) -> DataFrame:
 
 
 def observations_with_severity(
-    insp: DataFrame, obs: DataFrame, severities: tuple[str, ...], hot: HotKeys | None = None
+    insp: DataFrame, obs: DataFrame, severities: tuple[str, ...], hot: HotKeys | None = None,
+    hot_inspections: HotKeys | None = None,
 ) -> DataFrame:
     """Latest-inspection observations of the severities, with a length of at least ten feet."""
     inspected = insp.join(obs.select("inspkey").distinct(), "inspkey", "left_semi")
@@ -43,18 +44,18 @@ def observations_with_severity(
     found = obs.filter(F.lower("severity").isin([s.lower() for s in severities])).select(
         "inspkey", "distfrom", F.when(length < 10, 10.0).otherwise(length).alias("defect_length")
     )
-    return attach(found, latest, "inspkey", "inner")
+    return attach(found, latest, "inspkey", "inner", hot_inspections)
 
 
 def defect_fraction(
     insp: DataFrame, obs: DataFrame, seg: DataFrame, whole_pipes: DataFrame, severities: tuple[str, ...],
-    limit: float = LENGTH_LIMIT, hot: HotKeys | None = None,
+    limit: float = LENGTH_LIMIT, hot: HotKeys | None = None, hot_inspections: HotKeys | None = None,
 ) -> DataFrame:
     """Pipes where defects of the severities cover more than ``limit`` of the length.
 
     Each owned segment counts its longest defect once.
     """
-    found = observations_with_severity(insp, obs, severities, hot)
+    found = observations_with_severity(insp, obs, severities, hot, hot_inspections)
     places = found.groupBy("compkey", "distfrom").agg(F.max("defect_length").alias("defect_length"))
     owned = seg.filter(F.col("remarks").isin(*P.OWNER_REMARKS)).select("id", "compkey", "fm", "to_")
     longest = point_in_segment(owned, places).groupBy("id", "compkey").agg(

@@ -67,6 +67,7 @@ def valid_inspections(
     subset: DataFrame | None = None,
     code: str = "obcode",
     hot: HotKeys | None = None,
+    hot_inspections: HotKeys | None = None,
 ) -> DataFrame:
     """Observations of inspections that have an asset and a structural index, up to a date.
 
@@ -78,7 +79,7 @@ def valid_inspections(
     known = attach(dated, asset, "compkey", "inner", hot)
     rated = known.join(index_history, "inspkey")
     score = F.when(F.col(code).isin(structural_codes), F.col("obrating").cast("double")).otherwise(0.0)
-    return attach(obs, rated, "inspkey", "inner").withColumn("newscore", score)
+    return attach(obs, rated, "inspkey", "inner", hot_inspections).withColumn("newscore", score)
 
 
 def latest_observations(*sources: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -87,10 +88,12 @@ def latest_observations(*sources: DataFrame, hot: HotKeys | None = None) -> Data
     return reduce(DataFrame.unionByName, latest)
 
 
-def observations_of_latest(insp: DataFrame, obs: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def observations_of_latest(
+    insp: DataFrame, obs: DataFrame, hot: HotKeys | None = None, hot_inspections: HotKeys | None = None
+) -> DataFrame:
     """Observations joined to the latest inspections only; older ones never reach the join."""
     latest = rows_at_max(insp, ["compkey"], "startdttm", hot)
-    return attach(obs, latest, "inspkey", "inner")
+    return attach(obs, latest, "inspkey", "inner", hot_inspections)
 
 
 def scored_places(obs: DataFrame, peak: DataFrame) -> DataFrame:

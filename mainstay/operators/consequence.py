@@ -57,20 +57,23 @@ def trace_totals(links: DataFrame) -> DataFrame:
     )
 
 
-def crossings(links: DataFrame, xp: DataFrame) -> DataFrame:
-    """Crossing rows with the pipe of their link; repeated links repeat the row.
+def _weighted_crossings(links: DataFrame, xp: DataFrame) -> DataFrame:
+    """Crossing rows with the pipe of their link and ``copies``: how often the row counts.
 
-    The number of repeats is carried as one explode instead of a second join on
-    the links.
+    A link listed n times meets each of its n trace rows n times. The number is kept
+    as a weight, so copies are never spelled out before a sum.
     """
-    repeats = links.groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__n"))
-    named = trace(links).select("mlinkid", F.col("compkey").alias("__pipe"))
-    joined = xp.join(repeats, "mlinkid").join(named, "mlinkid")
-    return (
-        joined.drop("compkey").withColumnRenamed("__pipe", "compkey")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-        .drop("__n", "__copy")
-    )
+    rows = links.groupBy("mlinkid", "compkey").agg(F.count(F.lit(1)).alias("__own"))
+    total = links.groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__all"))
+    weighted = rows.join(total, "mlinkid").select("mlinkid", "compkey", (F.col("__own") * F.col("__all")).alias("copies"))
+    return xp.drop("compkey").join(weighted, "mlinkid")
+
+
+def crossings(links: DataFrame, xp: DataFrame) -> DataFrame:
+    """Crossing rows with the pipe of their link; repeated links repeat the row."""
+    rows = _weighted_crossings(links, xp)
+    numbered = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return numbered.drop("copies", "__copy")
 
 
 def capital_replacement(links: DataFrame, link_costs: DataFrame) -> DataFrame:
@@ -81,10 +84,12 @@ def capital_replacement(links: DataFrame, link_costs: DataFrame) -> DataFrame:
 
 def replacement_cost(links: DataFrame, link_costs: DataFrame, xp: DataFrame) -> DataFrame:
     """Replacement cost per pipe; a link counts once per crossing row and per trace row."""
-    crossing_rows = crossings(links, xp).groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__x"))
-    trace_rows = trace(links).groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__t"))
-    costs = capital_replacement(links, link_costs).join(crossing_rows, "mlinkid").join(trace_rows, "mlinkid")
-    return _sum_of(costs, F.col("cost") * F.col("__x") * F.col("__t"), REPLACEMENT)
+    crossed = xp.groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__x"))
+    listed = links.groupBy("mlinkid").agg(F.count(F.lit(1)).alias("__n"))
+    costs = capital_replacement(links, link_costs).join(crossed, "mlinkid").join(listed, "mlinkid")
+    # Crossing rows exist once per pair of link and trace rows, and meet each trace row again.
+    times = F.col("__x") * F.col("__n") * F.col("__n") * F.col("__n")
+    return _sum_of(costs, F.col("cost") * times, REPLACEMENT)
 
 
 def emergency_repair(
@@ -117,54 +122,88 @@ def basement_flooding(links: DataFrame, costs: ConsequenceCosts) -> DataFrame:
     return _sum_of(trace_totals(links), _flooding(costs), FLOODING)
 
 
-def _crossings_of_traced(links: DataFrame, xp: DataFrame) -> DataFrame:
-    # Every crossing row with a known pipe has a row in the trace totals, and only
-    # one: joining the two would change nothing.
-    return crossings(links, xp).filter(F.col("compkey").isNotNull())
+FLOOD, FREEWAY_LAYER, MAJOR_LAYER, RESIDENTIAL_LAYER, BUILDING_LAYER, NEAR_SCHOOL, FAR_SCHOOL = (
+    "flood", "freeway", "major", "residential", "building", "near_school", "far_school",
+)
+HEALTH_LABELS = {
+    FLOOD: FLOODING_HEALTH, FREEWAY_LAYER: SINKHOLE_FREEWAY, MAJOR_LAYER: SINKHOLE_MAJOR,
+    RESIDENTIAL_LAYER: SINKHOLE_RESIDENTIAL, BUILDING_LAYER: NEAR_BUILDING, NEAR_SCHOOL: SPILL, FAR_SCHOOL: SPILL,
+}
 
 
-def flooding_health(links: DataFrame, xp: DataFrame, costs: ConsequenceCosts) -> DataFrame:
-    return _sum_of(_crossings_of_traced(links, xp), _flooding(costs), FLOODING_HEALTH)
+def health_layers(
+    links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts,
+    wanted: list[str] = list(HEALTH_LABELS), major: str = MAJOR_ARTERIAL,
+) -> DataFrame:
+    """The health and safety layers in one pass over the crossing rows.
 
+    Every crossing row is labelled with the layers it falls in and the group it
+    counts for there; one aggregation then sums all layers. Every crossing row with
+    a known pipe has exactly one row in the trace totals, so that join is left out.
+    """
+    rows = _weighted_crossings(links, xp).filter(F.col("compkey").isNotNull())
+    groups = streets.groupBy("street_number").agg(F.collect_list(F.lower("street_grp")).alias("__streets"))
+    rows = rows.join(groups, F.col("pstrttyp") == F.col("street_number"), "left")
+    amounts = {
+        FLOOD: _flooding(costs), FREEWAY_LAYER: costs.sinkhole_freeway, MAJOR_LAYER: costs.sinkhole_major,
+        RESIDENTIAL_LAYER: costs.sinkhole_residential, BUILDING_LAYER: costs.public_building,
+        NEAR_SCHOOL: costs.spill_near_school, FAR_SCHOOL: costs.spill_far_school,
+    }
 
-def sinkhole(
-    links: DataFrame, xp: DataFrame, streets: DataFrame, groups: list[str], amount: float,
-    label: tuple[str, int, int],
-) -> DataFrame:
-    """One amount per crossing row beside a street of the group; one result row per group."""
-    wanted = [g.lower() for g in groups]
-    beside = streets.filter(F.lower("street_grp").isin(wanted))
-    rows = _crossings_of_traced(links, xp).join(beside, F.col("pstrttyp") == F.col("street_number"))
-    return _sum_of(rows, amount, label, ("compkey", "street_grp"))
+    def entry(layer: str, group: Column) -> Column:
+        return F.struct(F.lit(layer).alias("layer"), group.cast("string").alias("group"), F.lit(float(amounts[layer])).alias("amount"))
 
+    def listed(test: Column, layer: str, group: Column) -> Column:
+        return F.when(test, F.array(entry(layer, group)))
 
-def sinkhole_freeway(links, xp, streets, costs: ConsequenceCosts) -> DataFrame:
-    return sinkhole(links, xp, streets, [FREEWAY], costs.sinkhole_freeway, SINKHOLE_FREEWAY)
+    def beside(layer: str, names: list[str]) -> Column:
+        hits = F.filter("__streets", lambda s: s.isin([n.lower() for n in names]))
+        return F.transform(hits, lambda s: entry(layer, s))
 
+    any_near = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in BUILDING_FLAGS])
+    flags = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in BUILDING_FLAGS])
+    choices = {
+        FLOOD: listed(F.lit(True), FLOOD, F.lit("")),
+        FREEWAY_LAYER: beside(FREEWAY_LAYER, [FREEWAY]),
+        MAJOR_LAYER: beside(MAJOR_LAYER, [major]),
+        RESIDENTIAL_LAYER: beside(RESIDENTIAL_LAYER, [ARTERIAL, STREET]),
+        BUILDING_LAYER: listed(any_near, BUILDING_LAYER, flags),
+        NEAR_SCHOOL: listed(F.col("xschl") > 0, NEAR_SCHOOL, F.col("xschl")),
+        FAR_SCHOOL: listed(F.col("xschl") == 0, FAR_SCHOOL, F.col("xschl")),
+    }
+    entries = F.flatten(F.array_compact(F.array(*[choices[w] for w in wanted])))
+    labelled = rows.select("compkey", "copies", F.explode(entries).alias("__e"))
+    sums = labelled.groupBy("compkey", "__e.layer", "__e.group").agg(
+        F.sum(F.col("__e.amount") * F.col("copies")).alias("consequence")
+    )
 
-def sinkhole_major(links, xp, streets, costs: ConsequenceCosts, group: str = MAJOR_ARTERIAL) -> DataFrame:
-    return sinkhole(links, xp, streets, [group], costs.sinkhole_major, SINKHOLE_MAJOR)
+    def label(place: int) -> Column:
+        chosen = F.when(F.lit(False), None)
+        for layer in wanted:
+            chosen = chosen.when(F.col("layer") == layer, HEALTH_LABELS[layer][place])
+        return chosen
 
+    return sums.select("compkey", "consequence", label(1).alias("sfm"), label(2).alias("tblf"), label(0).alias("reason"))
 
-def sinkhole_residential(links, xp, streets, costs: ConsequenceCosts) -> DataFrame:
-    return sinkhole(links, xp, streets, [ARTERIAL, STREET], costs.sinkhole_residential, SINKHOLE_RESIDENTIAL)
 
+def flooding_health(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:
+    """The flooding amount once per crossing row."""
+    return health_layers(links, xp, streets, costs, [FLOOD])
 
-def near_public_building(links: DataFrame, xp: DataFrame, costs: ConsequenceCosts) -> DataFrame:
-    """One result row per combination of the four building counts with any above 0."""
-    any_near = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in BUILDING_FLAGS])
-    rows = _crossings_of_traced(links, xp).filter(any_near)
-    return _sum_of(rows, costs.public_building, NEAR_BUILDING, ("compkey", *BUILDING_FLAGS))
 
+def sinkholes(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:
+    """One amount per crossing row beside a freeway, major arterial or smaller street; one row per street group."""
+    return health_layers(links, xp, streets, costs, [FREEWAY_LAYER, MAJOR_LAYER, RESIDENTIAL_LAYER])
 
-def spill_near_school(links: DataFrame, xp: DataFrame, costs: ConsequenceCosts) -> DataFrame:
-    rows = _crossings_of_traced(links, xp).filter(F.col("xschl") > 0)
-    return _sum_of(rows, costs.spill_near_school, SPILL, ("compkey", "xschl"))
+
+def near_public_building(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:
+    """One result row per combination of the four building counts with any above 0."""
+    return health_layers(links, xp, streets, costs, [BUILDING_LAYER])
 
 
-def spill_far_school(links: DataFrame, xp: DataFrame, costs: ConsequenceCosts) -> DataFrame:
-    rows = _crossings_of_traced(links, xp).filter(F.col("xschl") == 0)
-    return _sum_of(rows, costs.spill_far_school, SPILL, ("compkey", "xschl"))
+def spill_and_school(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:
+    """Spill near a school (per count of schools) and far from any; both carry the same reason."""
+    return health_layers(links, xp, streets, costs, [NEAR_SCHOOL, FAR_SCHOOL])
 
 
 def _united(layers: list[DataFrame]) -> DataFrame:
@@ -173,12 +212,7 @@ def _united(layers: list[DataFrame]) -> DataFrame:
 
 def all_health_safety(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:
     """All health and safety layers; identical rows merge."""
-    return _united([
-        flooding_health(links, xp, costs), sinkhole_freeway(links, xp, streets, costs),
-        sinkhole_major(links, xp, streets, costs), sinkhole_residential(links, xp, streets, costs),
-        near_public_building(links, xp, costs), spill_near_school(links, xp, costs),
-        spill_far_school(links, xp, costs),
-    ])
+    return health_layers(links, xp, streets, costs).distinct()
 
 
 def health_safety(links: DataFrame, xp: DataFrame, streets: DataFrame, costs: ConsequenceCosts) -> DataFrame:

@@ -306,6 +306,7 @@ def difficult_area(df: DataFrame, is_whole: bool = False, whole_factor: float =
 def laterals(
     insp: DataFrame, obs: DataFrame, code: str = "obkey", lateral: int | str = P.LATERAL_CODE,
     excluded: tuple[int, ...] = P.LATERAL_EXCLUDED, hot: HotKeys | None = None,
+    hot_inspections: HotKeys | None = None,
 ) -> DataFrame:
     """Lateral observations of each pipe's latest inspection.
 
@@ -315,7 +316,7 @@ def laterals(
     usable = obs.filter(~F.col("obsevkey").isin(*excluded)).select("inspkey").distinct()
     latest = latest_inspections(insp.join(usable, "inspkey", "left_semi"), hot)
     found = obs.filter(F.col(code) == lateral).select("inspkey", "distfrom", "obsevkey", "obskey")
-    return attach(found, latest.select("inspkey", "compkey", "compdttm"), "inspkey", "inner")
+    return attach(found, latest.select("inspkey", "compkey", "compdttm"), "inspkey", "inner", hot_inspections)
 
 
 def lateral_unit(unit: P.UnitCosts = P.UnitCosts()) -> float:

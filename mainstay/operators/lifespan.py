@@ -179,21 +179,22 @@ def in_replacement(whole_pipes: DataFrame, as_of_year: int, rules: P.LifeRules =
     )
 
 
-def failure_percent(seg: DataFrame, summary: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Counts of the pipe on each segment, with the failed share in percent."""
+def failure_percent(pipes: DataFrame, summary: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Counts of the pipe on each of its rows, with the failed share in percent.
+
+    Takes segments and whole pipes in one frame. Pipe 0 gets no share, and its whole
+    row no counts.
+    """
     counts = summary.select(
         "compkey", F.col("segments").alias("seg_count"), F.col("broken").alias("fail_near"),
         F.col("fixed").alias("fail_prev"), F.col("failed").alias("fail_tot"),
     )
-    plain = seg.drop("seg_count", "fail_near", "fail_prev", "fail_tot", "fail_pct")
+    plain = pipes.drop("seg_count", "fail_near", "fail_prev", "fail_tot", "fail_pct")
     joined = attach(plain, counts, "compkey", "left", hot)
+    is_segment = F.col("id") >= P.FIRST_SEGMENT_ID
+    kept = {n: F.when(is_segment | (F.col("compkey") != 0), F.col(n)) for n in counts.columns[1:]}
     share = F.when(F.col("seg_count") == 0, 0.0).otherwise(100.0 * F.col("fail_tot") / F.col("seg_count"))
-    return joined.withColumn("fail_pct", F.when(F.col("compkey") != 0, share))
-
-
-def failure_percent_whole(whole_pipes: DataFrame, summary: DataFrame) -> DataFrame:
-    """The same counts on whole pipes; pipe 0 keeps none."""
-    return failure_percent(whole_pipes, summary.filter(F.col("compkey") != 0))
+    return joined.withColumns(kept).withColumn("fail_pct", F.when(F.col("compkey") != 0, share))
 
 
 def repaired_material(seg: DataFrame, base: DataFrame) -> DataFrame:
