@@ -39,14 +39,17 @@ def _mark(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
 def trim_matrix(branch: DataFrame, surcharge: DataFrame, sagging: DataFrame, ovaling: DataFrame) -> DataFrame:
     """Blank ratios that are not possible: lining under surcharge, all but open cut when deformed."""
     marked = _mark(_mark(branch, surcharge, "__wet"), sagging.select("compkey").union(ovaling.select("compkey")), "__bent")
-    for name in RATIO_NAMES:
+    wet, bent = F.coalesce("__wet", F.lit(False)), F.coalesce("__bent", F.lit(False))
+
+    def kept(name: str) -> Column:
         blank = F.lit(False)
         if name in SURCHARGE_BLANKS:
-            blank = blank | F.coalesce("__wet", F.lit(False))
+            blank = blank | wet
         if name in DEFORMED_BLANKS:
-            blank = blank | F.coalesce("__bent", F.lit(False))
-        marked = marked.withColumn(name, F.when(~blank, F.col(name)))
-    return marked.drop("__wet", "__bent")
+            blank = blank | bent
+        return F.when(~blank, F.col(name))
+
+    return marked.withColumns({name: kept(name) for name in RATIO_NAMES}).drop("__wet", "__bent")
 
 
 FAMILIES = ("oc", "sp", "cipp")
@@ -96,11 +99,10 @@ def gate_few_spots(branch: DataFrame, seg: DataFrame, bad_score: float = 100.0)
 
 def _overrule(marked: DataFrame, solution: str, note: str) -> DataFrame:
     noted = F.concat(F.coalesce("problems", F.lit("")), F.lit(note))
-    return (
-        marked.withColumn("solution", F.when(F.col("__hit"), solution).otherwise(F.col("solution")))
-        .withColumn("problems", F.when(F.col("__hit"), noted).otherwise(F.col("problems")))
-        .drop("__hit", "__few")
-    )
+    return marked.withColumns({
+        "solution": F.when(F.col("__hit"), solution).otherwise(F.col("solution")),
+        "problems": F.when(F.col("__hit"), noted).otherwise(F.col("problems")),
+    }).drop("__hit", "__few")
 
 
 def gate_sandwich(branch: DataFrame, whole_pipes: DataFrame, min_grade: int = 4) -> DataFrame:
@@ -197,10 +199,12 @@ def wide_costs(final: DataFrame, jobs: DataFrame) -> DataFrame:
         for kind, name in kinds.items() for part, value in parts.items()
     ]
     wide = final.join(jobs.groupBy("id").agg(*aggs), "id", "left")
-    for name in kinds.values():
+
+    def alone(name: str) -> Column:
         days = F.col(f"{name}_base_days") + F.col(f"{name}_mob_days")
-        wide = wide.withColumn(f"{name}_only", F.col(f"{name}_cost") + F.col(f"{name}_rate") * days)
-    return wide
+        return F.col(f"{name}_cost") + F.col(f"{name}_rate") * days
+
+    return wide.withColumns({f"{name}_only": alone(name) for name in kinds.values()})
 
 
 def _by_solution(values: dict[str, str]) -> Column:
@@ -243,11 +247,11 @@ def recommend(final: DataFrame, branch: DataFrame, as_of_year: int, horizon: int
         "bpw": _by_solution({OPEN_CUT: "bpw_oc", SPOT: "bpw_sp", LINER: "bpw_cipp", NOT_LINABLE: "bpw_oc", SANDWICH: "bpw_oc"}),
         "apw_spot": F.col("apw_sp"), "apw_liner": F.col("apw_cipp"), "apw_whole": F.col("apw_oc"),
     }
-    out = joined.withColumn(
-        "failure_action", F.when(F.coalesce(cleared, F.lit(False)), None).when(late, DO_NOTHING_FIRST)
-    ).withColumn("recommended", F.when(chosen, F.col("solution")).otherwise(F.lit(DO_NOTHING)))
-    for name, value in picked.items():
-        out = out.withColumn(name, F.when(chosen, value))
+    out = joined.withColumns({
+        "failure_action": F.when(F.coalesce(cleared, F.lit(False)), None).when(late, DO_NOTHING_FIRST),
+        "recommended": F.when(chosen, F.col("solution")).otherwise(F.lit(DO_NOTHING)),
+        **{name: F.when(chosen, value) for name, value in picked.items()},
+    })
     return out.select(*final.drop("problems", "max_cof").columns, "problems", "max_cof", "failure_action", "recommended", *picked)
 
 
