@@ -119,7 +119,7 @@ def point_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: Ho
     keys = ["id", "compkey", "cutno", "fm", "to_", "seg_count"]
     narrow = seg.select(*keys)
     point = F.col("distto").isNull() | (F.col("distto") == 0) | (F.col("distto") == F.col("distfrom"))
-    inner = point_in_segment(narrow.filter(~is_last), places.filter(point))
+    inner = point_in_segment(narrow.filter(~is_last), places.filter(point), hot=hot)
     last = narrow.filter(is_last)
     overrun = attach(places, last, "compkey", "inner", hot).filter(F.col("distfrom") >= F.col("fm"))
     cols = ["id", "compkey", "cutno", "peak_score"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainstay.operators.skew import HotKeys, attach
+from mainstay.operators.skew import HotKeys, attach, hot_keys
 
 CELL_FEET = 50.0
 _CELL, _FIRST, _LAST = "__cell", "__first", "__last"
@@ -52,6 +52,12 @@ def pipe_extent(seg: DataFrame, key: str = "compkey") -> DataFrame:
     )
 
 
+def _join_cells(cells: DataFrame, spans: DataFrame, key: str, hot: HotKeys | None) -> DataFrame:
+    """Join on pipe and cell. Only a pipe with very many rows can have a crowded cell, so only then it is looked for."""
+    crowded = hot_keys(spans, [key, _CELL]) if hot is not None and hot.found else None
+    return attach(spans, cells, [key, _CELL], "inner", crowded)
+
+
 def overlap_join(
     seg: DataFrame,
     iv: DataFrame,
@@ -67,8 +73,9 @@ def overlap_join(
     All four variants imply that the closed ranges meet, so a pair shares at least
     one cell and is kept in the first one it shares: no pair appears twice. The
     interval is first clipped to the extent of its pipe, so an overrun or a wrong
-    far end does not make cells where no segment lies. ``hot`` spreads that step
-    for pipes that own very many intervals.
+    far end does not make cells where no segment lies. ``hot`` names the pipes that own
+    very many intervals: it spreads that step, and where there are such pipes their
+    crowded cells are split as well.
     """
     test = VARIANTS[variant]
     s_lo, s_hi = F.least("fm", "to_"), F.greatest("fm", "to_")
@@ -85,14 +92,15 @@ def overlap_join(
     )
     first_shared = F.col(_CELL) == F.greatest(F.col(_FIRST), F.col("__ifirst"))
     return (
-        cells.join(spans.drop("__low", "__high"), [key, _CELL])
+        _join_cells(cells, spans.drop("__low", "__high"), key, hot)
         .filter(first_shared & test(F.col("fm"), F.col("to_"), F.col(lo), F.col(hi)))
         .drop(_CELL, _FIRST, "__ifirst")
     )
 
 
 def point_in_segment(
-    seg: DataFrame, points: DataFrame, at: str = "distfrom", key: str = "compkey", cell: float = CELL_FEET
+    seg: DataFrame, points: DataFrame, at: str = "distfrom", key: str = "compkey", cell: float = CELL_FEET,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Pairs of segment and point with fm <= point < to_."""
     cells = seg.filter(F.col("fm") < F.col("to_")).withColumn(
@@ -100,7 +108,7 @@ def point_in_segment(
     )
     located = points.filter(F.col(at).isNotNull()).withColumn(_CELL, _cell(F.col(at), cell))
     inside = (F.col("fm") <= F.col(at)) & (F.col(at) < F.col("to_"))
-    return cells.join(located, [key, _CELL]).filter(inside).drop(_CELL)
+    return _join_cells(cells, located, key, hot).filter(inside).drop(_CELL)
 
 
 def clipped_length(length: Column | str = "length", lo: str = "distfrom", hi: str = "distto") -> Column:

@@ -106,7 +106,7 @@ def defect_ledger(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: HotKeys
     )
     points = defects.filter(F.col("distfrom") == F.col("distto"))
     is_last = F.coalesce(F.col("cutno") == F.col("seg_count"), F.lit(False))
-    inner = point_in_segment(narrow.filter(~is_last), points)
+    inner = point_in_segment(narrow.filter(~is_last), points, hot=hot)
     overrun = attach(points, narrow.filter(is_last), "compkey", "inner", hot).filter(F.col("distfrom") >= F.col("fm"))
     picked = [*columns, F.col("newscore").alias("score")]
     return lines.unionByName(inner.select(*picked)).unionByName(overrun.select(*picked))

@@ -13,6 +13,7 @@ of (x, y) corners: outer borders, islands and holes alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -121,16 +122,20 @@ def _first_shared_cell() -> Column:
 
 
 def _cell_join(seg_cells: DataFrame, feat_cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Join on cells; crowded cells are split by feature and their segments repeated."""
-    joined = attach(feat_cells, seg_cells, keys, "inner", hot_keys(feat_cells, keys))
+    """Join on cells. A cell crowded with features is split by feature, else one crowded with segments by segment."""
+    crowded = hot_keys(feat_cells, keys)
+    if crowded.found:
+        joined = attach(feat_cells, seg_cells, keys, "inner", crowded)
+    else:
+        joined = attach(seg_cells, feat_cells, keys, "inner", hot_keys(seg_cells, keys))
     return joined.filter(_first_shared_cell()).drop(*keys, "__sx", "__sy", "__fx", "__fy")
 
 
-def _merged_points(points: DataFrame, extra: list[str]) -> DataFrame:
+def _merged_points(points: DataFrame, extra: Sequence[str]) -> DataFrame:
     return points.groupBy("x", "y", *extra).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def point_pairs(seg: DataFrame, points: DataFrame, d: float, extra: list[str] = []) -> DataFrame:
+def point_pairs(seg: DataFrame, points: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:
     """Segment and place pairs at a distance of at most ``d``: id, extra columns, weight, distance."""
     size = max(d, MIN_CELL)
     places = _in_cells(_merged_points(points, extra), size, "f")
@@ -142,7 +147,7 @@ def point_pairs(seg: DataFrame, points: DataFrame, d: float, extra: list[str] =
     )
 
 
-def line_pairs(seg: DataFrame, lines: DataFrame, d: float, extra: list[str] = []) -> DataFrame:
+def line_pairs(seg: DataFrame, lines: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:
     """Segment and line-feature pairs at a distance of at most ``d``: id, feature_id, extra, distance."""
     size = max(d, MIN_CELL)
     ends = ["x1", "y1", "x2", "y2"]
@@ -187,7 +192,7 @@ def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
     return pairs.filter(overlap).drop("__px1", "__py1", "__px2", "__py2")
 
 
-def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: list[str] = []) -> DataFrame:
+def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Segment and polygon pairs that meet, with the length inside: id, feature_id, extra, length_inside."""
     boxes = with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), LONG_EDGE))
     pairs = polygon_candidates(boxes, polygons.select("feature_id", "parts", *extra))
@@ -203,14 +208,14 @@ def start_point_in(starts: DataFrame, polygons: DataFrame) -> DataFrame:
     return pairs.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id").distinct()
 
 
-def count_within(seg: DataFrame, points: DataFrame, d: float, extra: list[str] = []) -> DataFrame:
+def count_within(seg: DataFrame, points: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:
     """Number of points within ``d`` and the nearest of them, per segment; none gives no row."""
     return point_pairs(seg, points, d, extra).groupBy("id", *extra).agg(
         F.sum("weight").alias("near"), F.min("distance").alias("nearest")
     )
 
 
-def count_crossing(seg: DataFrame, lines: DataFrame, extra: list[str] = []) -> DataFrame:
+def count_crossing(seg: DataFrame, lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Number of line features that cross or touch each segment."""
     return line_pairs(seg, lines, 0.0, extra).groupBy("id", *extra).agg(F.count(F.lit(1)).alias("crossing"))
 

@@ -36,6 +36,19 @@ def test_overlap_equals_brute_force(spark, variant):
     assert sorted((r.id, r.k) for r in salted.select("id", "k").collect()) == expected
 
 
+def test_crowded_cells_keep_all_pairs(spark, monkeypatch):
+    from mainstay.operators import intervals as I
+
+    seg, iv = segments(spark), intervals(spark)
+    plain = sorted(map(str, overlap_join(seg, iv, "closed").select("id", "k").collect()))
+    pts = iv.filter("compkey IS NOT NULL").select("k", "compkey", "distfrom")
+    inside = sorted(map(str, point_in_segment(seg, pts).select("id", "k").collect()))
+    hot = hot_keys(iv, ["compkey"], rows_per_task=5)
+    monkeypatch.setattr(I, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=2))
+    assert sorted(map(str, overlap_join(seg, iv, "closed", hot=hot).select("id", "k").collect())) == plain
+    assert sorted(map(str, point_in_segment(seg, pts, hot=hot).select("id", "k").collect())) == inside
+
+
 def test_closed_variant_is_range_overlap(spark):
     seg = segments(spark)
     iv = intervals(spark).filter("distfrom <= distto")

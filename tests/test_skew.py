@@ -71,6 +71,13 @@ def test_crowded_cells_keep_all_pairs(spark, monkeypatch):
     plain = sorted(map(str, X.count_within(seg, pts, 30.0).collect()))
     monkeypatch.setattr(X, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=10))
     assert sorted(map(str, X.count_within(seg, pts, 30.0).collect())) == plain
+    # Few features, so that only the segments crowd a cell.
+    few = pts.filter("feature_id < 8")
+    crowd = seg.unionByName(seg.withColumn("id", F.col("id") + 100))
+    monkeypatch.setattr(X, "hot_keys", hot_keys)
+    plain = sorted(map(str, X.count_within(crowd, few, 30.0).collect()))
+    monkeypatch.setattr(X, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=15))
+    assert sorted(map(str, X.count_within(crowd, few, 30.0).collect())) == plain
 
 
 def test_no_nested_loop_but_for_one_row_tables(spark):
