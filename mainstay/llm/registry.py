@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mainstay.llm import bpe, line_dedup, mixing, quality_qda, quality_rules, token_counts
+from mainstay.llm import (
+    bpe, html_text, language, line_dedup, mixing, near_dedup, quality_qda, quality_rules, token_counts, topk,
+)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
@@ -18,6 +20,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(_table(spark, folder, "embeddings"))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents")).drop("_row")
 
@@ -38,6 +44,10 @@ def digests(decoded: DataFrame) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_digest(_table(spark, folder, "documents"))
 
@@ -46,6 +56,14 @@ def op7_quality_qda(spark: SparkSession, folder: str) -> DataFrame:
     return quality_qda.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(_table(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.count_tokens(_table(spark, folder, "documents"), WORD_BPE)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -53,7 +71,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_mixing, op3_quality_rules, op4_bpe, op6_line_dedup, op7_quality_qda, op10_token_counts,
+        op1_top_k, op2_mixing, op3_quality_rules, op4_bpe, op5_html_text, op6_line_dedup, op7_quality_qda, op8_near_dedup,
+        op9_language, op10_token_counts,
     )
 }
 
