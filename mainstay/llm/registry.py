@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mainstay.llm import (
-    bpe, html_text, language, line_dedup, mixing, near_dedup, quality_qda, quality_rules, token_counts, topk,
+    bpe, comparison_sql, html_text, language, line_dedup, mixing, near_dedup, quality_qda, quality_rules, token_counts, topk,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -37,9 +37,10 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(bpe.decode(encoded, WORD_BPE))
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, *keep: str) -> DataFrame:
+    """The kept columns, n_tokens, and SHA-256 of the packed ids and of the decoded text."""
     return decoded.select(
-        "doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
+        *(keep or ("doc_id",)), (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
@@ -76,4 +77,4 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = comparison_sql.SQL
