@@ -53,7 +53,7 @@ WHERE i.startdttm <= DATE '2024-01-20' AND i.compkey IN (SELECT compkey FROM seg
 """
 
 Q["d4_latest_observations"] = lambda v: C.latest_observations(
-    _valid(v, "sanitary", v("seg")), _valid(v, "storm"), hot=_hot(v, "insp")
+    _valid(v, "sanitary", v("seg")), _valid(v, "storm")
 ).select("compkey", "inspkey", "obskey", "newscore", "distfrom", "distto", "startdttm")
 SQL["d4_latest_observations"] = """
 WITH valid AS (

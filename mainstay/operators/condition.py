@@ -12,7 +12,7 @@ from mainstay import params as P
 from mainstay.functions.scalar import same_text
 from mainstay.operators.intervals import clipped_length, overlap_join, point_in_segment
 from mainstay.operators.lookups import band_lookup
-from mainstay.operators.skew import HotKeys, attach
+from mainstay.operators.skew import HotKeys, attach, hot_keys
 from mainstay.operators.tables import rows_at_max
 
 NEVER = -1
@@ -82,9 +82,12 @@ def valid_inspections(
     return attach(obs, rated, "inspkey", "inner", hot_inspections).withColumn("newscore", score)
 
 
-def latest_observations(*sources: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Observations of each pipe's latest inspection, per source, then united."""
-    latest = [rows_at_max(s, ["compkey"], "startdttm", hot) for s in sources]
+def latest_observations(*sources: DataFrame) -> DataFrame:
+    """Observations of each pipe's latest inspection, per source, then united.
+
+    Hot pipes are found among the observations themselves: a pipe with few inspections may hold most of them.
+    """
+    latest = [rows_at_max(s, ["compkey"], "startdttm", hot_keys(s, ["compkey"])) for s in sources]
     return reduce(DataFrame.unionByName, latest)
 
 
@@ -119,7 +122,7 @@ def point_defect_scores(seg: DataFrame, obs: DataFrame, peak: DataFrame, hot: Ho
     keys = ["id", "compkey", "cutno", "fm", "to_", "seg_count"]
     narrow = seg.select(*keys)
     point = F.col("distto").isNull() | (F.col("distto") == 0) | (F.col("distto") == F.col("distfrom"))
-    inner = point_in_segment(narrow.filter(~is_last), places.filter(point), hot=hot)
+    inner = point_in_segment(narrow.filter(~is_last), places.filter(point))
     last = narrow.filter(is_last)
     overrun = attach(places, last, "compkey", "inner", hot).filter(F.col("distfrom") >= F.col("fm"))
     cols = ["id", "compkey", "cutno", "peak_score"]

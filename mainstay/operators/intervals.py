@@ -52,10 +52,22 @@ def pipe_extent(seg: DataFrame, key: str = "compkey") -> DataFrame:
     )
 
 
-def _join_cells(cells: DataFrame, spans: DataFrame, key: str, hot: HotKeys | None) -> DataFrame:
-    """Join on pipe and cell. Only a pipe with very many rows can have a crowded cell, so only then it is looked for."""
-    crowded = hot_keys(spans, [key, _CELL]) if hot is not None and hot.found else None
-    return attach(spans, cells, [key, _CELL], "inner", crowded)
+def _join_cells(cells: DataFrame, spans: DataFrame, key: str) -> DataFrame:
+    """Join on pipe and cell. Both sides are plain shuffles, so Spark splits a crowded cell at run time."""
+    return spans.join(cells, [key, _CELL])
+
+
+def _clipped_cells(
+    seg: DataFrame, reach: DataFrame, low: Column, high: Column, key: str, cell: float, hot: HotKeys | None
+) -> DataFrame:
+    """Segments once per cell they touch between the first and the last position asked for on their pipe."""
+    wide = hot_keys(seg, [key]) if hot is not None else None
+    asked = attach(seg, reach, key, "inner", wide)
+    first, last = F.greatest(low, F.col("__ilow")), F.least(high, F.col("__ihigh"))
+    return (
+        asked.filter(first <= last).withColumn(_FIRST, _cell(first, cell))
+        .withColumn(_CELL, F.explode(F.sequence(_cell(first, cell), _cell(last, cell)))).drop("__ilow", "__ihigh")
+    )
 
 
 def overlap_join(
@@ -73,15 +85,15 @@ def overlap_join(
     All four variants imply that the closed ranges meet, so a pair shares at least
     one cell and is kept in the first one it shares: no pair appears twice. The
     interval is first clipped to the extent of its pipe, so an overrun or a wrong
-    far end does not make cells where no segment lies. ``hot`` names the pipes that own
-    very many intervals: it spreads that step, and where there are such pipes their
-    crowded cells are split as well.
+    far end does not make cells where no segment lies; segments are clipped to the
+    extent of their pipe's intervals in the same way. ``hot`` names the pipes that own
+    very many intervals and spreads that step.
     """
     test = VARIANTS[variant]
-    s_lo, s_hi = F.least("fm", "to_"), F.greatest("fm", "to_")
-    cells = seg.withColumn(_FIRST, _cell(s_lo, cell)).withColumn(
-        _CELL, F.explode(F.sequence(_cell(s_lo, cell), _cell(s_hi, cell)))
+    reach = iv.filter(F.coalesce(lo, hi).isNotNull()).groupBy(key).agg(
+        F.min(F.least(lo, hi)).alias("__ilow"), F.max(F.greatest(lo, hi)).alias("__ihigh")
     )
+    cells = _clipped_cells(seg, reach, F.least("fm", "to_"), F.greatest("fm", "to_"), key, cell, hot)
     low = F.greatest(F.least(lo, hi), F.col("__low"))
     high = F.least(F.greatest(lo, hi), F.col("__high"))
     # A missing end leaves a point: least() and greatest() skip NULL.
@@ -92,7 +104,7 @@ def overlap_join(
     )
     first_shared = F.col(_CELL) == F.greatest(F.col(_FIRST), F.col("__ifirst"))
     return (
-        _join_cells(cells, spans.drop("__low", "__high"), key, hot)
+        _join_cells(cells, spans.drop("__low", "__high"), key)
         .filter(first_shared & test(F.col("fm"), F.col("to_"), F.col(lo), F.col(hi)))
         .drop(_CELL, _FIRST, "__ifirst")
     )
@@ -100,15 +112,15 @@ def overlap_join(
 
 def point_in_segment(
     seg: DataFrame, points: DataFrame, at: str = "distfrom", key: str = "compkey", cell: float = CELL_FEET,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Pairs of segment and point with fm <= point < to_."""
-    cells = seg.filter(F.col("fm") < F.col("to_")).withColumn(
-        _CELL, F.explode(F.sequence(_cell(F.col("fm"), cell), _cell(F.col("to_"), cell)))
-    )
     located = points.filter(F.col(at).isNotNull()).withColumn(_CELL, _cell(F.col(at), cell))
+    reach = located.groupBy(key).agg(F.min(at).alias("__ilow"), F.max(at).alias("__ihigh"))
+    cells = _clipped_cells(
+        seg.filter(F.col("fm") < F.col("to_")), reach, F.col("fm"), F.col("to_"), key, cell, None
+    )
     inside = (F.col("fm") <= F.col(at)) & (F.col(at) < F.col("to_"))
-    return _join_cells(cells, located, key, hot).filter(inside).drop(_CELL)
+    return _join_cells(cells.drop(_FIRST), located, key).filter(inside).drop(_CELL)
 
 
 def clipped_length(length: Column | str = "length", lo: str = "distfrom", hi: str = "distto") -> Column:

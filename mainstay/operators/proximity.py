@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from mainstay.functions.geometry import (
     length_inside, piece_meets_area, pieces_distance, point_in_area, point_segment_distance, polygon_edges,
 )
-from mainstay.operators.skew import HotKeys, attach, hot_keys
+from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import shares_node
 
 MIN_CELL = 100.0
@@ -122,13 +122,8 @@ def _first_shared_cell() -> Column:
 
 
 def _cell_join(seg_cells: DataFrame, feat_cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Join on cells. A cell crowded with features is split by feature, else one crowded with segments by segment."""
-    crowded = hot_keys(feat_cells, keys)
-    if crowded.found:
-        joined = attach(feat_cells, seg_cells, keys, "inner", crowded)
-    else:
-        joined = attach(seg_cells, feat_cells, keys, "inner", hot_keys(seg_cells, keys))
-    return joined.filter(_first_shared_cell()).drop(*keys, "__sx", "__sy", "__fx", "__fy")
+    """Join on cells. Both sides are plain shuffles, so Spark splits a crowded cell at run time."""
+    return seg_cells.join(feat_cells, keys).filter(_first_shared_cell()).drop(*keys, "__sx", "__sy", "__fx", "__fy")
 
 
 def _merged_points(points: DataFrame, extra: Sequence[str]) -> DataFrame:

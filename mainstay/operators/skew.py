@@ -1,10 +1,11 @@
 """Joins that survive one key holding a large share of the rows.
 
 A pipe, inspection or node may own a third of a table. Aggregations are safe
-(Spark combines them before the shuffle); joins on that key are not, because all
-its rows meet in one task. ``hot_keys`` finds such keys once, on a base table, and
-``attach`` spreads their rows over many tasks and repeats the matching side for
-them only. Where there is no such key the plan is a plain join.
+(Spark combines them before the shuffle); joins on that key with an aggregated
+side are not split at run time, because only plain shuffles are. ``hot_keys``
+finds such keys on a base table, and ``attach`` spreads their rows over many
+tasks and repeats the matching side for them only. Both are lazy: the counts are
+part of the plan that needs them, and building a plan starts no job.
 """
 
 from __future__ import annotations
@@ -14,55 +15,48 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_LIMIT = 1_000
-ROWS_PER_TASK = 1_000_000
-MAX_SALTS = 4_096
+# A key is hot above this part of an even partition's rows; so there are at most
+# PARTS_PER_PARTITION keys for each shuffle partition, whatever the size of the data.
+PARTS_PER_PARTITION = 4
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """At most ``HOT_LIMIT`` keys with the number of parts to split each into; ``table`` is None for none."""
+    """The hot keys, and into how many parts to split the rows of each, as a lazy table."""
 
     keys: tuple[str, ...]
-    table: DataFrame | None
+    table: DataFrame
 
-    @property
-    def found(self) -> bool:
-        return self.table is not None
 
+def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> HotKeys:
+    """Keys that own more than one of ``parts`` equal parts of all rows.
 
-def hot_keys(
-    df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK, limit: int = HOT_LIMIT
-) -> HotKeys:
-    """Keys with more rows than one task should hold.
-
-    Only the ``limit`` largest are taken: by counting, any other key owns less than
-    1/limit of all rows. So the result is bounded whatever the size of the data,
-    and it travels with the plan as a local table. Counts are exact, so both sides
-    of a join see the same set. One narrow aggregation; take it from a base table
-    and pass it on.
+    There are fewer than ``parts`` such keys by counting, so their table is small enough
+    to broadcast at any size of the data; no key is left out. Counts are exact, so
+    both sides of a join see the same set.
     """
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    parts = F.least(F.ceil(F.col("__n") / rows_per_task), F.lit(MAX_SALTS)).cast("int")
-    largest = counts.filter(F.col("__n") > rows_per_task).orderBy(F.desc("__n")).limit(limit)
-    largest = largest.select(*keys, parts.alias(_SALTS))
-    rows = largest.collect()
-    table = df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
+    if parts is None:
+        parts = PARTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = df.select(*keys).dropna(subset=keys)
+    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    share = F.col("__n") * F.lit(parts) / F.greatest(known.agg(F.count(F.lit(1))).scalar(), F.lit(1))
+    table = counts.where(share > 1).select(*keys, F.ceil(share).cast("int").alias(_SALTS))
     return HotKeys(tuple(keys), table)
 
 
 def _row_hash(df: DataFrame) -> Column:
-    # A hash of the row and not rand(): a re-run task must give the same salt.
-    return F.xxhash64(*[f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
+    # A hash of the row and its partition, not rand(): a re-run task must give the same salt.
+    names = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.xxhash64(F.spark_partition_id(), *names)
 
 
 def salt_rows(rows: DataFrame, hot: HotKeys) -> DataFrame:
     """Number the rows of hot keys 0..parts-1; all other rows get 0."""
-    marked = rows.join(F.broadcast(hot.table), list(hot.keys), "left")
-    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(_row_hash(rows), F.col(_SALTS))).otherwise(0)
-    return marked.withColumn(_SALT, salt.cast("int")).drop(_SALTS)
+    marked = rows.withColumn("__mark", _row_hash(rows)).join(F.broadcast(hot.table), list(hot.keys), "left")
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(F.col("__mark"), F.col(_SALTS))).otherwise(0)
+    return marked.withColumn(_SALT, salt.cast("int")).drop(_SALTS, "__mark")
 
 
 def repeat_rows(rows: DataFrame, hot: HotKeys) -> DataFrame:
@@ -82,7 +76,7 @@ def attach(
     rows of hot keys are spread by salt first.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if hot is None or not hot.found:
+    if hot is None:
         return rows.join(other, keys, how)
     left, right = salt_rows(rows, hot), repeat_rows(other, hot)
     return left.join(right, keys + [_SALT], how).drop(_SALT)

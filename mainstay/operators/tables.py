@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainstay.functions.scalar import all_known, col
+from mainstay.functions.scalar import col
 from mainstay.operators.skew import HotKeys, attach
 
 HOURS_PER_DAY = 8.0
@@ -18,17 +18,9 @@ def rows_at_max(
 ) -> DataFrame:
     """All rows that hold the largest ``order`` of their key; ties are kept.
 
-    Where no key is hot, a rank with a limit per group does it in one shuffle: each
-    task first drops all rows below the best it has seen. Else, or where nothing is
-    known about the keys, the maximum is combined before the shuffle and joined
-    back, so no task sorts all rows of one key. With ``keep_unknown`` a key whose
-    values are all NULL keeps its rows.
+    The maximum is combined before the shuffle and joined back, so no task sorts all
+    rows of one key. With ``keep_unknown`` a key whose values are all NULL keeps its rows.
     """
-    if hot is not None and not hot.found:
-        place = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
-        # Without a key there is no group: such rows leave here, as they do in a join.
-        known = df.filter(all_known([*keys] if keep_unknown else [*keys, order]))
-        return known.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
     best = df.groupBy(*keys).agg(F.max(order).alias("__best"))
     joined = attach(df, best, keys, "inner", hot)
     test = F.col(order).eqNullSafe(F.col("__best")) if keep_unknown else F.col(order) == F.col("__best")
@@ -113,12 +105,16 @@ def sandwich(middle: DataFrame, ends: DataFrame) -> DataFrame:
 def give_to(df: DataFrame, values: DataFrame, takers: Column, key: str = "compkey", own: str = "id") -> DataFrame:
     """Join per-pipe ``values`` to the few rows of each pipe that take them.
 
-    All other rows get a key of their own that matches nothing: they spread evenly,
-    and a pipe with very many segments is not gathered in one task.
+    All other rows match nothing, whatever the keys are: a second key, their own id for
+    them and 0 for takers, spreads them evenly, so a pipe with very many segments is
+    not gathered in one task.
     """
-    target = F.when(takers, F.col(key)).otherwise(-F.col(own) - 1)
-    right = values.withColumnRenamed(key, "__key")
-    return df.withColumn("__key", target).join(right, "__key", "left").drop("__key")
+    taking = F.coalesce(takers, F.lit(False))
+    right = values.withColumnRenamed(key, "__key").withColumns({"__taker": F.lit(True), "__spread": F.lit(0).cast("long")})
+    left = df.withColumns({
+        "__key": F.col(key), "__taker": taking, "__spread": F.when(taking, 0).otherwise(F.col(own)).cast("long"),
+    })
+    return left.join(right, ["__key", "__taker", "__spread"], "left").drop("__key", "__taker", "__spread")
 
 
 def copy_whole_to_segments(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mainstay.operators import condition as C
 from mainstay.operators.intervals import VARIANTS, clipped_length, overlap_join, point_in_segment
-from mainstay.operators.lookups import band_lookup, ceiling_lookup, floor_lookup, pack
+from mainstay.operators.lookups import band_lookup, ceiling_lookup, floor_lookup
 from mainstay.operators.skew import hot_keys
 
 SEG = "id long, compkey long, fm double, to_ double"
@@ -32,21 +32,17 @@ def test_overlap_equals_brute_force(spark, variant):
     expected = sorted((r.id, r.k) for r in seg.join(iv, "compkey").filter(test).select("id", "k").collect())
     found = overlap_join(seg, iv, variant)
     assert sorted((r.id, r.k) for r in found.select("id", "k").collect()) == expected
-    salted = overlap_join(seg, iv, variant, hot=hot_keys(iv, ["compkey"], rows_per_task=5))
+    salted = overlap_join(seg, iv, variant, hot=hot_keys(iv, ["compkey"], parts=20))
     assert sorted((r.id, r.k) for r in salted.select("id", "k").collect()) == expected
 
 
-def test_crowded_cells_keep_all_pairs(spark, monkeypatch):
-    from mainstay.operators import intervals as I
-
-    seg, iv = segments(spark), intervals(spark)
-    plain = sorted(map(str, overlap_join(seg, iv, "closed").select("id", "k").collect()))
-    pts = iv.filter("compkey IS NOT NULL").select("k", "compkey", "distfrom")
-    inside = sorted(map(str, point_in_segment(seg, pts).select("id", "k").collect()))
-    hot = hot_keys(iv, ["compkey"], rows_per_task=5)
-    monkeypatch.setattr(I, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=2))
-    assert sorted(map(str, overlap_join(seg, iv, "closed", hot=hot).select("id", "k").collect())) == plain
-    assert sorted(map(str, point_in_segment(seg, pts, hot=hot).select("id", "k").collect())) == inside
+def test_far_ends_make_no_cells(spark):
+    seg = segments(spark).unionByName(spark.createDataFrame([(99, 1, 0.0, 1e15)], SEG))
+    iv = intervals(spark).filter("distto < 1e6")
+    found = overlap_join(seg, iv, "closed")
+    assert found.filter("id = 99").count() == iv.filter("compkey = 1").count()
+    pts = iv.filter("compkey IS NOT NULL AND distfrom IS NOT NULL").select("k", "compkey", "distfrom")
+    assert point_in_segment(seg, pts).filter("id = 99").count() == pts.filter("compkey = 1").count()
 
 
 def test_closed_variant_is_range_overlap(spark):
@@ -109,6 +105,41 @@ def test_band_edges_and_unknown_material(spark):
     assert found == {1: 30.0, 4: 50.0}
 
 
-def test_oversized_lookup_fails(spark):
-    with pytest.raises(Exception, match="more than"):
-        pack(spark.range(10_050).toDF("bound"), ["bound"], "rows").collect()
+def brute_floor(rows, values, strict=False):
+    fits = [r for r in rows if all((v > b) if strict else (v >= b) for v, b in zip(values, r))]
+    return max(fits)[-1] if fits else None
+
+
+def test_large_lookup_tables(spark):
+    """50,000 uneven bounds, in both directions, against a plain search."""
+    import bisect
+
+    bounds = sorted({round(1.0003 ** (k % 40_000) + k / 7, 4) for k in range(50_000)})
+    table = spark.createDataFrame([(b, float(k)) for k, b in enumerate(bounds)], "bound double, out double").repartition(8)
+    values = [bounds[0] - 1, bounds[-1] + 1, *bounds[::997], *[b + 0.01 for b in bounds[::1009]]]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    up = {r.v: r.hit for r in ceiling_lookup(df, "v", table, "bound", {"out": "hit"}).collect()}
+    down = {r.v: r.hit for r in floor_lookup(df, ["v"], table, ["bound"], {"out": "hit"}).collect()}
+    for v in values:
+        at, below = bisect.bisect_left(bounds, v), bisect.bisect_right(bounds, v) - 1
+        assert up[v] == (at if at < len(bounds) else None)
+        assert down[v] == (below if below >= 0 else None)
+
+
+def test_two_bounds_decide_in_order(spark):
+    rows = [(a, b, 100.0 * a + b) for a, b in itertools.product((1.0, 4.0, 6.0, 30.0), (0.0, 2.0, 9.0)) if (a + b) % 5 != 0]
+    table = spark.createDataFrame(rows, "a double, b double, out double")
+    ends = [0.0, 0.5, 1.0, 2.0, 4.0, 5.0, 6.0, 8.5, 9.0, 31.0]
+    df = spark.createDataFrame(list(itertools.product(ends, ends)) + [(None, 1.0), (1.0, None)], "x double, y double")
+    for strict in (False, True):
+        found = {(r.x, r.y): r.hit for r in floor_lookup(df, ["x", "y"], table, ["a", "b"], {"out": "hit"}, strict=strict).collect()}
+        for pair in itertools.product(ends, ends):
+            assert found[pair] == brute_floor(rows, pair, strict), (pair, strict)
+        assert found[None, 1.0] is None and found[1.0, None] is None
+
+
+def test_empty_lookup_table(spark):
+    table = spark.createDataFrame([], "bound double, out double")
+    df = spark.createDataFrame([(1.0,), (None,)], "v double")
+    assert [r.hit for r in ceiling_lookup(df, "v", table, "bound", {"out": "hit"}, {"out": 5.0}).collect()] == [5.0, 5.0]
+    assert [r.hit for r in floor_lookup(df, ["v"], table, ["bound"], {"out": "hit"}).collect()] == [None, None]

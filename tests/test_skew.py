@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from mainstay.operators import proximity as X
 from mainstay.operators import tables as T
 from mainstay.operators.skew import attach, hot_keys
 
@@ -13,48 +12,64 @@ def skewed(spark, n=6000):
 
 
 def test_hot_keys_are_found_and_bounded(spark):
-    hot = hot_keys(skewed(spark), ["compkey"], rows_per_task=100)
+    hot = hot_keys(skewed(spark), ["compkey"], parts=60)
     rows = [r.asDict() for r in hot.table.collect()]
     assert [r["compkey"] for r in rows] == [7]
     assert rows[0]["__salts"] >= 20
-    assert not hot_keys(skewed(spark), ["compkey"]).found
-    assert hot_keys(skewed(spark), ["compkey"], rows_per_task=1, limit=3).table.count() == 3
+    assert hot_keys(skewed(spark).filter("compkey <> 7"), ["compkey"], parts=60).table.count() == 0
+    # However fine the parts, there are fewer hot keys than parts.
+    assert hot_keys(skewed(spark), ["compkey"], parts=400).table.count() < 400
 
 
 def test_attach_gives_the_same_rows(spark):
     rows = skewed(spark)
     other = spark.range(0, 500, 7).select(F.col("id").alias("compkey"), (F.col("id") * 2).alias("v"))
-    hot = hot_keys(rows, ["compkey"], rows_per_task=100)
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        plain = sorted(map(str, rows.join(other, ["compkey"], how).collect()))
-        assert sorted(map(str, attach(rows, other, "compkey", how, hot).collect())) == plain
+    for parts in (60, 100_000):
+        hot = hot_keys(rows, ["compkey"], parts=parts)
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            plain = sorted(map(str, rows.join(other, ["compkey"], how).collect()))
+            assert sorted(map(str, attach(rows, other, "compkey", how, hot).collect())) == plain
 
 
 def test_salted_join_spreads_the_hot_key(spark):
     from mainstay.operators.skew import salt_rows
 
-    hot = hot_keys(skewed(spark), ["compkey"], rows_per_task=100)
+    hot = hot_keys(skewed(spark), ["compkey"], parts=60)
     salts = salt_rows(skewed(spark), hot).filter("compkey = 7").select("__salt").distinct().count()
     assert salts >= 15
+    equal = spark.range(0, 6000, 1, 8).select(F.lit(7).cast("long").alias("compkey"))
+    spread = salt_rows(equal, hot_keys(equal, ["compkey"], parts=60)).select("__salt").distinct().count()
+    assert spread >= 4
 
 
 def test_rows_at_max_agrees_in_all_forms(spark):
     rows = skewed(spark).withColumn("day", F.when(F.col("compkey") == 3, None).otherwise(F.col("day")))
-    known = hot_keys(rows, ["compkey"])
-    hot = hot_keys(rows, ["compkey"], rows_per_task=100)
+    hot = hot_keys(rows, ["compkey"], parts=100_000)
     for keep in (False, True):
-        results = [
-            sorted(r.id for r in T.rows_at_max(rows, ["compkey"], "day", h, keep).collect()) for h in (None, known, hot)
-        ]
-        assert results[0] == results[1] == results[2]
+        results = [sorted(r.id for r in T.rows_at_max(rows, ["compkey"], "day", h, keep).collect()) for h in (None, hot)]
+        assert results[0] == results[1]
         assert any(r in results[0] for r in (3, 503)) == keep
 
 
+def test_building_a_query_starts_no_job(spark):
+    import __spark_entry__ as entry
+
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    for name in ("d4_latest_observations", "d7_apply_scores", "k19_direct_cost", "x2_count_within", "x9_contaminated"):
+        sc.setJobGroup(f"build-{name}", name)
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert not tracker.getJobIdsForGroup(f"build-{name}"), name
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_give_to_only_serves_takers(spark):
     rows = spark.createDataFrame([(1, 5, 0), (2, 5, 1), (3, 5, 2), (4, 6, 0)], "id long, compkey long, cutno int")
     values = spark.createDataFrame([(5, 9.0)], "compkey long, v double")
     found = {r.id: r.v for r in T.give_to(rows, values, F.col("cutno") == 1).collect()}
     assert found == {1: None, 2: 9.0, 3: None, 4: None}
+    # Negative keys can't meet the rows that take nothing.
+    below = spark.createDataFrame([(-2, 7.0), (-3, 8.0)], "compkey long, v double")
+    assert {r.v for r in T.give_to(rows, below, F.col("cutno") == 1).collect()} == {None}
 
 
 def test_accumulated_layers_add_in_any_order(spark):
@@ -65,25 +80,10 @@ def test_accumulated_layers_add_in_any_order(spark):
     assert one == two == {0: 11.5, 1: 4.0, 2: None, 3: None}
 
 
-def test_crowded_cells_keep_all_pairs(spark, monkeypatch):
-    seg = spark.range(40).select("id", (F.col("id") * 5.0).alias("x1"), F.lit(0.0).alias("y1"), (F.col("id") * 5.0 + 5).alias("x2"), F.lit(0.0).alias("y2"))
-    pts = spark.range(600).select(F.col("id").alias("feature_id"), F.when(F.col("id") % 3 == 0, 20.0).otherwise(F.col("id") * 1.0).alias("x"), (F.col("id") % 9).cast("double").alias("y"))
-    plain = sorted(map(str, X.count_within(seg, pts, 30.0).collect()))
-    monkeypatch.setattr(X, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=10))
-    assert sorted(map(str, X.count_within(seg, pts, 30.0).collect())) == plain
-    # Few features, so that only the segments crowd a cell.
-    few = pts.filter("feature_id < 8")
-    crowd = seg.unionByName(seg.withColumn("id", F.col("id") + 100))
-    monkeypatch.setattr(X, "hot_keys", hot_keys)
-    plain = sorted(map(str, X.count_within(crowd, few, 30.0).collect()))
-    monkeypatch.setattr(X, "hot_keys", lambda df, keys: hot_keys(df, keys, rows_per_task=15))
-    assert sorted(map(str, X.count_within(crowd, few, 30.0).collect())) == plain
-
-
 def test_no_nested_loop_but_for_one_row_tables(spark):
     import __spark_entry__ as entry
 
-    for name in ("d6_linear_defect_scores", "d19_stamp_material", "x16_sewer_crossings", "b6_spot_bids"):
+    for name in ("d6_linear_defect_scores", "d19_stamp_material", "x16_sewer_crossings", "k19_direct_cost"):
         plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "PythonUDF" not in plan and "ArrowEval" not in plan
