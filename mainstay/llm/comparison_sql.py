@@ -76,7 +76,7 @@ m AS (
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words AND n_symbols <= 0.1 * n_words
-    AND n_exclaims <= 0.3 * n_words AND n_stop_words >= 0.02 * n_words AND n_dup_lines <= 0.3 * n_text_lines AS kept,
+    AND n_exclaims <= 0.3 * n_words AND n_stop_words >= 0.02 * n_words AND n_dup_lines <= 0.5 * n_text_lines AS kept,
   n_text_lines, n_exclaims, n_stop_words
 FROM f
 """

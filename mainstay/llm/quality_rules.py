@@ -24,7 +24,7 @@ RULES = [
     ("symbol_ratio", "n_symbols / n_words", None, 0.10),
     ("exclaim_ratio", "n_exclaims / n_words", None, 0.30),
     ("stop_word_ratio", "n_stop_words / n_words", 0.02, None),
-    ("dup_line_ratio", "n_dup_lines / n_lines", None, 0.30),
+    ("dup_line_ratio", "n_dup_lines / n_lines", None, 0.50),
     ("repeat_word_ratio", "n_repeat_words / n_words", None, 0.50),
 ]
 
