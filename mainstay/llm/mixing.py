@@ -60,6 +60,8 @@ def _first_step(totals: DataFrame, holds, rising: bool) -> int:
                 F.max(power / F.col("tokens")).alias(f"r{step}"), F.min(power / F.col("tokens")).alias(f"s{step}"),
             ]
         row = totals.agg(F.count("*").alias("n"), F.max("all_tokens").alias("all"), *sums).first().asDict()
+        if not row["n"]:
+            return STEPS
         good = [holds(step / STEPS, row[f"z{step}"], row[f"l{step}"], row[f"r{step}"], row[f"s{step}"], row) for step in tried]
         if rising:
             at = good.index(True) if True in good else len(tried) - 1
