@@ -146,7 +146,7 @@ Q["v5_point_in_segment"] = lambda v: point_in_segment(
     v("seg").select("id", "compkey", "fm", "to_"), v("latest").select("compkey", "obskey", "distfrom")
 ).select("id", "obskey", "distfrom")
 SQL["v5_point_in_segment"] = """
-SELECT s.id, l.obskey, l.distfrom FROM latest l CROSS JOIN seg s WHERE s.compkey = l.compkey AND l.distfrom - s.fm >= 0 AND l.distfrom < s.to_
+SELECT s.id, l.obskey, l.distfrom FROM latest l JOIN seg s ON s.compkey = l.compkey AND s.fm <= l.distfrom AND l.distfrom < s.to_
 """
 
 Q["j8_band_lookup"] = lambda v: band_lookup(

@@ -269,9 +269,9 @@ b AS (SELECT *, CASE WHEN {_case(_TARGETS['OC'], 'mx')} THEN greatest(nbcr_oc_oc
 SELECT compkey, m2 AS solution_nbcr, CASE WHEN {_case(_TARGETS['OC'], 'm2')} THEN 'OC' WHEN {_case(_TARGETS['SP'], 'm2')} THEN 'SP' WHEN {_case(_TARGETS['CIPP'], 'm2')} THEN 'CIPP' END AS solution FROM b
 """
 _CHOICE = ["compkey", "solution", "problems"]
-Q["m3_gate_few_spots"] = lambda v: D.gate_few_spots(v("ratios"), v("scored").filter("length > 25")).select(*_CHOICE)
+Q["m3_gate_few_spots"] = lambda v: D.gate_few_spots(v("ratios"), v("scored")).select(*_CHOICE)
 SQL["m3_gate_few_spots"] = """
-WITH few AS (SELECT compkey FROM scored WHERE cutno > 0 AND length > 25 AND (action = 3 OR def_tot > 100) GROUP BY compkey HAVING count(*) BETWEEN 1 AND 2),
+WITH few AS (SELECT compkey FROM scored WHERE cutno > 0 AND (action = 3 OR def_tot > 100) GROUP BY compkey HAVING count(*) BETWEEN 1 AND 2),
 h AS (SELECT *, compkey IN (SELECT compkey FROM few) AND problems NOT ILIKE '%oval%' AND problems NOT ILIKE '%sagg%' AS hit FROM ratios)
 SELECT compkey, CASE WHEN hit THEN 'SP' ELSE solution END AS solution, CASE WHEN hit THEN coalesce(problems, '') || ', only one or two bad spots' ELSE problems END AS problems FROM h
 """

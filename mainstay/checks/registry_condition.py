@@ -173,9 +173,10 @@ SELECT w.id, g.insp_curr, g.rating FROM whole w LEFT JOIN (SELECT compkey, max(i
 
 Q["d11_remaining_years"] = lambda v: C.remaining_years(v("scored"), v("rosetta"), v("bands"), "def_tot").select("id", "years")
 SQL["d11_remaining_years"] = """
-SELECT s.id, CAST(trunc(b.yearstofailure) AS INT) AS years FROM scored s, rosetta r, bands b
-WHERE s.def_tot >= b.score_lower_bound AND s.def_tot < b.score_upper_bound AND lower(s.material) = lower(r.category) AND r.curve = b.curve
-""".replace("FROM scored s, rosetta r, bands b", "FROM scored s CROSS JOIN rosetta r CROSS JOIN bands b")
+SELECT s.id, CAST(trunc(b.yearstofailure) AS INT) AS years
+FROM scored s JOIN rosetta r ON lower(r.category) = lower(s.material)
+JOIN bands b ON b.curve = r.curve AND b.score_lower_bound <= s.def_tot AND s.def_tot < b.score_upper_bound
+"""
 
 
 def _life(v):

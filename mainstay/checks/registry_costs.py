@@ -533,8 +533,9 @@ def _finished(v):
     manholes = _manhole_whole(v).select("id", "manhole").unionByName(
         v("site").filter("cutno = 1").select("id", F.col("length").alias("manhole"))
     )
-    seg, pipes = K.finish_costs(seg.withColumn("spotcost", F.col("replacecost") * 0.25), pipes, manholes)
-    cols = ["id", "manhole_cost", "linercost", "line_total"]
+    priced = seg.withColumns({"spotcost": F.col("replacecost") * 0.25, "spot_total": F.col("replacecost") * 0.5})
+    seg, pipes = K.finish_costs(priced, pipes, manholes)
+    cols = ["id", "manhole_cost", "linercost", "line_total", "spot_total"]
     return rounded(seg.select(*cols).unionByName(pipes.select(*cols)), cols[1:], 3, NUDGE)
 
 
@@ -542,11 +543,13 @@ Q["k37_finish_costs"] = _finished
 SQL["k37_finish_costs"] = f"""
 WITH {MH}, {APPLIED}
 SELECT s.id, CASE WHEN s.cutno = 1 THEN t.length END AS manhole_cost, round(CASE WHEN s.action = 3 THEN s.linercost + s.replacecost ELSE s.linercost END + 0.0000001, 3) AS linercost,
-  round(s.linercost + s.lat + s.replacecost * 0.25 - s.lat * s.spot_count + 0.0000001, 3) AS line_total FROM sc s JOIN site t ON t.id = s.id
+  round(s.linercost + s.lat + s.replacecost * 0.25 - s.lat * s.spot_count + 0.0000001, 3) AS line_total, round(s.replacecost * 0.5 * s.spot_count + 0.0000001, 3) AS spot_total
+FROM sc s JOIN site t ON t.id = s.id
 UNION ALL
 SELECT p.id, round(m.manhole + 0.0000001, 3) AS manhole_cost, round(CASE WHEN a.compkey IS NOT NULL THEN p.linercost + a.spots ELSE p.linercost END + 0.0000001, 3) AS linercost,
-  round(CASE WHEN b.compkey IS NOT NULL THEN p.linercost + p.lat + b.spotcost - b.lats ELSE p.linercost + p.lat END + 0.0000001, 3) AS line_total
-FROM pc p JOIN mh m ON m.id = p.id LEFT JOIN (SELECT compkey, sum(replacecost) AS spots FROM sc WHERE compkey > 0 AND action = 3 GROUP BY compkey) a ON a.compkey = p.compkey
+  round(CASE WHEN b.compkey IS NOT NULL THEN p.linercost + p.lat + b.spotcost - b.lats ELSE p.linercost + p.lat END + 0.0000001, 3) AS line_total,
+  round(CASE WHEN h.compkey IS NOT NULL THEN h.totals ELSE p.spot_sum + p.lat END + 0.0000001, 3) AS spot_total
+FROM pc p LEFT JOIN (SELECT compkey, sum(replacecost * 0.5 * spot_count * spot_count) AS totals FROM sc GROUP BY compkey) h ON h.compkey = p.compkey JOIN mh m ON m.id = p.id LEFT JOIN (SELECT compkey, sum(replacecost) AS spots FROM sc WHERE compkey > 0 AND action = 3 GROUP BY compkey) a ON a.compkey = p.compkey
 LEFT JOIN (SELECT compkey, sum(lat * spot_count) AS lats, sum(replacecost * 0.25 * spot_count) AS spotcost FROM sc WHERE compkey > 0 GROUP BY compkey) b ON b.compkey = p.compkey
 """
 

@@ -150,14 +150,15 @@ FROM (SELECT *, insp_curr IN (3, 4) AND hservstat <> 'NEW' AND (2040 - year(inst
 
 
 def _percent(v):
-    both = v("seg").select("id", "compkey").unionByName(v("whole").select("id", "compkey"))
+    own = v("seg").select("id", "compkey", F.col("seg_count") + 100)
+    both = own.toDF("id", "compkey", "seg_count").unionByName(v("whole").select("id", "compkey"), allowMissingColumns=True)
     return rounded(L.failure_percent(both, _summary(v), v.hot("seg")), ["fail_pct"])
 
 
 Q["d29_failure_percent"] = _percent
 SQL["d29_failure_percent"] = f"""
 WITH {SUMMARY_SQL}
-SELECT s.id, s.compkey, m.segments AS seg_count, m.broken AS fail_near, m.fixed AS fail_prev, m.failed AS fail_tot,
+SELECT s.id, s.compkey, CASE WHEN s.compkey <> 0 THEN m.segments ELSE s.seg_count + 100 END AS seg_count, m.broken AS fail_near, m.fixed AS fail_prev, m.failed AS fail_tot,
   CASE WHEN s.compkey <> 0 THEN round(CASE WHEN m.segments = 0 THEN 0 ELSE 100 * CAST(m.failed AS DOUBLE) / m.segments END, 4) END AS fail_pct
 FROM seg s LEFT JOIN summ m ON m.compkey = s.compkey
 UNION ALL

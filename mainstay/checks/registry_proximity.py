@@ -55,9 +55,9 @@ MET = """
 met AS (SELECT s.id, z.feature_id, least(s.x2, z.x2) - greatest(s.x1, z.x1) AS inside FROM edge s JOIN zone z ON s.y1 BETWEEN z.y1 AND z.y2 AND s.x1 <= z.x2 AND s.x2 >= z.x1)
 """
 
-Q["x1_near_extent"] = lambda v: X.near_extent(v("zone"), X.extent(v("edge").filter("y1 < 4000")), 50.0).select("feature_id")
+Q["x1_near_extent"] = lambda v: X.near_extent(v("zone"), X.extent(v("edge")), 50.0).select("feature_id")
 SQL["x1_near_extent"] = """
-WITH e AS (SELECT min(least(x1, x2)) AS ax, min(least(y1, y2)) AS ay, max(greatest(x1, x2)) AS bx, max(greatest(y1, y2)) AS byy FROM edge WHERE y1 < 4000)
+WITH e AS (SELECT min(least(x1, x2)) AS ax, min(least(y1, y2)) AS ay, max(greatest(x1, x2)) AS bx, max(greatest(y1, y2)) AS byy FROM edge)
 SELECT z.feature_id FROM zone z CROSS JOIN e WHERE z.x2 >= e.ax - 50 AND z.x1 <= e.bx + 50 AND z.y2 >= e.ay - 50 AND z.y1 <= e.byy + 50
 """
 Q["a10_extent"] = lambda v: X.extent(v("edge"))

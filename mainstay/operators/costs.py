@@ -508,7 +508,8 @@ def finish_costs(
 ) -> tuple[DataFrame, DataFrame]:
     """Manhole prices on both grains; liner price with the spots that must go first; net line cost.
 
-    ``seg`` brings ``spotcost`` as it stands at this point of the run.
+    ``seg`` brings ``spotcost`` as it stands at this point of the run, and may bring ``spot_total``: it is
+    multiplied by the spots of the segment, and pipes with segments take the sum, again by spots.
     """
     priced = manholes.select("id", F.col("manhole").alias("manhole_cost"))
     segs = seg.join(priced, "id", "left")
@@ -517,13 +518,18 @@ def finish_costs(
     segs = segs.withColumn(
         "linercost", F.when(is_spot, F.col("linercost") + F.col("replacecost")).otherwise(F.col("linercost"))
     )
-    # One pass over the segments gives all three sums a pipe needs.
-    sums = segs.filter(F.col("compkey") > 0).groupBy("compkey").agg(
-        F.sum(F.when(is_spot, F.col("replacecost"))).alias("__spots"),
-        F.max(F.when(is_spot, F.lit(True))).alias("__any"),
+    own = F.col("spot_total") if "spot_total" in segs.columns else F.lit(None).cast("double")
+    segs = segs.withColumn("spot_total", own * F.col("spot_count"))
+    # One pass over the segments gives all sums a pipe needs; only the spot totals reach pipe 0 and below.
+    counted = F.col("compkey") > 0
+    sums = segs.groupBy("compkey").agg(
+        F.sum(F.when(counted & is_spot, F.col("replacecost"))).alias("__spots"),
+        F.max(F.when(counted & is_spot, F.lit(True))).alias("__any"),
         F.sum(F.col("lateral_segment") * F.col("spot_count")).alias("__laterals"),
         F.sum(F.col("spotcost") * F.col("spot_count")).alias("__spotcost"),
-        F.lit(True).alias("__known"),
+        F.sum(F.col("spot_total") * F.col("spot_count")).alias("__totals"),
+        F.max(counted).alias("__known"),
+        F.lit(True).alias("__has"),
     )
     net = F.col("line_total") + F.col("spotcost") - F.col("lateral_segment") * F.col("spot_count")
     segs = segs.withColumn("line_total", net)
@@ -536,4 +542,6 @@ def finish_costs(
             F.col("line_total")
         ),
     )
-    return segs, pipes.drop("__spots", "__any", "__laterals", "__spotcost", "__known")
+    if "spot_total" in pipes.columns:
+        pipes = pipes.withColumn("spot_total", F.when(F.col("__has"), F.col("__totals")).otherwise(F.col("spot_total")))
+    return segs, pipes.drop("__spots", "__any", "__laterals", "__spotcost", "__totals", "__known", "__has")

@@ -183,18 +183,20 @@ def failure_percent(pipes: DataFrame, summary: DataFrame, hot: HotKeys | None =
     """Counts of the pipe on each of its rows, with the failed share in percent.
 
     Takes segments and whole pipes in one frame. Pipe 0 gets no share, and its whole
-    row no counts.
+    row no counts; its segments keep the segment count they bring.
     """
     counts = summary.select(
         "compkey", F.col("segments").alias("seg_count"), F.col("broken").alias("fail_near"),
         F.col("fixed").alias("fail_prev"), F.col("failed").alias("fail_tot"),
     )
-    plain = pipes.drop("seg_count", "fail_near", "fail_prev", "fail_tot", "fail_pct")
+    old = F.col("seg_count") if "seg_count" in pipes.columns else F.lit(None)
+    plain = pipes.withColumn("__old_count", old.cast("long")).drop("seg_count", "fail_near", "fail_prev", "fail_tot", "fail_pct")
     joined = attach(plain, counts, "compkey", "left", hot)
     is_segment = F.col("id") >= P.FIRST_SEGMENT_ID
     kept = {n: F.when(is_segment | (F.col("compkey") != 0), F.col(n)) for n in counts.columns[1:]}
+    kept["seg_count"] = F.when(F.col("compkey") != 0, F.col("seg_count")).when(is_segment, F.col("__old_count"))
     share = F.when(F.col("seg_count") == 0, 0.0).otherwise(100.0 * F.col("fail_tot") / F.col("seg_count"))
-    return joined.withColumns(kept).withColumn("fail_pct", F.when(F.col("compkey") != 0, share))
+    return joined.withColumns(kept).withColumn("fail_pct", F.when(F.col("compkey") != 0, share)).drop("__old_count")
 
 
 def repaired_material(seg: DataFrame, base: DataFrame) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
+from mainstay.scratch import written
+
 
 def get_session(app: str = "mainstay", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are designed for.
@@ -32,26 +31,10 @@ def get_session(app: str = "mainstay", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a scratch folder only in local runs."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="mainstay-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return configured
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
+    """Write ``df`` as Parquet to the shared folder and go on from there.
 
     The copy outlives the executors that made it, so a lost executor costs one
-    stage and not the whole chain.
+    stage and not the whole chain; it goes when the driver ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return written(df, "run")
