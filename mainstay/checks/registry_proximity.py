@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mainstay.checks.common import Query, rounded
 from mainstay.operators import proximity as X
+from mainstay.plans.proximity_run import Features, crossing_run
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -127,46 +128,110 @@ SELECT n.id, {_six(('pipesize', 'xswr'), 'sewer', 'swr')} FROM near n JOIN nd q
 WHERE trim(lower(n.us_node)) NOT IN (q.u, q.dn) AND trim(lower(n.ds_node)) NOT IN (q.u, q.dn) GROUP BY n.id
 """
 Q["x17_water_crossings"] = lambda v: rounded(X.water_crossings(v("edge"), v("line")), ["pft2wtr"], 6)
-SQL["x17_water_crossings"] = f"WITH {_near_lines(12)} SELECT id, {_six(('mainsize', 'xwm'), 'wtr', 'wtr')} FROM near WHERE status <> 'ABN' GROUP BY id"
+SQL["x17_water_crossings"] = f"WITH {_near_lines(12)} SELECT id, {_six(('mainsize', 'xw'), 'wtr', 'wtr')} FROM near WHERE status <> 'ABN' GROUP BY id"
 Q["x18_buildings"] = lambda v: X.buildings(v("edge"), _polygons(v))
 SQL["x18_buildings"] = f"""
 WITH {MET} SELECT e.id, count(m.feature_id) AS xbldg, CASE WHEN count(m.feature_id) > 0 THEN CAST(0 AS DOUBLE) END AS xft2bldg FROM edge e LEFT JOIN met m ON m.id = e.id GROUP BY e.id
 """
 
 
-def _elevations(v):
-    return v("wsite").select(
+def _elevations(v, sites="wsite"):
+    return v(sites).select(
         "id", F.when(F.col("id") % 50 == 0, 0.0).otherwise(F.col("length")).alias("length"), F.col("udepth").alias("frm_depth"), F.col("ddepth").alias("to_depth"),
         F.when(F.col("id") % 17 == 0, None).otherwise(F.col("id") % 300 + 0.5).alias("frm_elev"), (F.col("id") % 280).cast("double").alias("to_elev"),
     )
 
 
 Q["x19_slopes"] = lambda v: rounded(X.slopes(_elevations(v)), ["gslope", "xpipslope"], 8)
-SQL["x19_slopes"] = """
-WITH e AS (SELECT id, CASE WHEN id % 50 = 0 THEN NULL ELSE length END AS len, udepth, ddepth, CASE WHEN id % 17 = 0 THEN NULL ELSE id % 300 + 0.5 END AS a, id % 280 AS b FROM wsite)
+def _slopes_sql(sites):
+    return f"""
+WITH e AS (SELECT id, CASE WHEN id % 50 = 0 THEN NULL ELSE length END AS len, udepth, ddepth, CASE WHEN id % 17 = 0 THEN NULL ELSE id % 300 + 0.5 END AS a, id % 280 AS b FROM {sites})
 SELECT id, udepth, ddepth, round(((a + udepth) - (b + ddepth)) / len, 8) + 0.0 AS gslope, round(CAST(a - b AS DOUBLE) / len, 8) + 0.0 AS xpipslope FROM e
 """
+
+
+SQL["x19_slopes"] = _slopes_sql("wsite")
 Q["x20_lateral_count"] = lambda v: X.lateral_count(v("seg"), v("latest").filter("obcode = 'LT'"), v.hot("seg"))
 SQL["x20_lateral_count"] = """
 SELECT s.id, s.compkey, l.n AS lateralcount FROM seg s LEFT JOIN (SELECT compkey, count(*) AS n FROM latest WHERE obcode = 'LT' GROUP BY compkey) l ON l.compkey = s.compkey
 """
 
 
-def _wide(v):
-    layers = [
-        X.hydrants(v("edge"), v("poi")), X.street_crossings(v("edge"), v("line")),
-        X.area_counts(v("edge"), _polygons(v), "hardarea"), X.water_crossings(v("edge"), v("line")).select("id", "xwtr", "pwtr"),
-    ]
-    out = X.crossing_table(v("seg").select("id", "compkey", "cutno", "length"), layers, X.WIDE_COLUMNS)
-    return rounded(out.select("id", "compkey", "cutno", "length", "xhyd", "xft2hyd", *X.STREET_CROSSINGS.values(), "hardarea", "xwtr", "pwtr", "xbldg"), ["xft2hyd"], 6)
+AREAS = [*X.AREA_COUNTS, "contaminated", "residential", *X.AREA_ZONES]
+
+
+def _areas(v):
+    """The stand-in areas dealt to the area layers, each area to two of them."""
+    return _polygons(v).withColumn("layer", F.explode(F.array(
+        F.element_at(F.lit(AREAS), (F.col("feature_id") % 6 + 1).cast("int")),
+        F.element_at(F.lit(AREAS), ((F.col("feature_id") + 2) % 6 + 1).cast("int")),
+    )))
 
 
+_LENGTHS = ["xecsilen", "xftezonc", "xftezonp"]
+
+
+def _wide(v):
+    base = v("seg").select("id", "compkey", "cutno", "length").join(
+        _nodes(v).withColumnsRenamed({"usnode": "us_node_id", "dsnode": "ds_node_id"}), "id"
+    )
+    features = Features(
+        hydrants=v("poi"), points=v("poi"), lines=v("line"), streets=v("line"), street_names=v("streetname"),
+        intersections=_legs(v), sewers=v("line"), mains=v("line"), areas=_areas(v),
+        starts_in={"uxuic": _polygons(v), "uxms4": _polygons(v).filter("feature_id % 2 = 0")},
+        elevations=_elevations(v, "site"), laterals=v("latest").filter("obcode = 'LT'"),
+    )
+    wide = crossing_run(base, v("edge"), features)
+    feet = [c for c in wide.columns if "ft2" in c]
+    return rounded(rounded(rounded(wide, feet, 6), _LENGTHS, 5), ["gslope", "xpipslope"], 8)
+
+
+def _area_sql(layer):
+    place = AREAS.index(layer)
+    return f"(feature_id % 6 = {place} OR (feature_id + 2) % 6 = {place})"
+
+
+def _area_columns():
+    parts = [f"CAST(coalesce(count(CASE WHEN {_area_sql(k)} THEN 1 END), 0) AS BIGINT) AS {n}" for k, n in X.AREA_COUNTS.items()]
+    parts += [f"nullif(count(CASE WHEN {_area_sql('contaminated')} THEN 1 END), 0) AS xecsi", f"sum(CASE WHEN {_area_sql('contaminated')} THEN inside END) AS xecsilen"]
+    for k, n in X.AREA_ZONES.items():
+        parts += [f"nullif(count(CASE WHEN {_area_sql(k)} THEN 1 END), 0) AS xezon{n}", f"sum(CASE WHEN {_area_sql(k)} THEN inside END) AS xftezon{n}", f"max(CASE WHEN {_area_sql(k)} THEN CAST(0 AS DOUBLE) END) AS xezarea{n}"]
+    return ", ".join([*parts, f"CAST(max(CASE WHEN {_area_sql('residential')} THEN 1 END) AS INT) AS xsfr"])
+
+
+# What each layer's own comparison fills; columns of the table that no layer fills stay NULL.
+_WIDE_SQL = {
+    "x5_hydrants": "xhyd xft2hyd", "x6_public_buildings": " ".join(_BUILDINGS),
+    "x7_utility_layers": " ".join(f"x{n} p{n} pft2{n}" for n in X.UTILITY_DISTANCES),
+    "x13_intersections": "uxclx uxft2clx", "x14_street_class": "pstrttyp pstrt pstrttext pft2strt",
+    "x15_street_crossings": "xstrt xart xmjart xfrwy", "x16_sewer_crossings": "xsewer xswrmaxd xswrmind psewer pswrmaxd pft2swr",
+    "x17_water_crossings": "xwtr xwmaxd xwmind pwtr pwtrmaxd pft2wtr", "x19_slopes": "udepth ddepth gslope xpipslope",
+    "x20_lateral_count": "lateralcount",
+}
+_FROM = {c: k for k, names in _WIDE_SQL.items() for c in names.split()}
+_AREA_NAMES = ["hardarea", "poverty", "xecsi", "xecsilen", "xezonc", "xftezonc", "xezareac", "xezonp", "xftezonp", "xezareap", "xsfr"]
+
+
+def _wide_column(c):
+    if c in ("id", "compkey", "cutno", "length"):
+        return f"s.{c}"
+    if c in ("us_node_id", "ds_node_id"):
+        return f"{'\' n\' || CAST(s.id % 2000 AS VARCHAR)' if c == 'us_node_id' else '\'N\' || CAST(s.cutno * 100 AS VARCHAR)'} AS {c}"
+    if c in ("uxuic", "uxms4"):
+        return f"CAST(CASE WHEN {c}.id IS NOT NULL THEN 1 END AS INT) AS {c}"
+    if c in _AREA_NAMES or c in _FROM:
+        table = "areas" if c in _AREA_NAMES else _FROM[c].split("_")[0]
+        if c in _LENGTHS:
+            return f"round({table}.{c}, 5) AS {c}"
+        return f"{table}.{c} AS {c}"
+    return f"CAST(NULL AS DOUBLE) AS {c}"
+
+
+_START = "(SELECT DISTINCT s.id FROM edge s JOIN zone z ON s.x1 >= z.x1 AND s.x1 <= z.x2 AND s.y1 >= z.y1 AND s.y1 <= z.y2{where})"
 Q["x21_crossing_table"] = _wide
-SQL["x21_crossing_table"] = f"""
-WITH {MET}, {_near_points(25).replace('near AS', 'hyd AS')}, {_near_lines(12)}
-SELECT s.id, s.compkey, s.cutno, s.length, h.xhyd, h.xft2hyd, c.xstrt, c.xart, c.xmjart, c.xfrwy, m.hardarea, w.xwtr, w.pwtr, CAST(NULL AS DOUBLE) AS xbldg
-FROM seg s LEFT JOIN (SELECT id, count(*) AS xhyd, round(min(d), 6) AS xft2hyd FROM hyd GROUP BY id) h ON h.id = s.id
-LEFT JOIN (SELECT id, {', '.join(f"CAST(nullif(sum(CASE WHEN type = '{t}' THEN 1 ELSE 0 END), 0) AS BIGINT) AS {n}" for t, n in X.STREET_CROSSINGS.items())} FROM near WHERE d = 0 GROUP BY id) c ON c.id = s.id
-LEFT JOIN (SELECT e.id, count(q.feature_id) AS hardarea FROM edge e LEFT JOIN met q ON q.id = e.id GROUP BY e.id) m ON m.id = s.id
-LEFT JOIN (SELECT id, CAST(nullif(sum(CASE WHEN d = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS xwtr, CAST(nullif(sum(CASE WHEN d > 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS pwtr FROM near WHERE status <> 'ABN' GROUP BY id) w ON w.id = s.id
-"""
+SQL["x21_crossing_table"] = (
+    f"SELECT {', '.join(map(_wide_column, X.WIDE_COLUMNS))} FROM seg s\n"
+    + "".join(f"LEFT JOIN ({_slopes_sql('site') if k == 'x19_slopes' else SQL[k]}) {k.split('_')[0]} ON {k.split('_')[0]}.id = s.id\n" for k in _WIDE_SQL)
+    + f"LEFT JOIN (WITH {MET} SELECT e.id, {_area_columns()} FROM edge e LEFT JOIN met ON met.id = e.id GROUP BY e.id) areas ON areas.id = s.id\n"
+    + f"LEFT JOIN {_START.format(where='')} uxuic ON uxuic.id = s.id LEFT JOIN {_START.format(where=' WHERE z.feature_id % 2 = 0')} uxms4 ON uxms4.id = s.id"
+)

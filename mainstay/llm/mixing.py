@@ -38,8 +38,8 @@ def document_tokens(docs: DataFrame, group: str = "source", text: str = "text")
 def source_totals(tokens: DataFrame) -> DataFrame:
     """Tokens, rows and share of each source; rows without a source form one of their own."""
     totals = tokens.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows"))
-    whole = totals.agg(F.sum("tokens").alias("all_tokens"))
-    return totals.join(F.broadcast(whole)).withColumn("share", F.col("tokens") / F.col("all_tokens"))
+    whole = tokens.agg(F.sum("n_tokens")).scalar()
+    return totals.withColumn("all_tokens", whole).withColumn("share", F.col("tokens") / F.col("all_tokens"))
 
 
 def _first_step(totals: DataFrame, holds, rising: bool) -> int:
@@ -107,13 +107,13 @@ def quotas(
     """
     a = exponent(totals, target_entropy, max_repeats, None if whole else budget)
     power = F.pow("share", F.lit(a))
-    sums = totals.agg(F.sum(power).alias("z"), F.min(power / F.col("tokens")).alias("least"))
+    z, least = totals.agg(F.sum(power)).scalar(), totals.agg(F.min(power / F.col("tokens"))).scalar()
     spend = F.lit(budget).cast("double") if budget is not None else F.col("all_tokens").cast("double")
-    spend = F.col("z") / F.col("least") if whole else spend
+    spend = z / least if whole else spend
     quota = F.floor(spend * F.col("weight"))
     quota = F.greatest(F.round(spend * F.col("weight")).cast("long"), F.col("tokens")) if whole else quota
     return (
-        totals.join(F.broadcast(sums)).withColumn("weight", power / F.col("z"))
+        totals.withColumn("weight", power / z)
         .select("source", "tokens", "rows", "weight", quota.cast("long").alias("quota"), F.lit(a).alias("exponent"))
     )
 
@@ -134,8 +134,8 @@ def mix(
     tokens = written(document_tokens(docs, group), "tokens")
     totals = written(source_totals(tokens), "sources")
     plan = quotas(totals, target_entropy, max_repeats, budget, whole).where("quota > 0")
-    blocks = plan.agg(F.greatest(F.lit(1), F.ceil(F.sum("quota") / F.lit(block_tokens))).alias("blocks"))
-    plan = plan.join(F.broadcast(blocks)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    blocks = plan.agg(F.greatest(F.lit(1), F.ceil(F.sum("quota") / F.lit(block_tokens)))).scalar()
+    plan = plan.withColumn("blocks", blocks).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     plan = plan.withColumnRenamed("source", "_source").withColumnRenamed("tokens", "_tokens")
     salted = tokens.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "_row"), F.lit(SALTS)).cast("int"))
     copies = salted.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (salted["_salt"] == plan["_salt"])).select(

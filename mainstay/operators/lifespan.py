@@ -55,7 +55,7 @@ def with_risk_table(df: DataFrame, risk: DataFrame) -> DataFrame:
     """
     ordered = F.array_sort(F.collect_list(F.struct("failure_year", "std_dev", "unit_multiplier")))
     packed = risk.agg(F.transform(ordered, lambda r: r["unit_multiplier"]).alias(RISK))
-    return df.crossJoin(F.broadcast(packed))
+    return df.withColumn(RISK, packed.scalar())
 
 
 def risk_at(year: Column, sd: Column | float, rules: P.LifeRules = P.LifeRules()) -> Column:

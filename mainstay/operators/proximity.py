@@ -172,10 +172,8 @@ def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
     other side is sent to every level in use.
     """
     leveled = _levels(with_box(polygons))
-    used = leveled.agg(F.collect_set("__level").alias("__used"))
-    left = _at_level(
-        boxes.crossJoin(F.broadcast(used)).withColumn("__level", F.explode("__used")).drop("__used"), "s"
-    )
+    used = leveled.agg(F.collect_set("__level")).scalar()
+    left = _at_level(boxes.withColumn("__level", F.explode(used)), "s")
     outlines = leveled.withColumn("__edges", polygon_edges(F.col("parts"))).drop("parts")
     kept = outlines.withColumns({f"__p{b[3:]}": F.col(b) for b in _BOX})
     pairs = _cell_join(left, _at_level(kept, "f"), ["__level", *_CELLS])
@@ -276,6 +274,32 @@ def zones(seg: DataFrame, polygons: DataFrame, name: str) -> DataFrame:
     )
 
 
+# Area layers and what they fill: a count, the length inside, or a flag.
+AREA_COUNTS = {"hard": "hardarea", "poverty": "poverty"}
+AREA_ZONES = {"zone_c": "c", "zone_p": "p"}
+
+
+def area_layers(seg: DataFrame, polygons: DataFrame) -> DataFrame:
+    """Counts, lengths and flags of all area layers (column ``layer``), from one join over them.
+
+    Counts of hard and poverty areas are 0 where none is met; the other columns stay NULL.
+    """
+    found = polygon_pairs(seg, polygons, ["layer"])
+    own = lambda layer: F.col("layer") == layer
+    number = lambda layer: F.sum(F.when(own(layer), 1))
+    length = lambda layer: F.sum(F.when(own(layer), F.col("length_inside")))
+    aggs = [number(layer).alias(name) for layer, name in AREA_COUNTS.items()]
+    aggs += [number("contaminated").alias("xecsi"), length("contaminated").alias("xecsilen")]
+    for layer, name in AREA_ZONES.items():
+        aggs += [
+            number(layer).alias(f"xezon{name}"), length(layer).alias(f"xftezon{name}"),
+            F.max(F.when(own(layer), 0.0)).alias(f"xezarea{name}"),
+        ]
+    aggs.append(F.max(F.when(own("residential"), 1)).alias("xsfr"))
+    sums = found.groupBy("id").agg(*aggs)
+    return seg.select("id").distinct().join(sums, "id", "left").fillna(0, list(AREA_COUNTS.values()))
+
+
 def residential(seg: DataFrame, polygons: DataFrame) -> DataFrame:
     return polygon_pairs(seg, polygons).select("id").distinct().withColumn("xsfr", F.lit(1))
 
@@ -344,7 +368,7 @@ def sewer_crossings(seg: DataFrame, nodes: DataFrame, sewers: DataFrame, d: floa
 def water_crossings(seg: DataFrame, mains: DataFrame, d: float = 12.0, abandoned: str = "ABN") -> DataFrame:
     """The same six measures for water mains in use; a main of unknown status does not count."""
     used = mains.filter(F.lower("status") != abandoned.lower())
-    return _six_measures(line_pairs(seg, used, d, ["mainsize"]), "mainsize", "wtr", "xwm", "wtr")
+    return _six_measures(line_pairs(seg, used, d, ["mainsize"]), "mainsize", "wtr", "xw", "wtr")
 
 
 def buildings(seg: DataFrame, polygons: DataFrame) -> DataFrame:
