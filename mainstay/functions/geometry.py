@@ -88,17 +88,19 @@ def point_in_area(px: Column, py: Column, edges: Column) -> Column:
     return odd | F.exists(edges, on_border)
 
 
-def piece_meets_area(x1: Column, y1: Column, x2: Column, y2: Column, edges: Column) -> Column:
-    """A line piece that crosses or touches the border, or starts inside."""
-    crossing = F.exists(edges, lambda e: pieces_cross((x1, y1, x2, y2), (e["x1"], e["y1"], e["x2"], e["y2"])))
-    return crossing | point_in_area(x1, y1, edges)
+def piece_meets_border(x1: Column, y1: Column, x2: Column, y2: Column, edges: Column) -> Column:
+    """A line piece that crosses or touches one of the edges."""
+    return F.exists(edges, lambda e: pieces_cross((x1, y1, x2, y2), (e["x1"], e["y1"], e["x2"], e["y2"])))
 
 
-def length_inside(x1: Column, y1: Column, x2: Column, y2: Column, edges: Column) -> Column:
-    """Length of a line piece inside a polygon.
+def length_inside(
+    x1: Column, y1: Column, x2: Column, y2: Column, edges: Column, start: Column | float = 0.0, end: Column | float = 1.0
+) -> Column:
+    """Length of a line piece inside a polygon, between two shares of its way.
 
     The piece is cut where it meets an edge; the parts whose middle lies inside add up.
     """
+    start, end = (v if isinstance(v, Column) else F.lit(v) for v in (start, end))
     dx, dy = x2 - x1, y2 - y1
 
     def cut(e: Column) -> Column:
@@ -106,10 +108,10 @@ def length_inside(x1: Column, y1: Column, x2: Column, y2: Column, edges: Column)
         cross = F.nullif(dx * ey - dy * ex, F.lit(0.0))
         t = ((e["x1"] - x1) * ey - (e["y1"] - y1) * ex) / cross
         u = ((e["x1"] - x1) * dy - (e["y1"] - y1) * dx) / cross
-        return F.when((t > 0) & (t < 1) & (u >= 0) & (u <= 1), t)
+        return F.when((t > start) & (t < end) & (u >= 0) & (u <= 1), t)
 
     cuts = F.array_compact(F.transform(edges, cut))
-    stops = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts)))
+    stops = F.array_sort(F.array_distinct(F.concat(F.array(start, end), cuts)))
     parts = _pairs(stops)
 
     def inside(p: Column) -> Column:

@@ -3,8 +3,8 @@
 Every spatial join is an equi-join on grid cells followed by an exact test. A pair
 is kept only in the first cell that both boxes share, so nothing has to be made
 distinct afterwards. Places that several features share are merged into one row
-with a weight before the join, and cells that hold a large share of the features
-are spread over many tasks.
+with a weight before the join. Both sides of a cell join are plain shuffles, so Spark
+splits a crowded cell at run time.
 
 Segments are edges (id, x1, y1, x2, y2); points are (feature_id, x, y); lines are
 edges with a feature_id; polygons are (feature_id, parts), an array of closed rings
@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainstay.functions.geometry import (
-    length_inside, piece_meets_area, pieces_distance, point_in_area, point_segment_distance, polygon_edges,
+    length_inside, piece_meets_border, pieces_distance, point_in_area, point_segment_distance, polygon_edges,
 )
 from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import shares_node
 
 MIN_CELL = 100.0
 LONG_EDGE = 1000.0
+BAND = 100.0
 _BOX = ["__bx1", "__by1", "__bx2", "__by2"]
 _CELLS = ["__cx", "__cy"]
 
@@ -59,10 +60,11 @@ def with_box(df: DataFrame, grow: float = 0.0) -> DataFrame:
 
 def near_extent(features: DataFrame, ext: DataFrame, d: float = 0.0) -> DataFrame:
     """Features whose box meets the extent grown by ``d``."""
-    boxed = with_box(features).crossJoin(F.broadcast(ext))
+    boxed = with_box(features)
+    box = ext.select(F.struct("min_x", "min_y", "max_x", "max_y")).scalar()
     meets = (
-        (F.col("__bx2") >= F.col("min_x") - d) & (F.col("__bx1") <= F.col("max_x") + d)
-        & (F.col("__by2") >= F.col("min_y") - d) & (F.col("__by1") <= F.col("max_y") + d)
+        (F.col("__bx2") >= box["min_x"] - d) & (F.col("__bx1") <= box["max_x"] + d)
+        & (F.col("__by2") >= box["min_y"] - d) & (F.col("__by1") <= box["max_y"] + d)
     )
     return boxed.filter(meets).select(*features.columns)
 
@@ -165,17 +167,22 @@ def _at_level(df: DataFrame, prefix: str) -> DataFrame:
     return _box_cells(df, MIN_CELL * F.pow(F.lit(2.0), F.col("__level")), prefix)
 
 
+def _numbered(polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Polygons with a key of their own, as one feature may have several; equal rows count once."""
+    key = F.xxhash64("feature_id", *extra, "parts")
+    return polygons.select(key.alias("__pid"), "feature_id", *extra, "parts").dropDuplicates(["__pid"])
+
+
 def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
-    """Pairs whose boxes share a cell of the grid that fits the polygon's size.
+    """Pairs whose boxes share a cell of the grid that fits the polygon's size; without the outlines.
 
     A polygon is kept in the few cells of its own level, however large it is; the
     other side is sent to every level in use.
     """
-    leveled = _levels(with_box(polygons))
+    leveled = _levels(with_box(polygons)).drop("parts")
     used = leveled.agg(F.collect_set("__level")).scalar()
     left = _at_level(boxes.withColumn("__level", F.explode(used)), "s")
-    outlines = leveled.withColumn("__edges", polygon_edges(F.col("parts"))).drop("parts")
-    kept = outlines.withColumns({f"__p{b[3:]}": F.col(b) for b in _BOX})
+    kept = leveled.withColumns({f"__p{b[3:]}": F.col(b) for b in _BOX})
     pairs = _cell_join(left, _at_level(kept, "f"), ["__level", *_CELLS])
     # Most pairs of a cell do not even overlap in their boxes: drop those before the exact test.
     low_x, low_y, high_x, high_y = _box_columns(boxes)
@@ -185,20 +192,54 @@ def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
     return pairs.filter(overlap).drop("__px1", "__py1", "__px2", "__py2")
 
 
+def _band(y: Column) -> Column:
+    return F.floor(y / BAND)
+
+
+def _edge_bands(polygons: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(__pid, __band, __edges): the edges of each polygon that reach a level band, for bands with segments.
+
+    Whatever is asked about a point or piece inside a band, its crossings as well as the edges to its right, only
+    the edges that reach the band count. So a border with very many corners is met by a small part at a time.
+    """
+    reach = boxes.agg(F.struct(F.min("__by1").alias("low"), F.max("__by2").alias("high"))).scalar()
+    edges = polygons.select("__pid", F.explode(polygon_edges(F.col("parts"))).alias("e"))
+    first = F.greatest(_band(F.least("e.y1", "e.y2")), _band(reach["low"]))
+    last = F.least(_band(F.greatest("e.y1", "e.y2")), _band(reach["high"]))
+    spread = edges.filter(first <= last).withColumn("__band", F.explode(F.sequence(first, last)))
+    return spread.groupBy("__pid", "__band").agg(F.collect_list("e").alias("__edges"))
+
+
 def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Segment and polygon pairs that meet, with the length inside: id, feature_id, extra, length_inside."""
+    areas = _numbered(polygons, extra)
     boxes = with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), LONG_EDGE))
-    pairs = polygon_candidates(boxes, polygons.select("feature_id", "parts", *extra))
-    piece = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
-    met = pairs.filter(piece_meets_area(*piece, F.col("__edges")))
-    inside = met.withColumn("__inside", length_inside(*piece, F.col("__edges")))
-    return inside.groupBy("id", "feature_id", *extra).agg(F.sum("__inside").alias("length_inside"))
+    x1, y1, x2, y2 = piece = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
+    pairs = polygon_candidates(boxes, areas).withColumn(
+        "__band", F.explode(F.sequence(_band(F.least("y1", "y2")), _band(F.greatest("y1", "y2"))))
+    )
+    edges = F.col("__edges")
+    local = pairs.join(_edge_bands(areas, boxes), ["__pid", "__band"])
+    # The part of the piece inside the band, as shares of its way; a level piece lies in one band.
+    rise = F.nullif(y2 - y1, F.lit(0.0))
+    ends = [F.least(F.greatest(b, F.lit(0.0)), F.lit(1.0)) for b in ((F.col("__band") * BAND - y1) / rise, ((F.col("__band") + 1) * BAND - y1) / rise)]
+    start, end = F.when(y1 == y2, 0.0).otherwise(F.least(*ends)), F.when(y1 == y2, 1.0).otherwise(F.greatest(*ends))
+    starts_inside = (F.col("__band") == _band(y1)) & point_in_area(x1, y1, edges)
+    found = local.select(
+        "id", "feature_id", *extra, (starts_inside | piece_meets_border(*piece, edges)).alias("__met"),
+        length_inside(*piece, edges, start, end).alias("__inside"),
+    )
+    sums = found.groupBy("id", "feature_id", *extra).agg(F.max("__met").alias("__met"), F.sum("__inside").alias("length_inside"))
+    return sums.filter("__met").drop("__met")
 
 
 def start_point_in(starts: DataFrame, polygons: DataFrame) -> DataFrame:
     """Ids whose start point (x, y) lies in any polygon."""
-    pairs = polygon_candidates(with_box(starts.select("id", "x", "y")), polygons.select("feature_id", "parts"))
-    return pairs.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id").distinct()
+    areas = _numbered(polygons)
+    boxes = with_box(starts.select("id", "x", "y"))
+    pairs = polygon_candidates(boxes, areas).withColumn("__band", _band(F.col("y")))
+    local = pairs.join(_edge_bands(areas, boxes), ["__pid", "__band"])
+    return local.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id").distinct()
 
 
 def count_within(seg: DataFrame, points: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:

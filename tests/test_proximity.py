@@ -133,3 +133,26 @@ def test_wide_table_has_all_columns(spark):
     out = X.crossing_table(base, [layer], X.WIDE_COLUMNS)
     assert out.columns == X.WIDE_COLUMNS and len(out.columns) == 82
     assert out.first().xhyd == 3
+
+
+def test_border_with_very_many_corners(spark):
+    """A circle of 100,000 corners against its chords."""
+    n, r = 100_000, 5000.0
+    corners = [(r * math.cos(2 * math.pi * k / n), r * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    schema = "feature_id long, parts array<array<struct<x:double,y:double>>>"
+    area = spark.createDataFrame([(1, [[*corners, corners[0]]])], schema)
+    rng = random.Random(8)
+    segs = [(k, *(rng.uniform(-7000, 7000) for _ in range(2))) for k in range(200)]
+    segs = [(k, x, y, x + rng.uniform(-900, 900), y + rng.uniform(-900, 900)) for k, x, y in segs]
+    found = {row.id: row.length_inside for row in X.polygon_pairs(spark.createDataFrame(segs, EDGE), area).collect()}
+    for k, x1, y1, x2, y2 in segs:
+        dx, dy = x2 - x1, y2 - y1
+        a, b, c = dx * dx + dy * dy, 2 * (x1 * dx + y1 * dy), x1 * x1 + y1 * y1 - r * r
+        inside = 0.0
+        if b * b > 4 * a * c:
+            ends = [(-b + s * math.sqrt(b * b - 4 * a * c)) / (2 * a) for s in (-1, 1)]
+            inside = max(0.0, min(1.0, ends[1]) - max(0.0, ends[0])) * math.sqrt(a)
+        assert found.get(k, 0.0) == pytest.approx(inside, abs=0.02)
+    starts = spark.createDataFrame([(k, x, y) for k, x, y, _, _ in segs], "id long, x double, y double")
+    inside = {row.id for row in X.start_point_in(starts, area).collect()}
+    assert inside == {k for k, x, y, _, _ in segs if math.hypot(x, y) < r}

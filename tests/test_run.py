@@ -1,5 +1,6 @@
 """Sources, the risk table and the full run on the smallest test data."""
 
+import dataclasses
 import datetime as dt
 import math
 
@@ -103,6 +104,26 @@ def test_run_prices_every_job(spark, run):
     assert run.jobs.filter("capitalnonmobilization IS NULL").count() == 0
 
 
+def test_run_publishes_the_columns_of_all_steps(run):
+    from mainstay.plans.full_run import PUBLISHED
+
+    assert set(PUBLISHED) <= set(run.published.columns)
+    for name in ("mat_note", "last_inspection", "years_since", "years", "lateral_segment", "replace_total"):
+        assert run.published.filter(F.col(name).isNotNull()).count() > 0, name
+
+
+def test_run_of_a_subset(spark, run):
+    x = inputs(Inputs(spark, "/root/testdata/sf0.001"))
+    some = x.pipes.filter("compkey < 40").select("id", "compkey")
+    part = run_all(dataclasses.replace(x, subset=some), dt.date(2024, 1, 20), RULES)
+    ids = sorted(r.id for r in some.collect())
+    assert sorted(r.id for r in part.published.collect()) == ids
+    assert sorted(r.id for r in part.final.collect()) == ids
+    columns = ["id", "failure_year", "action", "replacecost", "seg_count"]
+    whole = {r.id: r for r in run.published.filter("compkey < 40").select(*columns).collect()}
+    assert all(whole[r.id] == r for r in part.published.select(*columns).collect())
+
+
 def test_segments_carry_the_choice_of_their_pipe(run):
     whole = run.final.filter("cutno = 0").select("compkey", F.col("recommended").alias("chosen"))
     seg = run.final.filter("cutno > 0").join(whole, "compkey")
