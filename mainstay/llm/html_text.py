@@ -41,14 +41,14 @@ TELLING = set("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption article main nav fo
 # What a page's author marks as content or not: labels of the training pages, and prior counts for signs they don't show.
 MAIN_TAGS = {"article", "main"}
 OTHER_TAGS = set("nav footer aside form menu dialog header".split())
-HEADER_INSIDE = "header-of-main"
 # Elements that hold a page's parts; between them content begins and ends, below them it hardly does.
 PARTS = set("html body article main div section center table tbody tr td header footer nav aside form".split())
 OTHER_WORDS = set(
     "nav navbar navigation menu sidebar footer header masthead breadcrumb breadcrumbs ad ads advert adverts advertisement "
     "banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal share sharing social related "
     "recommended comment comments reply replies disqus respond newsletter subscribe signup login search widget toolbar "
-    "pagination pager skip copyright legal".split()
+    "pagination pager skip copyright legal unshown contentinfo complementary advertising announcement gdpr feedback trending "
+    "recommendations".split()
 )
 MAIN_WORDS = set("article content post entry story main body text".split())
 # Prior counts of the words that lean to content. Tags and words of the lists above weigh MARK, as evidence that no number
@@ -65,7 +65,8 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
 )
 _NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
@@ -90,32 +91,47 @@ def _run_signs(text: str, linked: int) -> list[str]:
     return [f"run={'linked' if 2 * linked > len(text) else 'plain'}{min(len(text).bit_length(), 9)}"]
 
 
+def _names(attributes: str) -> set[str]:
+    """Words of class, id and role; `unshown` for an element that isn't shown."""
+    found = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(m[2] or m[3] or m[4] or "")}
+    return found | {"unshown"} if _HIDDEN.search(attributes) else found
+
+
 def parse(page: str) -> Tree:
     """The page as a tree; unclosed and stray tags are mended, every text ends up in a run."""
     tree = Tree()
     root = tree.add(-1, "#page", [])
-    stack: list[tuple[str, int]] = [("#page", root)]
+    stack: list[tuple[str, int, bool]] = [("#page", root, False)]
     run: list[str] = []
-    linked = hidden = anchors = 0
+    linked = others = 0
+    # How often each tag is open, and the places of the open block elements.
+    open_tags: Counter = Counter()
+    blocks = [root]
+    hidden = anchors = mains = 0
 
     def flush() -> None:
         nonlocal run, linked
         text = " ".join("".join(run).split())
         if text:
-            block = next(place for tag, place in reversed(stack) if tag not in INLINE)
-            tree.add(block, "#text", _run_signs(text, min(linked, len(text))), text)
+            tree.add(blocks[-1], "#text", _run_signs(text, min(linked, len(text))), text)
         run, linked = [], 0
 
     def pop() -> None:
-        nonlocal hidden, anchors
-        tag, _ = stack[-1]
+        nonlocal hidden, anchors, others, mains
+        tag, _, other = stack[-1]
         if tag not in INLINE:
             flush()
+            blocks.pop()
+        open_tags[tag] -= 1
+        mains -= tag in MAIN_TAGS
         hidden -= tag in UNSEEN
         anchors -= tag == "a"
+        others -= other
         stack.pop()
 
     def pop_to(names: set[str], barrier: set[str]) -> None:
+        if not any(open_tags[name] for name in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] in names:
                 while len(stack) > depth:
@@ -145,7 +161,7 @@ def parse(page: str) -> Tree:
             continue
         name = found[2].lower()
         if found[1]:
-            if name == "p" and all(tag != "p" for tag, _ in stack):
+            if name == "p" and not open_tags["p"]:
                 flush()
             elif name not in VOID:
                 pop_to({name}, set() if name not in INLINE else BARRIER)
@@ -161,19 +177,25 @@ def parse(page: str) -> Tree:
             flush()
         if name in VOID:
             continue
+        other = False
         if name in INLINE:
             place = stack[-1][1]
         else:
-            words = {w for m in _NAMES.finditer(found[3]) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())} if found[3] else ()
-            block = next(p for tag, p in reversed(stack) if tag not in INLINE)
-            in_main = any(tag in MAIN_TAGS for tag, _ in stack)
+            words = _names(found[3]) if found[3] else set()
             if name in ("html", "body"):
-                words = ()
-            elif in_main or MAIN_WORDS & set(words):
-                words = set(words) - {"header"}
-            sign = HEADER_INSIDE if name == "header" and in_main else name
-            place = tree.add(block, sign, [f"tag={sign}"] * (sign in TELLING) + [f"word={w}" for w in sorted(words) if len(w) <= 30])
-        stack.append((name, place))
+                words = set()
+            elif mains or MAIN_WORDS & words:
+                words.discard("header")
+            sign = name
+            if name == "header" and mains or name in MAIN_TAGS and others:
+                sign = f"{name}-inside"
+            other = sign in OTHER_TAGS or bool(OTHER_WORDS & words)
+            place = tree.add(blocks[-1], sign, [f"tag={sign}"] * (sign in TELLING) + [f"word={w}" for w in sorted(words) if len(w) <= 30])
+            blocks.append(place)
+        stack.append((name, place, other))
+        open_tags[name] += 1
+        mains += name in MAIN_TAGS
+        others += other
         hidden += name in UNSEEN
         anchors += name == "a"
         if name in RAW:
@@ -195,7 +217,7 @@ def author_labels(tree: Tree) -> list[int] | None:
     for parent, tag, signs in zip(tree.parents, tree.tags, tree.signs, strict=True):
         inside = labels[parent] if parent >= 0 else 0
         other = tag in OTHER_TAGS or any(s[5:] in OTHER_WORDS for s in signs if s.startswith("word="))
-        labels.append(1 if tag in MAIN_TAGS else 0 if other else inside)
+        labels.append(0 if other else 1 if tag in MAIN_TAGS else inside)
     return labels
 
 
@@ -289,7 +311,7 @@ def _model(counts: Counter) -> ContentModel:
             ratio -= math.log((all_of[1] + 1) / (all_of[0] + 1))
         weights[sign] = max(-bound, min(bound, ratio))
     weights |= {f"tag={tag}": MARK for tag in MAIN_TAGS} | {f"tag={tag}": -MARK for tag in OTHER_TAGS}
-    weights |= {f"word={word}": -MARK for word in OTHER_WORDS}
+    weights |= {f"word={word}": -2 * MARK for word in OTHER_WORDS}
 
     def share(parent: int, part: bool) -> float:
         yes, no = counts[f"from={parent}{part}", 1], counts[f"from={parent}{part}", 0]

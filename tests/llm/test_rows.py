@@ -186,6 +186,8 @@ ARTICLE = "<p>Some text of the post, with words that go on.</p><p>And more text
     (f'<main>{ARTICLE}<section class="comments">{"<p>I liked this a lot, and so on, thanks for it.</p>" * 30}</section></main>', ["Some text"], ["liked"]),
     (f"<header><p>Site header text here</p></header><nav><a href=/>Home</a></nav><main>{ARTICLE}</main><form>Name<input></form><footer>Foot</footer>", ["Some text"], ["Site", "Home", "Name", "Foot"]),
     (f'<div class="cookie-notice"><p>We use cookies to make this better.</p></div><article>{ARTICLE}<script>var a = "<p>";</script><style>p {{}}</style></article>', ["Some text"], ["cookies", "var", "{}"]),
+    (f'<article>{ARTICLE}</article><section id="readerComments"><article class="c"><p>A comment as an article of its own, at length.</p></article></section><div class="related"><article><p>Another article of this site to be read.</p></article></div><article class="comment"><p>One more comment, at some length too.</p></article>', ["Some text"], ["comment", "Another"]),
+    (f'<div class="content">{ARTICLE}<p style="display: none">Not shown to a reader at all, it is.</p><p hidden>Nor this one, which is as long.</p></div>', ["Some text"], ["Not shown", "Nor"]),
     ("<article><p>a &lt; b &amp;amp; c&nbsp;d\n\t e &eacute;&#233;</p>unclosed <b>bold<p>next</article>", ["a < b &amp; c d e éé", "unclosed bold\n\nnext"], []),
 ])
 def test_html_of_other_makes(spark, page, wanted, unwanted):
