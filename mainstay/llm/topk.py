@@ -19,6 +19,8 @@ CANDIDATES, QUERIES, SHARD = 4096, 512, 16
 # Bins of one round; a query is located when at most ENOUGH scores reach the bin of its kth.
 BINS, ENOUGH = 128, 64
 EXACT = 2**53
+# A task adds up the histograms of so many query blocks before it hands them on.
+HELD = 32
 
 
 def whole_vectors(vectors: DataFrame, key: str = "vec_id", value: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -68,35 +70,50 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def _met(blocks: DataFrame, shards: int, queries: DataFrame, run, kinds: str) -> DataFrame:
-    """``run`` over every block of queries against every block of candidates, shard by shard."""
+    """``run`` over every block of queries against every block of candidates, shard by shard.
+
+    Where ``run`` gives an array of histograms, a task adds up those of a block of queries before it hands them on.
+    """
     dealt = _packed(queries, QUERIES, ("low", "step", "above")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     names = ["ids", "width", "block", "low", "step", "above"]
     dealt = dealt.select("shard", *[F.col(n).alias(f"q_{n}") for n in names])
     both = blocks.join(dealt, "shard").select("ids", "width", "block", *[f"q_{n}" for n in names])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, width, block, q_ids, q_width, q_block, low, step, above = (c[row].as_py() for c in batch.columns)
                 ids, q_ids, low, step, above = (np.frombuffer(x, np.int64) for x in (ids, q_ids, low, step, above))
                 scores = _scores(np.frombuffer(q_block, np.int64).reshape(len(q_ids), q_width), np.frombuffer(block, np.int64).reshape(len(ids), width))
-                yield run(scores, ids, q_ids, low, step, above)
+                found = run(scores, ids, q_ids, low, step, above)
+                if isinstance(found, pa.RecordBatch):
+                    yield found
+                    continue
+                key = q_ids.tobytes()
+                held[key] = held[key] + found if key in held else found
+                if len(held) >= HELD:
+                    yield from map(_bin_rows, held.items())
+                    held = {}
+        yield from map(_bin_rows, held.items())
 
     return both.mapInArrow(each, kinds)
 
 
 def _histograms(scores, ids, q_ids, low, step, _above):
     """Per query, in this block, the scores in each of BINS bins from ``low``, and beyond them."""
-    out_ids, bins, counts = [], [], []
+    found = np.zeros((len(q_ids), BINS + 1), np.int64)
     for k in range(len(q_ids)):
         at = (scores[k][ids != q_ids[k]] - low[k]) // step[k]
-        found = np.bincount(np.clip(at[at >= 0], 0, BINS), minlength=1)
-        used = np.flatnonzero(found)
-        out_ids.append(np.full(len(used), q_ids[k]))
-        bins.append(used)
-        counts.append(found[used])
-    cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0), pa.int64())
-    return pa.RecordBatch.from_arrays([cat(out_ids), cat(bins), cat(counts)], names=["id", "bin", "n"])
+        found[k] = np.bincount(np.clip(at[at >= 0], 0, BINS), minlength=BINS + 1)
+    return found
+
+
+def _bin_rows(held: tuple[bytes, np.ndarray]) -> pa.RecordBatch:
+    """(id, bin, n) of the bins in use."""
+    query, bins = np.nonzero(held[1])
+    ids = np.frombuffer(held[0], np.int64)[query]
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(bins), pa.array(held[1][query, bins])], names=["id", "bin", "n"])
 
 
 def _ranges(scores, ids, q_ids, _low, _step, _above):
