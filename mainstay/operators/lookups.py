@@ -1,88 +1,24 @@
-"""Lookups in rate, band and size tables of any size.
+"""Lookups in rate, band and size tables.
 
-A sorted table becomes ranges that no value falls into twice. The ranges are laid over as
-many equal cells as the table has rows, so they make at most about two rows each, and a value
-meets only the ranges of its own cell. Every lookup is an equi join: Spark broadcasts a small
-table, and shuffles a large one and splits its crowded cells at run time.
+A rate table is read as one ordered array, a scalar of the plan, by every task. The large side
+is never shuffled or joined, so a material or size that covers a third of the rows costs nothing
+extra. Tables are rate tables: their size follows from the price list, not from the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mainstay.functions.scalar import col
 
-# Cells whose bounds are put in order by one task.
-CELLS_PER_GROUP = 4096
-_CELL, _LOW, _HIGH, _HIT = "__cell", "__low", "__high", "__hit"
 
-
-def _grid(bounds: DataFrame, rows: Column | None = None) -> Column:
-    """Lowest bound, cell width and number of cells, as a scalar subquery; ``bounds`` has the one column ``b``."""
-    cells = F.greatest(F.count("b") if rows is None else rows, F.lit(1))
-    return bounds.agg(
-        F.struct(F.min("b").alias("low"), ((F.max("b") - F.min("b")) / cells).alias("width"), cells.alias("cells"))
-    ).scalar()
-
-
-def _cell_of(value: Column, grid: Column) -> Column:
-    """The value's cell; values beyond the bounds fall into the first or last one."""
-    place = F.coalesce(F.floor((value - grid["low"]) / F.nullif(grid["width"], F.lit(0.0))), F.lit(0))
-    clamped = F.least(F.greatest(place, F.lit(0)), grid["cells"] - 1)
-    return F.when(value.isNotNull(), clamped.cast("long"))
-
-
-def _over_cells(ranges: DataFrame, grid: Column) -> DataFrame:
-    """Each range once per cell it touches; an open end reaches the first or last cell."""
-    first = F.coalesce(_cell_of(F.col(_LOW), grid), F.lit(0).cast("long"))
-    last = F.coalesce(_cell_of(F.col(_HIGH), grid), (grid["cells"] - 1).cast("long"))
-    return ranges.withColumn(_CELL, F.explode(F.sequence(first, last)))
-
-
-def _neighbours(table: DataFrame, grid: Column, up: bool) -> DataFrame:
-    """``table`` (b, hit; one row per bound) with the next bound above or below, ordered group by group."""
-    group = F.floor(_cell_of(F.col("b"), grid) / F.lit(CELLS_PER_GROUP)).cast("long")
-    grouped = table.withColumn("__group", group)
-    order = F.col("b").asc() if up else F.col("b").desc()
-    groups = Window.orderBy(F.col("__group").asc() if up else F.col("__group").desc())
-    edge = (F.min if up else F.max)("b")
-    beyond = grouped.groupBy("__group").agg(edge.alias("__edge")).select(
-        "__group", F.lead("__edge").over(groups).alias("__beyond")
-    )
-    inside = F.lead("b").over(Window.partitionBy("__group").orderBy(order))
-    ahead = grouped.withColumn("__inside", inside).join(beyond, "__group")
-    return ahead.withColumn("__next", F.coalesce("__inside", "__beyond")).drop("__group", "__inside", "__beyond")
-
-
-def _attach_range(df: DataFrame, value: Column, table: DataFrame, up: bool, strict: bool) -> DataFrame:
-    """``df`` with __hit of the bound at or below the value (``up``), else of the bound at or above it."""
-    grid = _grid(table.select("b"))
-    ranges = _neighbours(table, grid, up)
-    low, high = ("b", "__next") if up else ("__next", "b")
-    ranges = ranges.select(F.col(low).alias(_LOW), F.col(high).alias(_HIGH), F.col("hit").alias(_HIT))
-    ranges = _over_cells(ranges, grid).withColumnRenamed(_CELL, "__table_cell")
-    valued = df.withColumn("__value", value.cast("double"))
-    valued = valued.withColumn(_CELL, _cell_of(F.col("__value"), grid))
-    v, lo, hi = F.col("__value"), F.col(_LOW), F.col(_HIGH)
-    if up and not strict:
-        fits = (v >= lo) & (hi.isNull() | (v < hi))
-    else:
-        fits = (lo.isNull() | (v > lo)) & (hi.isNull() | (v <= hi))
-    joined = valued.join(ranges, (F.col(_CELL) == F.col("__table_cell")) & fits, "left")
-    return joined.drop("__value", _CELL, "__table_cell", _LOW, _HIGH)
-
-
-def _finish(df: DataFrame, outputs: dict[str, str], defaults: dict[str, float] | None) -> DataFrame:
-    def value(source: str) -> Column:
-        hit = F.col(_HIT)[source]
-        return F.coalesce(hit, F.lit(defaults[source])) if defaults and source in defaults else hit
-
-    kept = [c for c in df.columns if c not in outputs.values() and c != _HIT]
-    return df.select(*kept, *[value(source).alias(target) for source, target in outputs.items()])
+def pack(table: DataFrame, order: Sequence[str], descending: bool = False) -> Column:
+    """The whole table as an array sorted by ``order``."""
+    fields = list(order) + [c for c in table.columns if c not in order]
+    return table.agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=not descending)).scalar()
 
 
 def ceiling_lookup(
@@ -91,12 +27,10 @@ def ceiling_lookup(
 ) -> DataFrame:
     """Columns of the smallest table row whose bound is at or above the value.
 
-    ``outputs`` maps table column to new column. Of rows with one bound the smallest counts.
+    ``outputs`` maps table column to new column.
     """
-    rest = [c for c in table.columns if c != bound]
-    rows = table.where(F.col(bound).isNotNull()).groupBy(F.col(bound).cast("double").alias("b"))
-    rows = rows.agg(F.min(F.struct(F.col(bound), *rest)).alias("hit"))
-    return _finish(_attach_range(df, col(value), rows, up=False, strict=False), outputs, defaults)
+    found = F.get(F.filter("__rows", lambda r: r[bound] >= col(value)), F.lit(0))
+    return _finish(df.withColumn("__rows", pack(table, [bound])), found, outputs, defaults)
 
 
 def floor_lookup(
@@ -106,37 +40,29 @@ def floor_lookup(
     """Columns of the largest table row whose bounds are all at or below the values.
 
     With several bounds the first one decides, then the next. ``strict`` leaves
-    out a bound equal to the value. Of rows with the same bounds the largest counts.
+    out a bound equal to the value.
     """
-    rest = [c for c in table.columns if c not in bounds]
-    known = table.where(reduce(lambda a, b: a & b, [F.col(b).isNotNull() for b in bounds]))
-    axes = [F.col(b).cast("double").alias(f"__b{k}") for k, b in enumerate(bounds)]
-    rows = known.groupBy(*axes).agg(F.max(F.struct(*bounds, *rest)).alias("hit"))
-    if len(bounds) == 1:
-        return _finish(_attach_range(df, col(values[0]), rows.withColumnRenamed("__b0", "b"), True, strict), outputs, defaults)
-    if len(bounds) > 2:
-        raise ValueError("one or two bounds")
-    found = df
-    for k, value in enumerate(values):
-        axis = rows.select(F.col(f"__b{k}").alias("b")).distinct().withColumn("hit", F.col("b"))
-        found = _attach_range(found, col(value), axis, True, strict).withColumnRenamed(_HIT, f"__at{k}")
-    best = _staircase(rows)
-    joined = found.join(best, (F.col("__at0") == F.col("__b0")) & (F.col("__at1") == F.col("__b1")), "left")
-    return _finish(joined.drop("__at0", "__at1", "__b0", "__b1"), outputs, defaults)
-
-
-def _staircase(rows: DataFrame) -> DataFrame:
-    """For each pair of bounds in the table, the row that wins where both are just reached.
-
-    As many rows as the table has first bounds times second bounds.
-    """
-    one = lambda name: F.pmod(F.xxhash64(name), F.lit(1)).alias("__one")
-    first = rows.select("__b0", one("__b0")).distinct()
-    second = rows.select("__b1", one("__b1")).distinct()
-    pairs = first.join(second, "__one").drop("__one").join(rows, ["__b0", "__b1"], "left")
-    so_far = lambda by, order: Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    along = pairs.withColumn("hit", F.max("hit").over(so_far("__b1", "__b0")))
-    return along.select("__b0", "__b1", F.max("hit").over(so_far("__b0", "__b1")).alias(_HIT))
+    def fits(row: Column) -> Column:
+        tests = [(col(v) > row[b]) if strict else (col(v) >= row[b]) for v, b in zip(values, bounds)]
+        test = tests[0]
+        for extra in tests[1:]:
+            test = test & extra
+        return test
+
+    found = F.get(F.filter("__rows", fits), F.lit(0))
+    return _finish(df.withColumn("__rows", pack(table, bounds, descending=True)), found, outputs, defaults)
+
+
+def _finish(
+    df: DataFrame, found: Column, outputs: dict[str, str], defaults: dict[str, float] | None
+) -> DataFrame:
+    def value(source: str) -> Column:
+        hit = F.col("__hit")[source]
+        return F.coalesce(hit, F.lit(defaults[source])) if defaults and source in defaults else hit
+
+    kept = [c for c in df.columns if c not in outputs.values() and c != "__rows"]
+    picked = [value(source).alias(target) for source, target in outputs.items()]
+    return df.withColumn("__hit", found).select(*kept, *picked)
 
 
 def band_lookup(
@@ -148,19 +74,14 @@ def band_lookup(
     ``crosswalk`` (category, curve) names the curve; ``bands`` is keyed by curve.
     Rows without a band drop out.
     """
+    curves = crosswalk.join(bands, "curve").withColumn("__category", F.lower("category"))
     outputs = [c for c in bands.columns if c not in ("curve", lower, upper)]
-    curves = crosswalk.join(bands.where(F.col(lower) < F.col(upper)), "curve").select(
-        F.lower("category").alias("__curve_of"), F.col(lower).cast("double").alias(_LOW),
-        F.col(upper).cast("double").alias(_HIGH), F.struct(*outputs).alias(_HIT),
-    )
-    ends = curves.select(F.explode(F.array(_LOW, _HIGH)).alias("b"), "__curve_of")
-    # As many cells as a curve has bands on average, as every curve spans the whole grid.
-    grid = _grid(ends, F.ceil(F.count("b") / F.greatest(F.count_distinct("__curve_of"), F.lit(1))))
-    cells = _over_cells(curves, grid).withColumnRenamed(_CELL, "__table_cell")
-    valued = df.withColumns({"__value": F.col(score).cast("double"), "__category": F.lower(category)})
-    valued = valued.withColumn(_CELL, _cell_of(F.col("__value"), grid))
-    inside = (F.col(_LOW) <= F.col("__value")) & (F.col("__value") < F.col(_HIGH))
-    same = (F.col("__category") == F.col("__curve_of")) & (F.col(_CELL) == F.col("__table_cell"))
-    return valued.join(cells, same & inside).select(
-        *[df[c] for c in df.columns], *[F.col(_HIT)[c].alias(c) for c in outputs]
+    curves = curves.select("__category", lower, upper, *outputs)
+    hits = F.filter(
+        "__rows",
+        lambda r: (r["__category"] == F.col("__own")) & (r[lower] <= F.col(score)) & (F.col(score) < r[upper]),
     )
+    known = df.withColumns({"__own": F.lower(category), "__rows": pack(curves, ["__category", lower])})
+    joined = known.withColumn("__hit", F.explode(hits))
+    return joined.select(*df.columns, *[F.col("__hit")[c].alias(c) for c in outputs])
+
