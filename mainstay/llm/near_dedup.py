@@ -21,7 +21,7 @@ REGISTERS, BAND = 128, 4
 MANTISSA = 10
 # An estimate rules a pair out only beyond so many standard errors below the bar.
 SIGMAS = 5.0
-# Buckets with more rows than 1 / (PER_PARTITION x shuffle partitions) of all aren't gathered in a task.
+# Buckets with more rows than 1 / (PER_PARTITION x shuffle partitions) of all are never gathered in a task.
 PER_PARTITION = 8
 # A bucket is compared in square cells of about this many documents a side.
 CELL = 256
@@ -31,6 +31,8 @@ _FACTORS = np.array(
 )
 _SHIFT = np.uint64(64 - int(np.log2(REGISTERS)))
 _EDGES = np.arange(REGISTERS, dtype=np.uint64) << _SHIFT
+# From where an empty register borrows, try by try.
+_TRIES = 24
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -39,6 +41,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_JUMPS = [
+    (_mixed(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(REGISTERS * (k + 1))) % np.uint64(REGISTERS)).astype(np.int64)
+    for k in range(_TRIES)
+]
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct five-word runs of a whole text.
 
@@ -87,28 +95,61 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
+def dense(sketch: np.ndarray) -> np.ndarray:
+    """Registers with the empty ones lent by others, in an order fixed by hashing, for banding.
+
+    Without this, short texts with few registers would share a band by one common run of words.
+    """
+    out, empty = sketch.copy(), sketch == 0
+    for jump in _JUMPS:
+        if not empty.any():
+            return out
+        lent = sketch[:, jump]
+        take = empty & (lent != 0)
+        out[take] = lent[take]
+        empty &= ~take
+    for shift in range(1, REGISTERS):
+        lent = np.roll(sketch, -shift, axis=1)
+        take = empty & (lent != 0)
+        out[take] = lent[take]
+        empty &= ~take
+    return out
+
+
+def _band_keys(sketch: np.ndarray) -> np.ndarray:
+    """The bucket of each band of each sketch."""
+    packed = dense(sketch).view(np.uint64)
+    return _mixed(packed + np.arange(1, packed.shape[1] + 1, dtype=np.uint64) * _FACTORS[0]).view(np.int64)
+
+
 def _bands(texts: DataFrame) -> DataFrame:
-    """(bucket, rep, n) for each band with a register."""
+    """(bucket, rep, n) for each band of registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                packed = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint64).reshape(len(part), -1)
-                used = packed != 0
-                rows, bands = np.nonzero(used)
-                bucket = _mixed(packed[used] + (bands.astype(np.uint64) + np.uint64(1)) * _FACTORS[0]).view(np.int64)
-                columns = [pa.array(bucket), part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows))]
+                keys = _band_keys(_unpacked(part.column(2)))
+                rows = pa.array(np.repeat(np.arange(len(part)), keys.shape[1]))
+                columns = [pa.array(keys.ravel()), part.column(0).take(rows), part.column(1).take(rows)]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "rep", "n"])
 
     return texts.select("rep", "n", "sketch").mapInArrow(run, "bucket long, rep long, n long")
 
 
-def _buckets(texts: DataFrame) -> DataFrame:
-    """(bucket, rep, n, size, pivot, pivot_n) for buckets with two documents or more; the pivot is the least document.
+def _with_totals(rows: DataFrame, hot: DataFrame, **totals) -> DataFrame:
+    """``rows`` with totals of their bucket. Hot buckets are totalled in each task first and looked up, others gathered."""
+    key = Window.partitionBy("bucket")
+    cold = rows.join(F.broadcast(hot), "bucket", "left_anti").withColumns({n: c.over(key) for n, c in totals.items()})
+    sums = rows.join(F.broadcast(hot), "bucket", "left_semi").groupBy("bucket").agg(*[c.alias(n) for n, c in totals.items()])
+    return cold.unionByName(rows.join(F.broadcast(sums), "bucket"))
+
+
+def _buckets(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bucket, rep, n, size, pivot, pivot_n) for buckets with two documents or more, and the hot buckets.
 
-    Few buckets can hold more than their share of all rows. Those are found from a sketch of the heavy keys, totalled in
-    each task and looked up; the others are gathered by bucket.
+    Few buckets can hold more than their share of all rows; they are found from a sketch of the heavy keys. The pivot is
+    the document that meets most others over all its buckets: of near copies the one that they were made from.
     """
     bands = _bands(texts)
     share = PER_PARTITION * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -118,37 +159,55 @@ def _buckets(texts: DataFrame) -> DataFrame:
     )
     hot = top.select("all", F.explode("top").alias("t")).where(F.col("t.count") * share > F.col("all"))
     hot = written(hot.select(F.col("t.item").alias("bucket")), "hot")
-    least = F.min(F.struct("rep", "n"))
-    columns = ["bucket", "rep", "n", "size", F.col("least.rep").alias("pivot"), F.col("least.n").alias("pivot_n")]
-    key = Window.partitionBy("bucket")
-    cold = bands.join(F.broadcast(hot), "bucket", "left_anti")
-    cold = cold.withColumn("size", F.count("*").over(key)).where("size > 1").withColumn("least", least.over(key))
-    totals = bands.join(F.broadcast(hot), "bucket", "left_semi").groupBy("bucket").agg(
-        F.count("*").alias("size"), least.alias("least")
-    )
-    warm = bands.join(F.broadcast(totals.where("size > 1")), "bucket")
-    return written(cold.select(*columns).unionByName(warm.select(*columns)), "buckets")
+    shared = written(_with_totals(bands, hot, size=F.count("*")).where("size > 1"), "buckets")
+    met = shared.groupBy("rep").agg(F.sum("size").alias("met"))
+    pivot = F.min(F.struct((-F.col("met")).alias("met"), "rep", "n"))
+    rows = _with_totals(shared.join(met, "rep"), hot, first=pivot)
+    columns = ["bucket", "rep", "n", "size", F.col("first.rep").alias("pivot"), F.col("first.n").alias("pivot_n")]
+    return written(rows.select(*columns), "pivots"), hot
+
+
+def _zero_odds(n: np.ndarray) -> np.ndarray:
+    """Per text of ``n`` runs, how likely a register has each number of leading zeros."""
+    steps = np.maximum(np.arange(64), 1e-9)
+    beyond = -np.expm1(np.outer(n / REGISTERS, np.log1p(-np.exp2(-steps))))
+    return beyond[:, :-1] - beyond[:, 1:]
+
+
+def _corrected(same: np.ndarray, used: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Jaccard estimates from equal registers, less the matches expected by chance."""
+    chance = chance / 2**MANTISSA
+    return (same / np.maximum(used, 1) - chance) / (1 - chance)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates, less the matches expected by chance, and the registers they rest on."""
+    """Jaccard estimates of pairs of sketches, and the registers they rest on."""
     used = ((a != 0) | (b != 0)).sum(axis=1)
-    raw = ((a == b) & (a != 0)).sum(axis=1) / np.maximum(used, 1)
-    steps = np.arange(64)
+    same = ((a == b) & (a != 0)).sum(axis=1)
+    return _corrected(same, used, (_zero_odds(n_a) * _zero_odds(n_b)).sum(axis=1)), used
 
-    def zeros(n: np.ndarray) -> np.ndarray:
-        beyond = -np.expm1(np.outer(n / REGISTERS, np.log1p(-np.exp2(-np.maximum(steps, 1e-9)))))
-        return beyond[:, :-1] - beyond[:, 1:]
 
-    chance = (zeros(n_a) * zeros(n_b)).sum(axis=1) / 2**MANTISSA
-    return (raw - chance) / (1 - chance), used
+def _allows(close: np.ndarray, used: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether estimate and sizes allow a link.
+
+    The registers are a sample without repeats of the union, so their error shrinks as they come to hold most of it.
+    """
+    bar = SIMILAR / 100
+    union = (n_a + n_b) / (1 + bar)
+    spread = bar * (1 - bar) / np.maximum(used, 1) * np.clip(1 - used / union, 0, 1) + 1e-4
+    return (close >= bar - SIGMAS * np.sqrt(spread)) & (100 * np.minimum(n_a, n_b) >= SIMILAR * np.maximum(n_a, n_b))
 
 
 def _may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    close, used = estimate(a, b, n_a, n_b)
-    bar = SIMILAR / 100
-    enough = close >= bar - SIGMAS * np.sqrt(bar * (1 - bar) / np.maximum(used, 1))
-    return enough & (100 * np.minimum(n_a, n_b) >= SIMILAR * np.maximum(n_a, n_b))
+    return _allows(*estimate(a, b, n_a, n_b), n_a, n_b)
+
+
+def _similar(left: np.ndarray, right: np.ndarray) -> bool:
+    """The exact test on two sorted sets."""
+    x, y = (left, right) if len(left) <= len(right) else (right, left)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return 100 * common >= SIMILAR * (len(x) + len(y) - common)
 
 
 def _unpacked(column: pa.Array) -> np.ndarray:
@@ -174,13 +233,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (left, right))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                good.append(100 * common >= SIMILAR * (len(x) + len(y) - common))
+            sets_of = zip(batch.column(2), batch.column(3), strict=True)
+            good = [_similar(*(np.frombuffer(v.as_py(), np.uint64) for v in pair)) for pair in sets_of]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     side = lambda x: sets.select(F.col("rep").alias(x), F.col("full").alias(f"f_{x}"))
@@ -217,39 +271,47 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("rep", "label")
 
 
-def _rest(buckets: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket that the pivots have left in different components, where the registers allow a link.
+def _rest(buckets: DataFrame, hot: DataFrame, texts: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) of a bucket between documents that the pivots have left in different components.
 
-    A bucket is dealt into square cells, so none is gathered whole, and a cell hands on only the pairs that pass.
+    A bucket is dealt into square cells, so none is gathered whole. A cell compares registers, confirms on full sets what
+    they allow, and hands on links only, each pair in the first band that it shares.
     """
     marked = buckets.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    spread = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_rows = marked.join(spread.select("bucket"), "bucket", "left_semi")
+    open_rows = _with_totals(marked, hot, low=F.min("label"), high=F.max("label")).where("low < high")
     cells = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
     own = F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")
     dealt = open_rows.withColumn("cells", cells).withColumn("own", own).withColumn(
         "other", F.explode(F.expr("sequence(0, cells - 1)"))
-    )
-    dealt = dealt.select(
+    ).select(
         "bucket", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "own", "rep", "pivot", "label"
-    ).join(texts.select("rep", "n", "sketch"), "rep")
+    )
     keys = ["bucket", "row", "col"]
-    ordered = dealt.select(*keys, "own", "rep", "pivot", "label", "n", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    known = dealt.join(texts.select("rep", "n", "sketch"), "rep").join(full, "rep")
+    ordered = known.select(*keys, "own", "rep", "pivot", "label", "n", "sketch", "full").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(cell: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(cell)
-        row, col, own, rep, pivot, label, n = (table.column(k).to_numpy() for k in (1, 2, 3, 4, 5, 6, 7))
-        sketch = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint16).reshape(len(table), -1)
-        firsts = np.flatnonzero((rep != pivot) & (own == row))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in firsts:
-            others = (rep != pivot) & (own == col) & (label != label[i])
-            at = np.flatnonzero(others & ((rep > rep[i]) if row[0] == col[0] else True))
-            if len(at):
-                good = at[_may_link(np.broadcast_to(sketch[i], (len(at), REGISTERS)), sketch[at], np.full(len(at), float(n[i])), n[at].astype(float))]
-                a.append(np.minimum(rep[i], rep[good]))
-                b.append(np.maximum(rep[i], rep[good]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        bucket, row, col, own, rep, pivot, label, n = (table.column(k).to_numpy() for k in range(8))
+        sketch = _unpacked(table.column(8))
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column(9)]
+        n, filled, odds, bands = n.astype(float), sketch != 0, _zero_odds(n), _band_keys(sketch)
+        a, b = [], []
+        for i in np.flatnonzero((rep != pivot) & (own == row)):
+            others = (rep != pivot) & (own == col) & (label != label[i]) & (rep > rep[i] if row[0] == col[0] else True)
+            at = np.flatnonzero(others)
+            if not len(at):
+                continue
+            used = (filled[at] | filled[i]).sum(axis=1)
+            close = _corrected(((sketch[at] == sketch[i]) & filled[i]).sum(axis=1), used, odds[at] @ odds[i])
+            at = at[_allows(close, used, n[at], n[i])]
+            # The pair's first shared band is this bucket's.
+            at = at[bands[i][(bands[at] == bands[i]).argmax(axis=1)] == bucket[0]]
+            for k in at:
+                if _similar(sets[i], sets[k]):
+                    a.append(min(rep[i], rep[k]))
+                    b.append(max(rep[i], rep[k]))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -288,13 +350,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     sets = written(sets, "sets")
     texts = sets.select("rep", "n", "sketch")
-    buckets = _buckets(texts)
+    buckets, hot = _buckets(texts)
     near = buckets.where(f"rep <> pivot and 100 * least(n, pivot_n) >= {SIMILAR} * greatest(n, pivot_n)")
-    first = written(_screened(near.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), texts), "pairs")
+    first = written(_screened(near.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), texts), "pairs")
     full = written(_full_sets(docs, texts, buckets.select("rep").distinct()), "full")
     links = written(_confirmed(first, full), "confirmed")
     labels = components(links)
-    second = written(_confirmed(written(_rest(buckets, texts, labels), "pairs"), full), "confirmed")
+    second = written(_rest(buckets, hot, texts, full, labels), "confirmed")
     if not second.isEmpty():
         labels = components(links.union(second))
     return _classes(found, sets, labels)
