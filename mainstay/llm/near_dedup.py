@@ -363,14 +363,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _classes(found: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each document's component, through the representative of its set; sets with many copies are looked up salted."""
+    """Each document's component. Copies find that of their set, salted, as a set may have very many; the others their own."""
     salts = 32
-    reps = sets.where("copies > 1").select("set_id", F.col("rep").alias("copy_of"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    copied = sets.where("copies > 1").select("set_id", "rep").join(labels, "rep", "left").select(
+        "set_id", F.coalesce("label", "rep").alias("of_set"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    )
     docs = found.select("doc_id", "n_shingles", "set_id", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
-    docs = docs.join(reps, ["set_id", "salt"], "left").withColumn("rep", F.coalesce("copy_of", "doc_id"))
-    spread = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = docs.join(spread, ["rep", "salt"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep"))
+    joined = docs.join(copied, ["set_id", "salt"], "left").join(labels.withColumnRenamed("rep", "doc_id"), "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_set", "label", "doc_id"))
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
