@@ -37,25 +37,45 @@ BARRIER = set("ul ol dl table section article main div body html".split())
 KEEP_P_OPEN = {"html", "head", "body", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "dt", "dd", "option", "caption"}
 
 # Tags whose choice says something of their own; lists, tables and boxes hold menus and articles alike.
-TELLING = set("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption article main nav footer aside form menu dialog header".split())
+TELLING = set("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption article main article-worded main-worded nav footer aside form menu dialog header".split())
 # What a page's author marks as content or not: labels of the training pages, and prior counts for signs they don't show.
 MAIN_TAGS = {"article", "main"}
+WORDED_TAGS = {f"{tag}-worded" for tag in MAIN_TAGS}
 OTHER_TAGS = set("nav footer aside form menu dialog header".split())
 # Elements that hold a page's parts; between them content begins and ends, below them it hardly does.
-PARTS = set("html body article main div section center table tbody tr td header footer nav aside form".split())
+PARTS = set("html body article main article-worded main-worded div section center table tbody tr td header footer nav aside form".split())
 OTHER_WORDS = set(
     "nav navbar navigation menu sidebar footer header masthead breadcrumb breadcrumbs ad ads advert adverts advertisement "
     "banner sponsor sponsored promo cookie cookies consent notice notices alert popup modal share sharing social related "
     "recommended comment comments reply replies disqus respond newsletter subscribe signup login search widget toolbar "
-    "pagination pager skip copyright legal unshown contentinfo complementary advertising announcement gdpr feedback trending "
+    "pagination pager skip copyright legal contentinfo complementary advertising announcement gdpr feedback trending "
     "recommendations".split()
 )
 MAIN_WORDS = set("article content post entry story main body text".split())
-# Prior counts of the words that lean to content. Tags and words of the lists above weigh MARK, as evidence that no number
-# of children outvotes; other tags and words weigh at most OTHER log units, signs of a run of text RUN, and what a child
-# takes from its parent is bounded by STICK. Pages of one make would else teach that no list is ever content.
+UNSHOWN = "unshown"
+# A token of several words is a sign of its own. It leans to a listed word that it ends in, or begins with before a word
+# for a box (comments-area); not behind one of NOT_OWN, which tell of a state or a topic (has-sidebar, category-social).
+BOXES = set(
+    "area list lists container wrapper wrap box section block panel inner outer holder group row item items link links button "
+    "buttons icon icons bar slot unit form post posts article articles story stories content body text title thread feed column".split()
+)
+NOT_OWN = set("no non not without has have with is category categories tag topic format status type hide show enable disable allow".split())
+# Listed words that name a part that isn't content in its title, too; an id with another one may be made from the title.
+TITLES = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo share sharing related recommended recommendations "
+    "trending comment comments reply replies disqus respond feedback newsletter subscribe signup".split()
+)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# Prior counts of the listed words, added to what the pages show: log ratios of both weigh once for a word of content,
+# LISTED times for a word of the other list or a token that leans to one. An article or main that bears such a word weighs
+# WORDED instead of MARK, so that its text decides; beside other marked ones, and without a word of content, BESIDE less.
+# Only the tags of the lists above and what isn't shown
+# weigh MARK, which nothing outvotes. Other tags and words weigh at most OTHER log units, signs of a run of text RUN, what
+# a child takes from its parent is bounded by STICK, and children of one tag say no more to their parent than CROWD of
+# them. Pages of one make would else teach that no list is ever content.
 PRIOR = 10_000
-MARK, OTHER, RUN, STICK = 1000.0, 2.0, 1.5, 0.995
+LISTED, WORDED, BESIDE = 2.0, 9.0, 6.0
+MARK, OTHER, RUN, STICK, CROWD = 1000.0, 2.0, 1.5, 0.995, 3
 # Pages to learn from: about so many, picked by a hash of their number; signs rarer than RARE there are left out.
 SAMPLE = 4000
 RARE = 3
@@ -65,6 +85,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
 )
 _NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ID_ONLY = re.compile(r"""(?!.*(?:^|[\s"'/])(?:class|role)\s*=)(?:.*[\s"'/])?id\s*=\s*["']?([^\s"'>]*)""", re.I | re.S)
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
@@ -91,10 +112,34 @@ def _run_signs(text: str, linked: int) -> list[str]:
     return [f"run={'linked' if 2 * linked > len(text) else 'plain'}{min(len(text).bit_length(), 9)}"]
 
 
-def _names(attributes: str) -> set[str]:
-    """Words of class, id and role; `unshown` for an element that isn't shown."""
-    found = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(m[2] or m[3] or m[4] or "")}
-    return found | {"unshown"} if _HIDDEN.search(attributes) else found
+def _leaning(words: list[str]) -> str | None:
+    """The listed word that a token of several words leans to."""
+    if words[0] in NOT_OWN:
+        return None
+    if words[-1] in OTHER_WORDS:
+        return words[-1]
+    return words[0] if words[0] in OTHER_WORDS and words[-1] in BOXES else None
+
+
+def _names(tag: str, attributes: str) -> tuple[set[str], set[str]]:
+    """Words and whole tokens of class, id and role, and the listed words that tokens lean to.
+
+    `unshown` stands for an element that isn't shown. The id of a heading is made from its text and isn't read.
+    """
+    found, leans = set(), set()
+    for m in _NAMES.finditer(attributes):
+        if tag in HEADINGS and m[1].lower() == "id":
+            continue
+        for token in (m[2] or m[3] or m[4] or "").split():
+            words = [w.lower() for w in _WORD.findall(token)]
+            if len(words) > 1:
+                found.add("-".join(words))
+                if not OTHER_WORDS.isdisjoint(words):
+                    lean = _leaning(words)
+                    leans |= {lean} - {None, "header"} if lean and MAIN_WORDS & set(words) else {lean} - {None}
+                    continue
+            found.update(words)
+    return (found | {UNSHOWN} if _HIDDEN.search(attributes) else found), leans
 
 
 def parse(page: str) -> Tree:
@@ -108,6 +153,8 @@ def parse(page: str) -> Tree:
     open_tags: Counter = Counter()
     blocks = [root]
     hidden = anchors = mains = 0
+    # Listed words of elements that have no class or role but an id.
+    ids: dict[int, str] = {}
 
     def flush() -> None:
         nonlocal run, linked
@@ -181,17 +228,24 @@ def parse(page: str) -> Tree:
         if name in INLINE:
             place = stack[-1][1]
         else:
-            words = _names(found[3]) if found[3] else set()
+            words, leans = _names(name, found[3]) if found[3] else (set(), set())
             if name in ("html", "body"):
-                words = set()
+                words, leans = set(), set()
             elif mains or MAIN_WORDS & words:
                 words.discard("header")
+                leans.discard("header")
             sign = name
+            marked = not words.isdisjoint(OTHER_WORDS) or bool(leans) or UNSHOWN in words
             if name == "header" and mains or name in MAIN_TAGS and others:
                 sign = f"{name}-inside"
-            other = sign in OTHER_TAGS or bool(OTHER_WORDS & words)
-            place = tree.add(blocks[-1], sign, [f"tag={sign}"] * (sign in TELLING) + [f"word={w}" for w in sorted(words) if len(w) <= 30])
+            elif name in MAIN_TAGS and marked:
+                sign = f"{name}-worded"
+            other = sign in OTHER_TAGS or marked and sign != "main-worded"
+            signs = [f"tag={sign}"] * (sign in TELLING) + [f"word={w}" for w in sorted(words) if len(w) <= 30]
+            place = tree.add(blocks[-1], sign, signs + [f"lean={w}" for w in sorted(leans)])
             blocks.append(place)
+            if mains and marked and (made := _ID_ONLY.match(found[3])):
+                ids[place] = "-".join(w.lower() for w in _WORD.findall(made[1]))
         stack.append((name, place, other))
         open_tags[name] += 1
         mains += name in MAIN_TAGS
@@ -206,18 +260,36 @@ def parse(page: str) -> Tree:
     while len(stack) > 1:
         pop()
     flush()
+    _compare(tree, ids)
     return tree
 
 
+def _compare(tree: Tree, ids: dict[int, str]) -> None:
+    """Signs that rest on later parts of a page: ids made from a title, marked elements beside others."""
+    for k, tag in enumerate(tree.tags):
+        box = tree.parents[tree.parents[k]] if tag == "#text" else -1
+        if box in ids and tree.tags[tree.parents[k]] in HEADINGS and ids[box] == "-".join(map(str.lower, _WORD.findall(tree.texts[k]))):
+            tree.signs[box] = [s for s in tree.signs[box] if s[5:] not in OTHER_WORDS or s[5:] in TITLES]
+    marks = [k for k, tag in enumerate(tree.tags) if tag in MAIN_TAGS or tag in WORDED_TAGS]
+    for k in marks if len(marks) > 1 else ():
+        if tree.tags[k] in WORDED_TAGS and not any(s[5:] in MAIN_WORDS for s in tree.signs[k]):
+            tree.signs[k].append("beside")
+
+
 def author_labels(tree: Tree) -> list[int] | None:
     """Content or not of each node as the page's own marks have it; None for a page that marks no content."""
-    if not MAIN_TAGS & set(tree.tags):
+    # The only element that a page marks as content is content whatever its words; so the words' prior counts can be outweighed.
+    own = [tag in MAIN_TAGS or tag in WORDED_TAGS for tag in tree.tags]
+    if sum(own) > 1:
+        own = [tag in MAIN_TAGS for tag in tree.tags]
+    if not any(own):
         return None
     labels: list[int] = []
-    for parent, tag, signs in zip(tree.parents, tree.tags, tree.signs, strict=True):
+    for parent, tag, main, signs in zip(tree.parents, tree.tags, own, tree.signs, strict=True):
         inside = labels[parent] if parent >= 0 else 0
-        other = tag in OTHER_TAGS or any(s[5:] in OTHER_WORDS for s in signs if s.startswith("word="))
-        labels.append(0 if other else 1 if tag in MAIN_TAGS else inside)
+        worded = any(s[5:] in OTHER_WORDS for s in signs if s[:5] in ("word=", "lean="))
+        other = tag in OTHER_TAGS or f"word={UNSHOWN}" in signs or worded and not main
+        labels.append(0 if other else 1 if main else inside)
     return labels
 
 
@@ -242,16 +314,18 @@ class ContentModel:
     def marginals(self, tree: Tree) -> list[float]:
         """Log odds of being content, by messages from the leaves up and from the root down.
 
-        Nodes stand in page order, so every child comes after its parent: one pass backwards, one forwards.
+        Nodes stand in page order, so every child comes after its parent: one pass backwards, one forwards. More than CROWD
+        children of one tag are alike for reasons of their own, so each then says less to the parent.
         """
         own = [sum(map(self.signs.get, signs, [0.0] * len(signs))) for signs in tree.signs]
         n = len(own)
         part = [tag in PARTS for tag in tree.tags]
+        alike = Counter(zip(tree.parents, tree.tags, strict=True))
         sent = [0.0] * n
         for k in range(n - 1, 0, -1):
             a, b = self.given_other[part[k]], self.given_content[part[k]]
             ratio = math.exp(max(-500.0, min(500.0, own[k])))
-            sent[k] = math.log((1 - b + b * ratio) / (1 - a + a * ratio))
+            sent[k] = math.log((1 - b + b * ratio) / (1 - a + a * ratio)) * min(1.0, CROWD / alike[tree.parents[k], tree.tags[k]])
             own[tree.parents[k]] += sent[k]
         belief = own[:]
         for k in range(1, n):
@@ -300,18 +374,22 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> ContentModel:
 def _model(counts: Counter) -> ContentModel:
     """Log ratios of the counts with one half added; shares for the signs that every run of text has."""
     counts.update({(f"word={word}", 1): PRIOR for word in MAIN_WORDS})
+    counts.update({(f"{kind}={word}", 0): PRIOR for word in OTHER_WORDS for kind in ("word", "lean")})
+    times = {f"word={word}": 1.0 for word in MAIN_WORDS}
+    times |= {f"{kind}={word}": LISTED for word in OTHER_WORDS for kind in ("word", "lean")}
     weights = {}
     for sign in {s for s, _ in counts if not s.startswith("from=")}:
         ratio = math.log((counts[sign, 1] + 0.5) / (counts[sign, 0] + 0.5))
         kind = sign[: sign.index("=") + 1]
-        bound = abs(ratio) if sign in {f"word={word}" for word in MAIN_WORDS} else OTHER
+        ratio *= times.get(sign, 1.0)
+        bound = abs(ratio) if sign in times else OTHER
         if kind == "run=":
             bound = RUN
             all_of = [sum(n for (s, k), n in counts.items() if k == label and s.startswith(kind)) for label in (0, 1)]
             ratio -= math.log((all_of[1] + 1) / (all_of[0] + 1))
         weights[sign] = max(-bound, min(bound, ratio))
     weights |= {f"tag={tag}": MARK for tag in MAIN_TAGS} | {f"tag={tag}": -MARK for tag in OTHER_TAGS}
-    weights |= {f"word={word}": -2 * MARK for word in OTHER_WORDS}
+    weights |= {f"tag={tag}": WORDED for tag in WORDED_TAGS} | {"beside": -BESIDE, f"word={UNSHOWN}": -2 * MARK}
 
     def share(parent: int, part: bool) -> float:
         yes, no = counts[f"from={parent}{part}", 1], counts[f"from={parent}{part}", 0]

@@ -196,6 +196,45 @@ def test_html_of_other_makes(spark, page, wanted, unwanted):
     assert all(w in text for w in wanted) and not any(u in text for u in unwanted), text
 
 
+COMMENTS = "<p>I liked this a lot, and so on, thanks for it.</p>" * 30
+
+
+@pytest.mark.parametrize("page, wanted, unwanted", [
+    (f'<article class="post comments-open">{ARTICLE}</article>', ["Some text", "And more"], []),
+    (f'<article class="post category-social tag-legal">{ARTICLE}</article>', ["Some text", "And more"], []),
+    ('<article class="post no-ads has-sidebar"><p>Only one run of text.</p></article>', ["Only one"], []),
+    (f'<div class="article-body ad-free">{ARTICLE}</div>', ["Some text", "And more"], []),
+    (f'<article class="post social">{ARTICLE}</article>', ["Some text", "And more"], []),
+    (f'<main class="search">{ARTICLE}<h2>Part</h2><ul><li>First point of the list<li>Second one</ul>{ARTICLE}</main>', ["Part", "Some text", "And more"], []),
+    (f'<article>{ARTICLE}<h2 id="related-work">Related work</h2>{ARTICLE}<h2 id="search">Search</h2><h3 id="comments">On comments</h3>{ARTICLE}</article>', ["Related work", "Search", "On comments"], []),
+    (f'<article><section id="legal-history"><h2>Legal history</h2>{ARTICLE}</section><section id="search"><h2>Search</h2>{ARTICLE}</section><section id="advertisement-theory">{ARTICLE}</section></article>', ["Legal history", "Search", "Some text"], []),
+    (f'<main>{ARTICLE}<div id="comments-area">{COMMENTS}</div><div class="share-buttons"><p>Share this text with others</p></div></main>', ["Some text"], ["liked", "Share"]),
+    (f'<article>{ARTICLE}<section id="readerComments">{COMMENTS}</section></article><article class="comment">{COMMENTS}</article>', ["Some text"], ["liked"]),
+    (f'<article>{ARTICLE}<div class="ad"><p>Buy this now, it is cheap and good.</p></div>{ARTICLE}</article>', ["Some text"], ["Buy"]),
+    (f'<div class="related-posts"><p>Other posts that may be of interest here</p></div><div class="entry-content">{ARTICLE}</div>', ["Some text"], ["Other posts"]),
+])
+def test_html_words_are_weighed(spark, page, wanted, unwanted):
+    """Words of the list are outweighed by text and marks; tokens that only hold one are signs of their own."""
+    model = html_text.learn(spark.read.parquet(f"{FOLDER}/pages.parquet"))
+    text = model.main_text(page)
+    assert all(w in text for w in wanted) and not any(u in text for u in unwanted), text
+    assert text.count("Some text") == page.count("Some text")
+
+
+def test_html_words_learn_from_marked_pages():
+    """The only element that pages mark as content teaches that its word isn't of the other kind."""
+    from collections import Counter
+
+    tree = html_text.parse('<body><article class="widget"><p>Some text</p></article></body>')
+    labels = html_text.author_labels(tree)
+    assert labels[tree.tags.index("article-worded")] == 1
+    counts = Counter()
+    for _ in range(4000):
+        counts.update(html_text.observed(tree, labels))
+    bare, taught = html_text._model(Counter()).signs["word=widget"], html_text._model(counts).signs["word=widget"]
+    assert bare < -10 and taught > bare + 1
+
+
 def test_html_edges(spark):
     pages = [None, "", "<", "<p", "<!-- x", "<div>" * 20_000 + "deep", "&amp;" * 10, "<article>x</article>", "<article>x</article>"]
     df = spark.createDataFrame([(None if k == 1 else k, None, p, "t") for k, p in enumerate(pages)], "page_id long, url string, html string, text string")
