@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = set("script style head title template noscript iframe object svg math select textarea button input option".split())
+# What may stand in a head; anything else ends an open one.
+IN_HEAD = set("html title meta link base basefont bgsound style script noscript noframes template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br input button select option textarea script style noscript svg math "
@@ -187,8 +189,14 @@ def parse(page: str) -> Tree:
             if stack[depth][0] in barrier:
                 return
 
+    def end_head() -> None:
+        while stack[-1][0] == "head":
+            pop()
+
     def say(text: str) -> None:
         nonlocal linked
+        if text.strip(" \t\n\f\r"):
+            end_head()
         if hidden or not text:
             return
         text = html.unescape(text) if "&" in text else text
@@ -213,6 +221,8 @@ def parse(page: str) -> Tree:
             elif name not in VOID:
                 pop_to({name}, set() if name not in INLINE else BARRIER)
             continue
+        if name not in IN_HEAD:
+            end_head()
         if name == "br":
             run.append(" ")
             continue

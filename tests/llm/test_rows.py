@@ -235,6 +235,23 @@ def test_html_words_learn_from_marked_pages():
     assert bare < -10 and taught > bare + 1
 
 
+@pytest.mark.parametrize("page, wanted", [
+    ("<!doctype html><html><head><title>T</title><article><p>Text", "Text"),
+    ("<head><meta charset=utf-8><link rel=x><style>p {}</style><script>var a</script>\n<noscript><img src=x></noscript><main>Text, and <p>more", "Text, and\n\nmore"),
+    ("<head><title>T</title><template><p>unseen</p></template><noscript><p>unseen</p></noscript><article>Text</article>", "Text"),
+    ("<head><head><title>T</title></head><title>U</title><body><article>Text</article>", "Text"),
+])
+def test_html_open_head(page, wanted):
+    """A head without end ends at the first element that can't stand in one."""
+    from collections import Counter
+
+    assert html_text._model(Counter()).main_text(page) == wanted
+
+
+def test_html_text_ends_a_head():
+    assert html_text.parse("<head><title>T</title>\n Text <b>of</b> a page").texts[-1] == "Text of a page"
+
+
 def test_html_edges(spark):
     pages = [None, "", "<", "<p", "<!-- x", "<div>" * 20_000 + "deep", "&amp;" * 10, "<article>x</article>", "<article>x</article>"]
     df = spark.createDataFrame([(None if k == 1 else k, None, p, "t") for k, p in enumerate(pages)], "page_id long, url string, html string, text string")
