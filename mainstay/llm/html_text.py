@@ -89,7 +89,8 @@ _TAG = re.compile(
 _NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ID_ONLY = re.compile(r"""(?!.*(?:^|[\s"'/])(?:class|role)\s*=)(?:.*[\s"'/])?id\s*=\s*["']?([^\s"'>]*)""", re.I | re.S)
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
@@ -141,7 +142,16 @@ def _names(tag: str, attributes: str) -> tuple[set[str], set[str]]:
                     leans |= {lean} - {None, "header"} if lean and MAIN_WORDS & set(words) else {lean} - {None}
                     continue
             found.update(words)
-    return (found | {UNSHOWN} if _HIDDEN.search(attributes) else found), leans
+    return (found | {UNSHOWN} if _unshown(attributes) else found), leans
+
+
+def _unshown(attributes: str) -> bool:
+    """Whether there is an attribute hidden, or display: none in a style; values of others don't count."""
+    lower = attributes.lower()
+    if "hidden" not in lower and "display" not in lower:
+        return False
+    found = [(m[1], m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(lower)]
+    return any(name == "hidden" or name == "style" and _NOT_SHOWN.search(value) for name, value in found)
 
 
 def parse(page: str) -> Tree:

@@ -252,6 +252,19 @@ def test_html_text_ends_a_head():
     assert html_text.parse("<head><title>T</title>\n Text <b>of</b> a page").texts[-1] == "Text of a page"
 
 
+@pytest.mark.parametrize("attributes, unshown", [
+    ('aria-label="The hidden life of trees"', False), ('data-title="a hidden cost"', False), ('class="p-4 hidden md:block"', False),
+    ('title="use display: none here"', False), ("data-x='a hidden b'", False), ("title=hidden", False), ('aria-hidden="true"', False),
+    ('style="--x-display: none"', False), ("hidden", True), ('class="a" hidden=""', True), ("HIDDEN/", True), ('id=a hidden title="b"', True),
+    ('style="color: red; display : none"', True), ("style=display:none", True), ("STYLE='Display:None'", True), ('class="a"hidden', True),
+])
+def test_html_hidden_is_an_attribute(attributes, unshown):
+    from collections import Counter
+
+    page = f"<article {attributes}><p>Some text of the post, with words that go on.</article>"
+    assert html_text._model(Counter()).main_text(page) == ("" if unshown else "Some text of the post, with words that go on.")
+
+
 def test_html_edges(spark):
     pages = [None, "", "<", "<p", "<!-- x", "<div>" * 20_000 + "deep", "&amp;" * 10, "<article>x</article>", "<article>x</article>"]
     df = spark.createDataFrame([(None if k == 1 else k, None, p, "t") for k, p in enumerate(pages)], "page_id long, url string, html string, text string")
