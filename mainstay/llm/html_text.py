@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 # Fixed values of the HTML standard: elements without content, with raw text, that are never shown, that break lines.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("script style head title template noscript iframe object svg math select textarea button input option".split())
+UNSEEN = set("script style head title template noscript iframe object svg annotation annotation-xml mphantom select textarea button input option".split())
 # What may stand in a head; anything else ends an open one.
 IN_HEAD = set("html title meta link base basefont bgsound style script noscript noframes template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br input button select option textarea script style noscript svg math "
-    "template object iframe".split()
+    "template object iframe mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder "
+    "mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction menclose mfenced semantics annotation "
+    "annotation-xml".split()
 )
 # An opening tag of the key ends an open one of the values, unless one of BARRIER is nearer.
 CLOSES = {
@@ -233,8 +235,9 @@ def parse(page: str) -> Tree:
             continue
         if name not in IN_HEAD:
             end_head()
-        if name == "br":
+        if name in ("br", "mtr", "mtd"):
             run.append(" ")
+        if name == "br":
             continue
         if name not in INLINE and name not in KEEP_P_OPEN:
             pop_to({"p"}, BARRIER)

@@ -265,6 +265,14 @@ def test_html_hidden_is_an_attribute(attributes, unshown):
     assert html_text._model(Counter()).main_text(page) == ("" if unshown else "Some text of the post, with words that go on.")
 
 
+def test_html_keeps_formulas():
+    from collections import Counter
+
+    formula = '<math><semantics><mrow><mi>x</mi> <mo>=</mo> <mn>2</mn></mrow><annotation encoding="tex">x=2</annotation></semantics></math>'
+    page = f"<article><p>Here {formula} holds, <math><mtable><mtr><mtd>a</mtd><mtd>b</mtd></mtr></mtable></math> too.</p></article>"
+    assert html_text._model(Counter()).main_text(page) == "Here x = 2 holds, a b too."
+
+
 def test_html_edges(spark):
     pages = [None, "", "<", "<p", "<!-- x", "<div>" * 20_000 + "deep", "&amp;" * 10, "<article>x</article>", "<article>x</article>"]
     df = spark.createDataFrame([(None if k == 1 else k, None, p, "t") for k, p in enumerate(pages)], "page_id long, url string, html string, text string")
