@@ -169,14 +169,18 @@ def mix(
 
 
 def apply_mix(docs: DataFrame, mixture: DataFrame, group: str = "source") -> DataFrame:
-    """``docs`` as the mixture has them: one row per copy, with the columns of ``docs``."""
+    """``docs`` in the order of the mixture: one row per copy, with the columns of ``docs``, by block and place.
+
+    Rows are ranged by (block, place), so partitions follow each other and one block may be several; a row that repeats a
+    document stands beside it.
+    """
     plan = mixture.select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_src"), F.col("_row").alias("_hash")
-    ).groupBy("_doc", "_src", "_hash").agg(F.count("*").cast("int").alias("_copies"))
+        F.col("doc_id").alias("_doc"), F.col("source").alias("_src"), F.col("_row").alias("_hash"),
+        F.col("block").alias("_block"), F.col("place").alias("_place"),
+    )
     same = (
         docs["doc_id"].eqNullSafe(F.col("_doc")) & docs[group].eqNullSafe(F.col("_src"))
         & (F.xxhash64(docs["text"]) == F.col("_hash"))
     )
-    return docs.join(plan, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    ).select(*[docs[c] for c in docs.columns])
+    copies = docs.join(plan, same).select(*[docs[c] for c in docs.columns], "_block", "_place")
+    return copies.orderBy("_block", "_place").drop("_block", "_place")

@@ -4,6 +4,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from brute import kept_lines, mixture, near_components, shingle_set
 from pyspark.sql import functions as F
@@ -178,6 +179,21 @@ def test_mixing_meets_its_targets(spark):
     assert -(shares * np.log(shares)).sum() >= 0.945 * np.log(len(shares))
 
 
+def test_applied_mixture_has_its_order(spark, tmp_path):
+    """Rows, and the files written of them, follow block and place; a document read twice stands in two places."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(["w"] * rng.randint(1, 30)), "tiny" if k % 9 == 0 else "big") for k in range(300)]
+    docs = documents(spark, rows).repartition(5)
+    mixture_of = mixing.mix(docs, target_entropy=None, max_repeats=3.0, whole=True, block_tokens=500).collect()
+    expected = [r.doc_id for r in sorted(mixture_of, key=lambda r: (r.block, r.place))]
+    assert len({r.block for r in mixture_of}) > 5 and len(expected) > 300
+    applied = mixing.apply_mix(docs, mixing.mix(docs, target_entropy=None, max_repeats=3.0, whole=True, block_tokens=500))
+    assert [r.doc_id for r in applied.collect()] == expected
+    applied.write.parquet(str(tmp_path / "mixed"))
+    files = sorted((tmp_path / "mixed").glob("part-*.parquet"))
+    assert [d for f in files for d in pq.read_table(f).column("doc_id").to_pylist()] == expected
+
+
 def test_mixing_edges(spark):
     docs = documents(spark, [(1, None, "a"), (1, None, "a"), (None, "x y", None), (2, "", "b")])
     found = mixing.mix(docs, target_entropy=None, max_repeats=1.0, whole=True).collect()
