@@ -16,8 +16,12 @@ from mainstay.scratch import written
 SHINGLE = 5
 SIMILAR = 75
 # Registers per document and per band, and mantissa bits kept of each. A pair at the bar shares no band with a chance
-# of 5 in a million; pairs above it, and short texts, with far less.
+# of 5 in a million; pairs above it with far less.
 REGISTERS, BAND = 128, 4
+# Few runs crowd into equal registers and make bands that aren't independent. Up to SMALL runs, a set's bands are made of
+# minima of as many hash functions; sets that may be similar to one of those have both kinds of bands.
+SMALL = 16
+SMALL_UP = SMALL * 100 // SIMILAR
 MANTISSA = 10
 # An estimate rules a pair out only beyond so many standard errors below the bar.
 SIGMAS = 5.0
@@ -31,8 +35,6 @@ _FACTORS = np.array(
 )
 _SHIFT = np.uint64(64 - int(np.log2(REGISTERS)))
 _EDGES = np.arange(REGISTERS, dtype=np.uint64) << _SHIFT
-# From where an empty register borrows, try by try.
-_TRIES = 24
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -41,10 +43,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_JUMPS = [
-    (_mixed(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(REGISTERS * (k + 1))) % np.uint64(REGISTERS)).astype(np.int64)
-    for k in range(_TRIES)
-]
+# From where an empty register borrows, try by try: each has an order of all registers of its own, so it finds one.
+_JUMPS = np.argsort(_mixed(np.arange(1, REGISTERS**2 + 1, dtype=np.uint64) * _FACTORS[1]).reshape(REGISTERS, REGISTERS), axis=0)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -77,21 +77,25 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits for the whole set) and sketch (null without shingles) of each text."""
+    """doc_id, n_shingles, set_id (128 bits for the whole set), sketch (null without shingles) and small of each text.
+
+    ``small`` is the whole set where it has few runs, else null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ids, made = [], [], []
+            sizes, ids, made, small = [], [], [], []
             for value in batch.column(1):
                 found = shingles(value.as_py())
                 sizes.append(len(found))
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 made.append(registers(found).tobytes() if len(found) else None)
-            columns = [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(made, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_shingles", "set_id", "sketch"])
+                small.append(found.tobytes() if 0 < len(found) <= SMALL_UP else None)
+            columns = [pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (ids, made, small))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_shingles", "set_id", "sketch", "small"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id binary, sketch binary"
+        run, "doc_id long, n_shingles long, set_id binary, sketch binary, small binary"
     )
 
 
@@ -100,41 +104,58 @@ def dense(sketch: np.ndarray) -> np.ndarray:
 
     Without this, short texts with few registers would share a band by one common run of words.
     """
-    out, empty = sketch.copy(), sketch == 0
+    out, left = sketch.copy(), np.flatnonzero((sketch == 0).any(axis=1))
     for jump in _JUMPS:
-        if not empty.any():
-            return out
-        lent = sketch[:, jump]
-        take = empty & (lent != 0)
-        out[take] = lent[take]
-        empty &= ~take
-    for shift in range(1, REGISTERS):
-        lent = np.roll(sketch, -shift, axis=1)
-        take = empty & (lent != 0)
-        out[take] = lent[take]
-        empty &= ~take
+        if not len(left):
+            break
+        part = out[left]
+        out[left] = np.where(part == 0, sketch[left][:, jump], part)
+        left = left[(out[left] == 0).any(axis=1)]
     return out
 
 
-def _band_keys(sketch: np.ndarray) -> np.ndarray:
-    """The bucket of each band of each sketch."""
-    packed = dense(sketch).view(np.uint64)
-    return _mixed(packed + np.arange(1, packed.shape[1] + 1, dtype=np.uint64) * _FACTORS[0]).view(np.int64)
+_SEEDS = _mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * _FACTORS[2])
+
+
+def _minima(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set the least value of each of as many hash functions as there are registers."""
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    return np.minimum.reduceat(_mixed(np.concatenate(sets)[:, None] ^ _SEEDS), starts, axis=0)
+
+
+def _band_keys(sketch: np.ndarray, n: np.ndarray, sets: list[np.ndarray | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of each set, first those of the registers and then those of the minima, and which of them it has.
+
+    Only sets of at most SMALL_UP runs are read from ``sets``.
+    """
+    bands = REGISTERS // BAND
+    keys = np.zeros((len(sketch), 2 * bands), np.uint64)
+    has = np.repeat(np.stack([n > SMALL, n <= SMALL_UP], axis=1), bands, axis=1)
+    steps = np.arange(1, 2 * bands + 1, dtype=np.uint64) * _FACTORS[0]
+    large, small = np.flatnonzero(n > SMALL), np.flatnonzero(n <= SMALL_UP)
+    if len(large):
+        keys[large, :bands] = _mixed(dense(sketch[large]).view(np.uint64) + steps[:bands])
+    for at in range(0, len(small), 500):
+        part = small[at : at + 500]
+        least = _minima([sets[k] for k in part]).reshape(len(part), bands, BAND)
+        keys[part, bands:] = _mixed((least * _FACTORS[:BAND]).sum(axis=2, dtype=np.uint64) + steps[bands:])
+    return keys.view(np.int64), has
 
 
 def _bands(texts: DataFrame) -> DataFrame:
-    """(bucket, rep, n) for each band of registers."""
+    """(bucket, rep, n) for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                keys = _band_keys(_unpacked(part.column(2)))
-                rows = pa.array(np.repeat(np.arange(len(part)), keys.shape[1]))
-                columns = [pa.array(keys.ravel()), part.column(0).take(rows), part.column(1).take(rows)]
+                small = [v if v is None else np.frombuffer(v, np.uint64) for v in part.column(3).to_pylist()]
+                keys, has = _band_keys(_unpacked(part.column(2)), part.column(1).to_numpy(), small)
+                rows = pa.array(np.nonzero(has)[0])
+                columns = [pa.array(keys[has]), part.column(0).take(rows), part.column(1).take(rows)]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "rep", "n"])
 
-    return texts.select("rep", "n", "sketch").mapInArrow(run, "bucket long, rep long, n long")
+    return texts.select("rep", "n", "sketch", "small").mapInArrow(run, "bucket long, rep long, n long")
 
 
 def _with_totals(rows: DataFrame, hot: DataFrame, **totals) -> DataFrame:
@@ -295,7 +316,8 @@ def _rest(buckets: DataFrame, hot: DataFrame, texts: DataFrame, full: DataFrame,
         bucket, row, col, own, rep, pivot, label, n = (table.column(k).to_numpy() for k in range(8))
         sketch = _unpacked(table.column(8))
         sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column(9)]
-        n, filled, odds, bands = n.astype(float), sketch != 0, _zero_odds(n), _band_keys(sketch)
+        n, filled, odds = n.astype(float), sketch != 0, _zero_odds(n)
+        bands, has = _band_keys(sketch, n, sets)
         a, b = [], []
         for i in np.flatnonzero((rep != pivot) & (own == row)):
             others = (rep != pivot) & (own == col) & (label != label[i]) & (rep > rep[i] if row[0] == col[0] else True)
@@ -306,7 +328,7 @@ def _rest(buckets: DataFrame, hot: DataFrame, texts: DataFrame, full: DataFrame,
             close = _corrected(((sketch[at] == sketch[i]) & filled[i]).sum(axis=1), used, odds[at] @ odds[i])
             at = at[_allows(close, used, n[at], n[i])]
             # The pair's first shared band is this bucket's.
-            at = at[bands[i][(bands[at] == bands[i]).argmax(axis=1)] == bucket[0]]
+            at = at[bands[i][((bands[at] == bands[i]) & has[at] & has[i]).argmax(axis=1)] == bucket[0]]
             for k in at:
                 if _similar(sets[i], sets[k]):
                     a.append(min(rep[i], rep[k]))
@@ -346,10 +368,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = written(sketches(docs), "sketches")
     sets = found.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),
-        F.count("*").alias("copies"),
+        F.first("small").alias("small"), F.count("*").alias("copies"),
     )
     sets = written(sets, "sets")
-    texts = sets.select("rep", "n", "sketch")
+    texts = sets.select("rep", "n", "sketch", "small")
     buckets, hot = _buckets(texts)
     near = buckets.where(f"rep <> pivot and 100 * least(n, pivot_n) >= {SIMILAR} * greatest(n, pivot_n)")
     first = written(_screened(near.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct(), texts), "pairs")
