@@ -115,6 +115,37 @@ FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(node) AS least_node FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """
 
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+f AS MATERIALIZED (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS n
+  FROM placed, (VALUES (1), (2), (3)) s(size) WHERE i + size - 1 <= len(w) GROUP BY 1, 2, 3),
+c AS MATERIALIZED (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+inner_parts AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS longer FROM c WHERE size = 3),
+covers AS (SELECT lang, phrase, max(longer) AS longer FROM inner_parts GROUP BY 1, 2),
+stay AS (
+  SELECT c.* FROM c LEFT JOIN covers USING (lang, phrase) WHERE covers.longer IS NULL OR 100 * covers.longer < 50 * c.a),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM stay, (VALUES (1), (2)) s(k) WHERE k < size),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.n AS l, y.n AS r,
+    CAST((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest WHERE place = 1),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 SQL = {
     "op1_top_k": TOP_K, "op2_mixing": MIXING, "op3_quality_rules": RULES, "op6_line_dedup": LINES, "op8_near_dedup": NEAR,
+    "op12_phrases": PHRASES,
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mainstay.llm import (
-    bpe, comparison_sql, html_text, language, line_dedup, mixing, near_dedup, quality_qda, quality_rules, token_counts, topk,
+    bpe, comparison_sql, html_text, language, line_dedup, mixing, near_dedup, packing, phrases, quality_qda, quality_rules,
+    token_counts, topk, whitening,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -70,10 +71,22 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_vectors(_table(spark, folder, "embeddings"))
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), WORD_BPE)
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_top_k, op2_mixing, op3_quality_rules, op4_bpe, op5_html_text, op6_line_dedup, op7_quality_qda, op8_near_dedup,
-        op9_language, op10_token_counts,
+        op9_language, op10_token_counts, op11_whitening, op12_phrases, op13_packing,
     )
 }
 
