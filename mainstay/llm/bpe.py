@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +15,13 @@ from pyspark.sql import functions as F
 from mainstay.llm.pretokens import SPECIAL, byte_level, parts, pretokens, tokenizer
 
 END = "</w>"
-# A worker keeps its words in two generations of this many; the older one goes when the younger is full. Texts are taken in chunks of about CHUNK characters.
-CACHE = 200_000
-CHUNK = 1 << 21
+# A worker keeps its words in two generations of about this many bytes; the older one goes when the younger is full.
+CACHE = 16 << 20
+# Texts are taken in chunks of about this many characters, a longer one in parts; ids are decoded in runs of DECODED.
+CHUNK = 1 << 20
+DECODED = 1 << 18
+# Bytes of a remembered word besides its letters and ids.
+ENTRY = 200
 # No merge makes or uses this id.
 NONE = -1
 
@@ -47,6 +52,7 @@ class Vocabulary:
         self.special = {t: tokenizer(path).token_to_id(t) for t in SPECIAL}
         self.proposable = self._whole_tokens()
         self.longest = max(map(len, self.proposable))
+        self.held = 0
         self.words: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
 
@@ -143,7 +149,8 @@ class Vocabulary:
     def learn(self, words: set[str]) -> int:
         """Encode new words: propose, check all neighbours in one go, merge where a check fails."""
         fresh = []
-        for word in words - self.words.keys():
+        words = words - self.words.keys()
+        for word in words:
             ids = self.earlier.get(word)
             if ids is None:
                 fresh.append(word)
@@ -166,17 +173,31 @@ class Vocabulary:
                 self.words[word] = np.array(self.merge(byte_level(word)), "<u4").tobytes()
             else:
                 self.words[word] = packed[4 * (ends[k] - lengths[k]):4 * ends[k]]
+        self.held += sum(ENTRY + len(word) + len(self.words[word]) for word in words)
         return int(bad.sum())
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [[pretokens(self.path, part) for part in parts(text)] for text in texts]
-        words = {w for text in cut for part in text for w in part}
-        if len(self.words) > CACHE:
-            self.words, self.earlier = {}, self.words
-        self.learn(words)
+        done: list[list[bytes]] = [[] for _ in texts]
+        cut: list[tuple[int, list[str]]] = []
+        size = 0
+        for at, text in enumerate(texts):
+            for part in parts(text):
+                cut.append((at, pretokens(self.path, part)))
+                size += len(part)
+                if size >= CHUNK:
+                    self._encode_parts(cut, done)
+                    cut, size = [], 0
+        self._encode_parts(cut, done)
+        return [b"".join(ids) for ids in done]
+
+    def _encode_parts(self, cut: list[tuple[int, list[str]]], done: list[list[bytes]]) -> None:
+        if self.held > CACHE:
+            self.words, self.earlier, self.held = {}, self.words, 0
+        self.learn({word for _, words in cut for word in words})
         look = self.words.__getitem__
-        return [b"".join(b"".join(map(look, part)) for part in text) for text in cut]
+        for at, words in cut:
+            done[at].append(b"".join(map(look, words)))
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -190,11 +211,12 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def _chunks(values: list[str]) -> Iterator[list[str]]:
+def _chunks(column: pa.Array) -> Iterator[list[str]]:
+    """The texts of a column, null as empty, about CHUNK characters at a time."""
     chunk, size = [], 0
-    for value in values:
-        chunk.append(value)
-        size += len(value)
+    for value in column:
+        chunk.append(value.as_py() or "")
+        size += len(chunk[-1])
         if size >= CHUNK:
             yield chunk
             chunk, size = [], 0
@@ -202,6 +224,22 @@ def _chunks(values: list[str]) -> Iterator[list[str]]:
         yield chunk
 
 
+@lru_cache(maxsize=2)
+def _token_texts(path: str) -> list[str | None]:
+    """Token texts by id: all that decoding needs."""
+    known = tokenizer(path).get_vocab(with_added_tokens=True)
+    texts: list[str | None] = [None] * (max(known.values()) + 1)
+    for text, number in known.items():
+        texts[number] = text
+    return texts
+
+
+def decode_ids(path: str, packed: bytes) -> str:
+    """The tokens of packed ids joined by a blank."""
+    look, ids = _token_texts(path).__getitem__, np.frombuffer(packed, "<u4")
+    return " ".join(" ".join(map(look, ids[at:at + DECODED].tolist())) for at in range(0, len(ids), DECODED))
+
+
 def _kinds(df: DataFrame, names: list[str]) -> str:
     return "".join(f"`{name}` {df.schema[name].dataType.simpleString()}, " for name in names)
 
@@ -214,18 +252,30 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     """
     names = list(keep)
 
+    return _encoded(docs, path, text, list(keep), decoded=False)
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, token_ids and decoded: what ``encode`` and then ``decode`` give, by one worker per task."""
+    return _encoded(docs, path, text, list(keep), decoded=True)
+
+
+def _encoded(docs: DataFrame, path: str, text: str, names: list[str], decoded: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = vocabulary(path)
         for batch in batches:
-            texts = [value or "" for value in batch.column(len(names)).to_pylist()]
             at = 0
-            for chunk in _chunks(texts):
-                ids = pa.array(rules.encode_all(chunk), pa.binary())
+            for chunk in _chunks(batch.column(len(names))):
                 kept = [c.slice(at, len(chunk)) for c in batch.columns[: len(names)]]
-                yield pa.RecordBatch.from_arrays([*kept, ids], names=[*names, "token_ids"])
                 at += len(chunk)
+                ids = rules.encode_all(chunk)
+                made = [pa.array(ids, pa.binary())]
+                if decoded:
+                    made.append(pa.array([decode_ids(path, packed) for packed in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=[*names, "token_ids", "decoded"][: len(kept) + len(made)])
 
-    return docs.select(*names, F.col(text).alias("_text")).mapInArrow(run, _kinds(docs, names) + "token_ids binary")
+    kinds = _kinds(docs, names) + "token_ids binary" + (", decoded string" if decoded else "")
+    return docs.select(*names, F.col(text).alias("_text")).mapInArrow(run, kinds)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "token_ids")) -> DataFrame:
@@ -236,15 +286,10 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "to
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules = vocabulary(path)
-        text_of = {i: t for t, i in rules.id_of.items()} | {i: t for t, i in rules.special.items()}
         for batch in batches:
             column = batch.column(len(names))
             for at in range(0, len(column), 256):
-                texts = [
-                    " ".join(map(text_of.__getitem__, np.frombuffer(v or b"", "<u4").tolist()))
-                    for v in column.slice(at, 256).to_pylist()
-                ]
+                texts = [decode_ids(path, v.as_py() or b"") for v in column.slice(at, 256)]
                 kept = [c.slice(at, 256) for c in batch.columns[: len(names)]]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*names, "decoded"])
 

@@ -34,8 +34,7 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode(_table(spark, folder, "documents"), WORD_BPE)
-    return digests(bpe.decode(encoded, WORD_BPE))
+    return digests(bpe.encode_and_decode(_table(spark, folder, "documents"), WORD_BPE))
 
 
 def digests(decoded: DataFrame, *keep: str) -> DataFrame:

@@ -43,13 +43,41 @@ def test_bpe_equals_the_library(spark):
     library, ids = expected_ids(ODD)
     encoded = bpe.encode(table(spark).withColumn("k", F.col("doc_id")), WORD_BPE, keep=("doc_id", "n_tokens"))
     assert encoded.columns == ["doc_id", "n_tokens", "token_ids"]
-    rows = digests(bpe.decode(bpe.encode(table(spark), WORD_BPE), WORD_BPE)).collect()
-    found = sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows)
+    whole = digests(bpe.encode_and_decode(table(spark), WORD_BPE))
+    found = sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in whole.collect())
+    apart = digests(bpe.decode(bpe.encode(table(spark), WORD_BPE), WORD_BPE))
+    assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in apart.collect()) == found
     packed = [struct.pack(f"<{len(x)}I", *x) for x in ids]
     texts = [library.decode(x, skip_special_tokens=False) for x in ids]
     assert found == sorted((len(x), sha(p), sha(t.encode())) for x, p, t in zip(ids, packed, texts))
 
 
+def test_bpe_query_equals_the_library(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    library, ids = expected_ids([d.text for d in docs])
+    found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in Q["op4_bpe"](spark, FOLDER).collect()}
+    assert found == {
+        d.doc_id: (len(x), sha(struct.pack(f"<{len(x)}I", *x)), sha(library.decode(x, skip_special_tokens=False).encode()))
+        for d, x in zip(docs, ids, strict=True)
+    }
+
+
+def test_bpe_edges(spark, monkeypatch):
+    assert bpe.encode_and_decode(table(spark, []), WORD_BPE).count() == 0
+    rules, small = bpe.Vocabulary(WORD_BPE), bpe.Vocabulary(WORD_BPE)
+    texts = [t or "" for t in ODD]
+    expected = rules.encode_all(texts)
+    # Many small chunks and parts, and a store that is always full.
+    monkeypatch.setattr(bpe, "CHUNK", 100)
+    monkeypatch.setattr(bpe, "CACHE", 2000)
+    monkeypatch.setattr(bpe, "DECODED", 3)
+    assert small.encode_all(texts) == expected and len(small.words) < len(rules.words)
+    library = Tokenizer.from_file(WORD_BPE)
+    for packed in expected:
+        ids = list(struct.unpack(f"<{len(packed) // 4}I", packed))
+        assert bpe.decode_ids(WORD_BPE, packed) == library.decode(ids, skip_special_tokens=False)
+
+
 def test_bpe_on_random_words():
     rng = random.Random(3)
     letters = "abehlinorstéßüĀ漢́.!<|>12' É"
@@ -68,7 +96,7 @@ def test_bpe_proposals_are_checked_and_mended():
     assert 0 < failed < len(new)
     # A small cache gives the same ids.
     small = bpe.Vocabulary(WORD_BPE)
-    bpe.CACHE, kept = 50, bpe.CACHE
+    bpe.CACHE, kept = 5000, bpe.CACHE
     try:
         assert [small.encode_all([t])[0] for t in text.split("\n")] == [rules.encode_all([t])[0] for t in text.split("\n")]
     finally:
