@@ -40,9 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, token_ids (packed 32-bit) and the digests of ids and of the decoded text."""
-    ids = bpe.encode(docs, WORD_BPE, keep=("doc_id", "source"))
-    decoded = bpe.decode(ids, WORD_BPE, keep=("doc_id", "source", "token_ids"))
-    return digests(decoded, "doc_id", "source", "token_ids")
+    return digests(bpe.encode_and_decode(docs, WORD_BPE, keep=("doc_id", "source")), "doc_id", "source", "token_ids")
 
 
 STAGES = [
