@@ -12,59 +12,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mainstay.llm.pretokens import SPECIAL, byte_level, parts, pretokens, tokenizer
+from mainstay.llm.pretokens import SPECIAL, byte_level, parts, pretokens, spread, tokenizer
 from mainstay.scratch import written
 
 # Production values.
 LIMIT = 4096
 END_ID = 1
-# A worker forgets the ids of words when they take about this many bytes; longer words aren't remembered.
-HELD = 48 << 20
+# A worker keeps the ids of words in two generations of about this many bytes each; longer words aren't remembered.
+HELD = 96 << 20
 LONG_WORD = 64
+# Bytes of a remembered word besides its ids.
+ENTRY = 200
+# Pieces are handed on when their ids take about this many bytes.
+OUT = 16 << 20
 # Rows of one file that are ranked together: 2 ** 16.
 RANKED_BITS = 16
 
 
 class WordIds(dict):
-    """Packed ids of what stands between blanks, remembered by the worker; no pre-token spans a blank."""
+    """Packed ids of what stands between blanks, remembered by the worker; no pre-token spans a blank.
+
+    The younger generation is the dictionary itself. When it is full it becomes the older one, from which words that
+    are met again return.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.path, self.model, self.held = path, tokenizer(path).model, 0
-        self.special = {text: tokenizer(path).token_to_id(text) for text in SPECIAL}
-        self.pretoken: dict[str, list[int]] = {}
+        self.special = {text: struct.pack("<I", tokenizer(path).token_to_id(text)) for text in SPECIAL}
+        self.earlier: dict[str, bytes] = {}
 
-    def _ids(self, pretoken: str) -> list[int]:
-        if pretoken in self.special:
-            return [self.special[pretoken]]
-        return [token.id for token in self.model.tokenize(byte_level(pretoken))]
+    def _pretoken(self, pretoken: str) -> bytes:
+        known = self.special.get(pretoken)
+        if known is None:
+            ids = [token.id for token in self.model.tokenize(byte_level(pretoken))]
+            known = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def __missing__(self, word: str) -> bytes:
-        ids: list[int] = []
-        short = len(word) <= LONG_WORD
-        for pretoken in pretokens(self.path, word):
-            known = self.pretoken.get(pretoken)
-            if known is None:
-                known = self._ids(pretoken)
-                if short:
-                    self.pretoken[pretoken] = known
-                    self.held += 200 + 8 * len(known)
-            ids += known
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if short:
+        packed = self.earlier.get(word)
+        if packed is None:
+            if word.isascii() and word.isalpha() and word.islower():
+                packed = self._pretoken(word)
+            else:
+                packed = b"".join(map(self._pretoken, pretokens(self.path, word)))
+        if len(word) <= LONG_WORD:
+            if self.held > HELD:
+                self.earlier, self.held = dict(self), 0
+                self.clear()
             self[word] = packed
-            self.held += 200 + len(packed)
-        if self.held > HELD:
-            self.clear()
-            self.pretoken.clear()
-            self.held = 0
+            self.held += ENTRY + len(packed)
         return packed
 
     def text_ids(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        return b"".join(
-            b"".join(map(self.__getitem__, part.replace("\n", " ").split(" "))) for part in parts(text)
-        )
+        return b"".join(b"".join(map(self.__getitem__, spread(part).split(" "))) for part in parts(text))
 
 
 _workers: dict[str, WordIds] = {}
@@ -94,7 +96,7 @@ def pieces(
                     part = ids[start:start + 4 * limit]
                     rows.append((at, number, start // 4, len(part) // 4, zlib.crc32(part), part if with_ids else b""))
                     held += len(rows[-1][5])
-                if held > HELD:
+                if held > OUT:
                     yield _piece_batch(batch.column(0), rows, names)
                     rows, held = [], 0
             yield _piece_batch(batch.column(0), rows, names)
