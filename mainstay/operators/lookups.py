@@ -1,13 +1,14 @@
 """Lookups in rate, band and size tables.
 
-A rate table is read as one ordered array, a scalar of the plan, by every task. The large side
-is never shuffled or joined, so a material or size that covers a third of the rows costs nothing
-extra. Tables are rate tables: their size follows from the price list, not from the data.
+A rate table is read as one ordered array, a scalar of the plan, by every task and searched by halves: a lookup reads as
+many entries as the table's size has binary digits. The large side is never shuffled or joined, so a material or size
+that covers a third of the rows costs nothing extra. Tables are rate tables: their size follows from the price list,
+not from the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +16,50 @@ from pyspark.sql import functions as F
 from mainstay.functions.scalar import col
 
 
-def pack(table: DataFrame, order: Sequence[str], descending: bool = False) -> Column:
-    """The whole table as an array sorted by ``order``."""
+_TABLE = "__table"
+
+
+def _steps(rows: Column) -> Column:
+    """The powers of two by which a search in ``rows`` advances, falling."""
+    digits = F.ceil(F.log2(F.size(rows) + F.lit(1))).cast("int")
+    return F.transform(F.sequence(digits - 1, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int"))
+
+
+def _packed(rows: Column) -> Column:
+    return F.when(F.size(rows) > 0, F.struct(rows.alias("rows"), _steps(rows).alias("steps")))
+
+
+def pack(table: DataFrame, order: Sequence[str]) -> Column:
+    """The table as a scalar: its rows in rising order, and the steps of a search. Rows that lack a bound fit no value and
+    are left out; an empty table is NULL."""
     fields = list(order) + [c for c in table.columns if c not in order]
-    return table.agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=not descending)).scalar()
+    rows = table.dropna(subset=list(order)).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
+    return rows.select(_packed(F.col("rows"))).scalar()
+
+
+def search(packed: Column, holds: Callable[[Column], Column], pick: Callable[[Column, Column], Column]) -> Column:
+    """``pick(rows, n)``, where the first n rows of the table hold; once a row doesn't, no later one may.
+
+    The table is named once, as what an outer function is given, so nothing of it is copied for a row.
+    """
+
+    def run(table: Column) -> Column:
+        rows = table["rows"]
+
+        def advance(at: Column, step: Column) -> Column:
+            return F.when(holds(F.get(rows, at + step - 1)), at + step).otherwise(at)
+
+        return F.aggregate(table["steps"], F.lit(0), advance, lambda at: pick(rows, at))
+
+    return F.get(F.transform(F.array(packed), run), F.lit(0))
+
+
+def _row_after(rows: Column, at: Column) -> Column:
+    return F.get(rows, at)
+
+
+def _row_before(rows: Column, at: Column) -> Column:
+    return F.get(rows, at - 1)
 
 
 def ceiling_lookup(
@@ -29,8 +70,9 @@ def ceiling_lookup(
 
     ``outputs`` maps table column to new column.
     """
-    found = F.get(F.filter("__rows", lambda r: r[bound] >= col(value)), F.lit(0))
-    return _finish(df.withColumn("__rows", pack(table, [bound])), found, outputs, defaults)
+    v = col(value)
+    found = search(F.col(_TABLE), lambda r: r[bound] < v, _row_after)
+    return _finish(df, pack(table, [bound]), F.when(v.isNotNull(), found), outputs, defaults)
 
 
 def floor_lookup(
@@ -42,27 +84,42 @@ def floor_lookup(
     With several bounds the first one decides, then the next. ``strict`` leaves
     out a bound equal to the value.
     """
-    def fits(row: Column) -> Column:
-        tests = [(col(v) > row[b]) if strict else (col(v) >= row[b]) for v, b in zip(values, bounds)]
-        test = tests[0]
-        for extra in tests[1:]:
-            test = test & extra
-        return test
 
-    found = F.get(F.filter("__rows", fits), F.lit(0))
-    return _finish(df.withColumn("__rows", pack(table, bounds, descending=True)), found, outputs, defaults)
+    def fits(row: Column, which: int) -> Column:
+        v, bound = col(values[which]), row[bounds[which]]
+        return (v > bound) if strict else (v >= bound)
+
+    if len(bounds) == 1:
+        found = search(F.col(_TABLE), lambda r: fits(r, 0), _row_before)
+        return _finish(df, pack(table, bounds), found, outputs, defaults)
+    if len(bounds) > 2:
+        raise ValueError("a floor lookup has one bound or two")
+    first, second = bounds
+    rows = F.sort_array(F.collect_list(F.struct(second, *[c for c in table.columns if c not in bounds])))
+    groups = table.dropna(subset=list(bounds)).groupBy(first).agg(F.min(second).alias("__least"), rows.alias("__rows"))
+    packed = pack(groups.select(first, F.col("__least").alias(second), _packed(F.col("__rows")).alias("__group")), [first])
+
+    def group_before(rows: Column, at: Column) -> Column:
+        # The last group whose first bound fits holds the row, unless all its second bounds are too large.
+        nearest = F.get(rows, at - 1)
+        earlier = F.filter(F.slice(rows, F.lit(1), at), lambda g: fits(g, 1))
+        return F.when(fits(nearest, 1), nearest).otherwise(F.get(earlier, F.size(earlier) - 1))["__group"]
+
+    group = search(F.col(_TABLE), lambda g: fits(g, 0), group_before)
+    return _finish(df, packed, search(group, lambda r: fits(r, 1), _row_before), outputs, defaults)
 
 
 def _finish(
-    df: DataFrame, found: Column, outputs: dict[str, str], defaults: dict[str, float] | None
+    df: DataFrame, packed: Column, found: Column, outputs: dict[str, str], defaults: dict[str, float] | None
 ) -> DataFrame:
     def value(source: str) -> Column:
         hit = F.col("__hit")[source]
         return F.coalesce(hit, F.lit(defaults[source])) if defaults and source in defaults else hit
 
-    kept = [c for c in df.columns if c not in outputs.values() and c != "__rows"]
+    kept = [c for c in df.columns if c not in outputs.values()]
     picked = [value(source).alias(target) for source, target in outputs.items()]
-    return df.withColumn("__hit", found).select(*kept, *picked)
+    # ``found`` names the table once, so Spark puts the scalar there and makes no column of it.
+    return df.withColumn(_TABLE, packed).withColumn("__hit", found).select(*kept, *picked)
 
 
 def band_lookup(
@@ -72,16 +129,18 @@ def band_lookup(
     """Rows joined to every band [lower, upper) of their category's curve.
 
     ``crosswalk`` (category, curve) names the curve; ``bands`` is keyed by curve.
-    Rows without a band drop out.
+    Rows without a band drop out. A row finds its category by halves and reads the bands of its own curve alone.
     """
-    curves = crosswalk.join(bands, "curve").withColumn("__category", F.lower("category"))
     outputs = [c for c in bands.columns if c not in ("curve", lower, upper)]
-    curves = curves.select("__category", lower, upper, *outputs)
-    hits = F.filter(
-        "__rows",
-        lambda r: (r["__category"] == F.col("__own")) & (r[lower] <= F.col(score)) & (F.col(score) < r[upper]),
-    )
-    known = df.withColumns({"__own": F.lower(category), "__rows": pack(curves, ["__category", lower])})
-    joined = known.withColumn("__hit", F.explode(hits))
-    return joined.select(*df.columns, *[F.col("__hit")[c].alias(c) for c in outputs])
+    curves = crosswalk.join(bands, "curve").withColumn("__category", F.lower("category"))
+    own = F.sort_array(F.collect_list(F.struct(lower, upper, *outputs))).alias("__bands")
+    packed = pack(curves.groupBy("__category").agg(own), ["__category"])
+    name = F.lower(category)
+
+    def own_bands(rows: Column, at: Column) -> Column:
+        return F.when(F.get(rows, at)["__category"] == name, F.get(rows, at)["__bands"])
 
+    curve = search(F.col(_TABLE), lambda r: r["__category"] < name, own_bands)
+    hits = F.filter(curve, lambda r: (r[lower] <= F.col(score)) & (F.col(score) < r[upper]))
+    joined = df.withColumn(_TABLE, packed).withColumn("__hit", F.explode(hits))
+    return joined.select(*df.columns, *[F.col("__hit")[c].alias(c) for c in outputs])

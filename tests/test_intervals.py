@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mainstay.operators import condition as C
-from mainstay.operators.intervals import VARIANTS, clipped_length, overlap_join, point_in_segment
+from mainstay.operators.intervals import (
+    VARIANTS, _in_level_cells, _level, clipped_length, overlap_join, pipe_extent, point_in_segment,
+)
 from mainstay.operators.lookups import band_lookup, ceiling_lookup, floor_lookup
 from mainstay.operators.skew import hot_keys
 
@@ -45,6 +47,35 @@ def test_far_ends_make_no_cells(spark):
     assert point_in_segment(seg, pts).filter("id = 99").count() == pts.filter("compkey = 1").count()
 
 
+@pytest.mark.parametrize("variant", sorted(VARIANTS))
+def test_long_and_short_ranges_of_all_levels(spark, variant):
+    """Lengths from a point to 100 miles on both sides, against a join on the pipe."""
+    mile, reach = 5280.0, [0.0, 10.0, 60.0, 400.0, 3000.0, 528_000.0]
+    seg = [(k, k % 2, 37.0 * k * k % (100 * mile), 37.0 * k * k % (100 * mile) + reach[k % 6]) for k in range(300)]
+    seg += [(900, 0, -50.0, 1e300), (901, 1, None, 7.0), (902, 1, None, None)]
+    iv = [(k, k % 3, 53.0 * k * k % (100 * mile), 53.0 * k * k % (100 * mile) + reach[k % 5 + 1]) for k in range(300)]
+    iv += [(900, 1, 0.0, 1e300), (901, 0, 5.0, None), (902, 0, 1e16, 1e17)]
+    seg, iv = spark.createDataFrame(seg, SEG), spark.createDataFrame(iv, IV)
+    test = VARIANTS[variant](F.col("fm"), F.col("to_"), F.col("distfrom"), F.col("distto"))
+    expected = sorted((r.id, r.k) for r in seg.join(iv, "compkey").filter(test).select("id", "k").collect())
+    assert sorted((r.id, r.k) for r in overlap_join(seg, iv, variant).select("id", "k").collect()) == expected
+
+
+def test_a_long_interval_makes_few_rows(spark):
+    """100 miles of interval, on a pipe with segments of four lengths: fewer than 50 rows, and 2 or 3 per segment and level."""
+    seg = spark.createDataFrame(
+        [(10 * k, 1, 10.0 * k, 10.0 * k + width) for k in range(0, 52_800, 50) for width in (10.0, 300.0, 5000.0, 100_000.0)], SEG
+    )
+    mask = pipe_extent(seg).first()["__levels"]
+    iv = spark.createDataFrame([(1, 1, 3.0, 527_990.0, mask)], IV + ", levels long")
+    low, high = F.col("distfrom"), F.col("distto")
+    rows = _in_level_cells(iv, low, high, _level(low, high, 50.0), F.col("levels"), 50.0, "i")
+    assert 0 < rows.count() < 50
+    own = _in_level_cells(seg, F.col("fm"), F.col("to_"), _level(F.col("fm"), F.col("to_"), 50.0), F.lit(0).cast("long"), 50.0, "s")
+    assert own.groupBy("id", "fm", "to_").count().agg(F.max("count")).first()[0] <= 3
+    assert overlap_join(seg, iv, "closed").count() == seg.filter("to_ >= 3 AND fm <= 527990").count()
+
+
 def test_closed_variant_is_range_overlap(spark):
     seg = segments(spark)
     iv = intervals(spark).filter("distfrom <= distto")
@@ -143,3 +174,45 @@ def test_empty_lookup_table(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "v double")
     assert [r.hit for r in ceiling_lookup(df, "v", table, "bound", {"out": "hit"}, {"out": 5.0}).collect()] == [5.0, 5.0]
     assert [r.hit for r in floor_lookup(df, ["v"], table, ["bound"], {"out": "hit"}).collect()] == [None, None]
+
+
+def test_search_time_hardly_grows_with_the_table(spark, tmp_path):
+    """A hundred times as many bounds take at most twice the time."""
+    import time
+
+    path = str(tmp_path / "values")
+    spark.range(400_000).select((F.col("id") % 99_991 * 0.5).alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def seconds(n):
+        table = spark.range(n).select((F.col("id") * 50_000.0 / n).alias("bound"), F.col("id").alias("out"))
+        start = time.perf_counter()
+        ceiling_lookup(df, "v", table, "bound", {"out": "hit"}).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(500)
+    small, large = min(seconds(500) for _ in range(3)), min(seconds(50_000) for _ in range(3))
+    assert large < 2 * small
+
+
+def test_bands_of_a_thousand_categories(spark):
+    names = spark.range(1000).select(F.format_string("Kind %d", "id").alias("category"), (F.col("id") % 400).alias("curve"))
+    cuts = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")
+    bands = spark.range(400).select(F.col("id").alias("curve"), cuts).select(
+        "curve", (F.col("k") * 10.0).alias("score_lower_bound"), (F.col("k") * 10.0 + 15.0).alias("score_upper_bound"),
+        (F.col("curve") * 100 + F.col("k")).alias("years"),
+    )
+    df = spark.range(3000).select("id", F.format_string("KIND %d", F.col("id") % 1500).alias("material"), (F.col("id") % 120).cast("double").alias("s"))
+    found = sorted((r.id, r.years) for r in band_lookup(df, "s", "material", bands, names).collect())
+    expected = sorted(
+        (i, (i % 1500 % 400) * 100 + k) for i in range(3000) if i % 1500 < 1000
+        for k in range(10) if 10 * k <= i % 120 < 10 * k + 15
+    )
+    assert found == expected
+
+
+def test_bounds_that_are_missing_fit_nothing(spark):
+    table = spark.createDataFrame([(None, 1.0), (5.0, 2.0), (None, 3.0), (9.0, None)], "bound double, out double")
+    df = spark.createDataFrame([(1.0,), (5.0,), (7.0,), (20.0,)], "v double")
+    assert [r.hit for r in ceiling_lookup(df, "v", table, "bound", {"out": "hit"}).collect()] == [2.0, 2.0, None, None]
+    assert [r.hit for r in floor_lookup(df, ["v"], table, ["bound"], {"out": "hit"}).collect()] == [None, 2.0, 2.0, None]
