@@ -311,7 +311,11 @@ def _uses(text: str, names: list[str]) -> list[str]:
 
 
 def prelude(sql: str) -> str:
-    """``sql`` with the stand-in views it needs as leading common table expressions."""
+    """``sql`` with the stand-in views it needs as leading common table expressions.
+
+    Tables that nothing reads are left out; those that are read more than once are materialized, so that the plan of a
+    comparison doesn't repeat them.
+    """
     order = list(VIEWS)
     needed: set[str] = set()
 
@@ -321,14 +325,43 @@ def prelude(sql: str) -> str:
                 needed.add(name)
                 visit(VIEWS[name])
 
+    own, body = _common_tables(sql.strip())
     visit(sql)
-    parts = [f"{name} AS ({VIEWS[name].strip()})" for name in order if name in needed]
-    body = sql.strip()
-    if not parts:
-        return body
-    if body[:5].upper() == "WITH ":
-        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    tables = {name: VIEWS[name].strip() for name in order if name in needed} | own
+    read: dict[str, int] = {}
+
+    def count(text: str) -> None:
+        for name in tables:
+            uses = len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text))
+            if uses and name not in read:
+                read[name] = uses
+                count(tables[name])
+            elif uses:
+                read[name] += uses
+
+    count(body)
+    parts = [f"{name} AS {'MATERIALIZED ' if read[name] > 1 else ''}({text})" for name, text in tables.items() if name in read]
+    return "WITH " + ",\n".join(parts) + "\n" + body if parts else body
+
+
+def _common_tables(sql: str) -> tuple[dict[str, str], str]:
+    """The leading common tables of a statement by name, and what follows them."""
+    tables: dict[str, str] = {}
+    rest = sql[5:] if sql[:5].upper() == "WITH " else ""
+    while rest:
+        name, text = re.match(r"\s*(\w+) AS \((.*)", rest, re.S).groups()
+        depth, end = 1, 0
+        quoted = False
+        while depth:
+            letter = text[end]
+            quoted ^= letter == "'"
+            depth += 0 if quoted else (letter == "(") - (letter == ")")
+            end += 1
+        tables[name], after = text[: end - 1], text[end:].lstrip()
+        if not after.startswith(","):
+            return tables, after
+        rest = after[1:]
+    return tables, sql
 
 
 class Inputs:
