@@ -144,3 +144,8 @@ def band_lookup(
     hits = F.filter(curve, lambda r: (r[lower] <= F.col(score)) & (F.col(score) < r[upper]))
     joined = df.withColumn(_TABLE, packed).withColumn("__hit", F.explode(hits))
     return joined.select(*df.columns, *[F.col("__hit")[c].alias(c) for c in outputs])
+
+
+def code_map(table: DataFrame, key: str, value: str) -> Column:
+    """A code table, one row per key, as a map: a scalar of the plan that a row reads without a join."""
+    return table.dropna(subset=[key]).agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()

@@ -98,7 +98,7 @@ def _box_cells(df: DataFrame, size: Column | float, prefix: str) -> DataFrame:
     )
 
 
-def _in_cells(df: DataFrame, size: float, prefix: str, grow: float = 0.0) -> DataFrame:
+def _in_cells(df: DataFrame, size: float, prefix: str, grow: float | Column = 0.0) -> DataFrame:
     """Cells of points or edges. A long edge takes those along its course and keeps its own ends.
 
     The exact test later sees the whole edge, so cutting it for the cells costs no digits.
@@ -233,13 +233,13 @@ def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()
     return sums.filter("__met").drop("__met")
 
 
-def start_point_in(starts: DataFrame, polygons: DataFrame) -> DataFrame:
-    """Ids whose start point (x, y) lies in any polygon."""
-    areas = _numbered(polygons)
+def start_point_in(starts: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Ids whose start point (x, y) lies in any polygon, with the polygon's ``extra`` columns."""
+    areas = _numbered(polygons, extra)
     boxes = with_box(starts.select("id", "x", "y"))
     pairs = polygon_candidates(boxes, areas).withColumn("__band", _band(F.col("y")))
     local = pairs.join(_edge_bands(areas, boxes), ["__pid", "__band"])
-    return local.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id").distinct()
+    return local.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id", *extra).distinct()
 
 
 def count_within(seg: DataFrame, points: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mainstay.operators import proximity as X
+from mainstay.operators.layers import point_and_line_layers
 
 
 @dataclass(frozen=True)
@@ -40,31 +42,22 @@ def crossing_run(base: DataFrame, edges: DataFrame, f: Features) -> DataFrame:
     """One row per row of ``base`` with the 82 columns of the result table.
 
     ``base`` brings id, compkey, us_node_id, ds_node_id and what else of the table it has; ``edges`` the segments' ends
-    (id, x1, y1, x2, y2). Layers of one kind share a join; each result has one row per id.
+    (id, x1, y1, x2, y2). All point and line layers share one cell join, the areas a second and the start points a third; each
+    result has one row per id.
     """
-    layers: list[DataFrame] = []
-    if f.hydrants is not None:
-        layers.append(X.hydrants(edges, f.hydrants, HYDRANT_FEET))
-    if f.points is not None:
-        layers.append(X.public_buildings(edges, f.points, BUILDING_FEET))
-    if f.lines is not None:
-        layers.append(X.utility_layers(edges, f.lines))
-    if f.streets is not None:
-        layers.append(X.street_crossings(edges, f.streets))
-        if f.street_names is not None:
-            layers.append(X.street_class(edges, f.streets, f.street_names, STREET_FEET))
-    if f.intersections is not None:
-        layers.append(X.intersections(edges, f.intersections, INTERSECTION_FEET))
-    if f.sewers is not None:
-        nodes = base.select("id", F.col("us_node_id").alias("usnode"), F.col("ds_node_id").alias("dsnode"))
-        layers.append(X.sewer_crossings(edges, nodes, f.sewers, PIPE_FEET))
-    if f.mains is not None:
-        layers.append(X.water_crossings(edges, f.mains, PIPE_FEET))
+    nodes = base.select("id", F.col("us_node_id").alias("usnode"), F.col("ds_node_id").alias("dsnode"))
+    near = point_and_line_layers(
+        edges, nodes, f.hydrants, f.points, f.lines, f.streets, f.street_names, f.intersections, f.sewers, f.mains,
+        HYDRANT_FEET, BUILDING_FEET, INTERSECTION_FEET, STREET_FEET, PIPE_FEET,
+    )
+    layers = [] if near is None else [near]
     if f.areas is not None:
         layers.append(X.area_layers(edges, f.areas))
     starts = edges.select("id", F.col("x1").alias("x"), F.col("y1").alias("y"))
-    for flag, areas in (f.starts_in or {}).items():
-        layers.append(X.start_point_in(starts, areas).withColumn(flag, F.lit(1)))
+    if f.starts_in:
+        flagged = [areas.select("feature_id", "parts", F.lit(flag).alias("flag")) for flag, areas in f.starts_in.items()]
+        inside = X.start_point_in(starts, reduce(DataFrame.unionByName, flagged), ["flag"])
+        layers.append(inside.groupBy("id").agg(*[F.max(F.when(F.col("flag") == n, 1)).alias(n) for n in f.starts_in]))
     if f.elevations is not None:
         layers.append(X.slopes(f.elevations))
     if f.laterals is not None:
