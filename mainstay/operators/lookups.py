@@ -25,31 +25,30 @@ def _steps(rows: Column) -> Column:
     return F.transform(F.sequence(digits - 1, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int"))
 
 
-def _packed(rows: Column) -> Column:
-    return F.when(F.size(rows) > 0, F.struct(rows.alias("rows"), _steps(rows).alias("steps")))
+def _packed(rows: Column, bound: str) -> Column:
+    keys = F.transform(rows, lambda r: r[bound])
+    return F.when(F.size(rows) > 0, F.struct(rows.alias("rows"), keys.alias("keys"), _steps(rows).alias("steps")))
 
 
 def pack(table: DataFrame, order: Sequence[str]) -> Column:
-    """The table as a scalar: its rows in rising order, and the steps of a search. Rows that lack a bound fit no value and
-    are left out; an empty table is NULL."""
+    """The table as a scalar: its rows in rising order, their first bounds, and the steps of a search. Rows that lack a bound
+    fit no value and are left out; an empty table is NULL."""
     fields = list(order) + [c for c in table.columns if c not in order]
     rows = table.dropna(subset=list(order)).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
-    return rows.select(_packed(F.col("rows"))).scalar()
+    return rows.select(_packed(F.col("rows"), order[0])).scalar()
 
 
 def search(packed: Column, holds: Callable[[Column], Column], pick: Callable[[Column, Column], Column]) -> Column:
-    """``pick(rows, n)``, where the first n rows of the table hold; once a row doesn't, no later one may.
+    """``pick(rows, n)``, where the first bounds of the first n rows hold; once one doesn't, no later one may.
 
     The table is named once, as what an outer function is given, so nothing of it is copied for a row.
     """
 
     def run(table: Column) -> Column:
-        rows = table["rows"]
-
         def advance(at: Column, step: Column) -> Column:
-            return F.when(holds(F.get(rows, at + step - 1)), at + step).otherwise(at)
+            return F.when(holds(F.get(table["keys"], at + step - 1)), at + step).otherwise(at)
 
-        return F.aggregate(table["steps"], F.lit(0), advance, lambda at: pick(rows, at))
+        return F.aggregate(table["steps"], F.lit(0), advance, lambda at: pick(table["rows"], at))
 
     return F.get(F.transform(F.array(packed), run), F.lit(0))
 
@@ -71,7 +70,7 @@ def ceiling_lookup(
     ``outputs`` maps table column to new column.
     """
     v = col(value)
-    found = search(F.col(_TABLE), lambda r: r[bound] < v, _row_after)
+    found = search(F.col(_TABLE), lambda b: b < v, _row_after)
     return _finish(df, pack(table, [bound]), F.when(v.isNotNull(), found), outputs, defaults)
 
 
@@ -85,41 +84,42 @@ def floor_lookup(
     out a bound equal to the value.
     """
 
-    def fits(row: Column, which: int) -> Column:
-        v, bound = col(values[which]), row[bounds[which]]
+    def fits(bound: Column, which: int) -> Column:
+        v = col(values[which])
         return (v > bound) if strict else (v >= bound)
 
     if len(bounds) == 1:
-        found = search(F.col(_TABLE), lambda r: fits(r, 0), _row_before)
+        found = search(F.col(_TABLE), lambda b: fits(b, 0), _row_before)
         return _finish(df, pack(table, bounds), found, outputs, defaults)
     if len(bounds) > 2:
         raise ValueError("a floor lookup has one bound or two")
     first, second = bounds
     rows = F.sort_array(F.collect_list(F.struct(second, *[c for c in table.columns if c not in bounds])))
     groups = table.dropna(subset=list(bounds)).groupBy(first).agg(F.min(second).alias("__least"), rows.alias("__rows"))
-    packed = pack(groups.select(first, F.col("__least").alias(second), _packed(F.col("__rows")).alias("__group")), [first])
+    packed = pack(groups.select(first, F.col("__least").alias(second), _packed(F.col("__rows"), second).alias("__group")), [first])
 
     def group_before(rows: Column, at: Column) -> Column:
         # The last group whose first bound fits holds the row, unless all its second bounds are too large.
         nearest = F.get(rows, at - 1)
-        earlier = F.filter(F.slice(rows, F.lit(1), at), lambda g: fits(g, 1))
-        return F.when(fits(nearest, 1), nearest).otherwise(F.get(earlier, F.size(earlier) - 1))["__group"]
+        earlier = F.filter(F.slice(rows, F.lit(1), at), lambda g: fits(g[second], 1))
+        return F.when(fits(nearest[second], 1), nearest).otherwise(F.get(earlier, F.size(earlier) - 1))["__group"]
 
-    group = search(F.col(_TABLE), lambda g: fits(g, 0), group_before)
-    return _finish(df, packed, search(group, lambda r: fits(r, 1), _row_before), outputs, defaults)
+    group = search(F.col(_TABLE), lambda b: fits(b, 0), group_before)
+    return _finish(df, packed, search(group, lambda b: fits(b, 1), _row_before), outputs, defaults)
 
 
 def _finish(
     df: DataFrame, packed: Column, found: Column, outputs: dict[str, str], defaults: dict[str, float] | None
 ) -> DataFrame:
     def value(source: str) -> Column:
-        hit = F.col("__hit")[source]
+        hit = (found if len(outputs) == 1 else F.col("__hit"))[source]
         return F.coalesce(hit, F.lit(defaults[source])) if defaults and source in defaults else hit
 
     kept = [c for c in df.columns if c not in outputs.values()]
     picked = [value(source).alias(target) for source, target in outputs.items()]
     # ``found`` names the table once, so Spark puts the scalar there and makes no column of it.
-    return df.withColumn(_TABLE, packed).withColumn("__hit", found).select(*kept, *picked)
+    known = df.withColumn(_TABLE, packed)
+    return (known if len(outputs) == 1 else known.withColumn("__hit", found)).select(*kept, *picked)
 
 
 def band_lookup(
@@ -140,7 +140,7 @@ def band_lookup(
     def own_bands(rows: Column, at: Column) -> Column:
         return F.when(F.get(rows, at)["__category"] == name, F.get(rows, at)["__bands"])
 
-    curve = search(F.col(_TABLE), lambda r: r["__category"] < name, own_bands)
+    curve = search(F.col(_TABLE), lambda c: c < name, own_bands)
     hits = F.filter(curve, lambda r: (r[lower] <= F.col(score)) & (F.col(score) < r[upper]))
     joined = df.withColumn(_TABLE, packed).withColumn("__hit", F.explode(hits))
     return joined.select(*df.columns, *[F.col("__hit")[c].alias(c) for c in outputs])
