@@ -12,6 +12,18 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, with underscores added while a column of ``taken`` has them."""
+    used = {name.lower() for name in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once per row, also where ``use`` reads it inside a lambda."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

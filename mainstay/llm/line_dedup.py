@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mainstay.llm.columns import BLANKS, let, lower_ascii
+from mainstay.llm.columns import BLANKS, free_names, let, lower_ascii
 from mainstay.scratch import written
 
 # Production values: shorter keys are never repeats.
@@ -101,22 +101,20 @@ def kept_lines(lines: Column, keep: Column) -> Column:
     )
 
 
-def _joined(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    marked = bitmaps.select(
-        F.col("doc_id").alias("_doc"), F.col("_row").alias("_hash"), F.col("keep").alias("_keep")
-    )
-    return docs.join(marked, (docs["doc_id"] == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left")
+def _joined(docs: DataFrame, bitmaps: DataFrame, doc: str = "_doc", row: str = "_hash", keep: str = "_keep") -> DataFrame:
+    marked = bitmaps.select(F.col("doc_id").alias(doc), F.col("_row").alias(row), F.col("keep").alias(keep))
+    return docs.join(marked, (docs["doc_id"] == F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(row)), "left")
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with the lines that the bitmaps drop taken out of text; all rows and columns stay.
 
-    A document that loses all its lines keeps its row with an empty text, as other columns may still be wanted.
+    A document that loses all its lines keeps its row with an empty text, as other columns may still be wanted. Columns
+    may have any names.
     """
-    joined = _joined(docs, bitmaps)
-    text = F.when(F.col("_keep").isNull(), docs["text"]).otherwise(
-        F.array_join(kept_lines(_lines(docs["text"]), F.col("_keep")), "\n")
-    )
+    names = free_names(docs.columns, "_doc", "_hash", "_keep")
+    joined, keep = _joined(docs, bitmaps, *names), F.col(names[-1])
+    text = F.when(keep.isNull(), docs["text"]).otherwise(F.array_join(kept_lines(_lines(docs["text"]), keep), "\n"))
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 

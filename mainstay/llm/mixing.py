@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mainstay.llm.columns import free_names
 from mainstay.scratch import written
 
 # The exponent is a multiple of 1 / STEPS between 0 (all sources alike) and 1 (as found); a pass tries WAYS of them.
@@ -172,15 +173,14 @@ def apply_mix(docs: DataFrame, mixture: DataFrame, group: str = "source") -> Dat
     """``docs`` in the order of the mixture: one row per copy, with the columns of ``docs``, by block and place.
 
     Rows are ranged by (block, place), so partitions follow each other and one block may be several; a row that repeats a
-    document stands beside it.
+    document stands beside it. Columns may have any names.
     """
-    plan = mixture.select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_src"), F.col("_row").alias("_hash"),
-        F.col("block").alias("_block"), F.col("place").alias("_place"),
-    )
+    given = ["doc_id", "source", "_row", "block", "place"]
+    doc, source, row, block, place = names = free_names(docs.columns, "_doc", "_src", "_hash", "_block", "_place")
+    plan = mixture.select(*[F.col(a).alias(b) for a, b in zip(given, names, strict=True)])
     same = (
-        docs["doc_id"].eqNullSafe(F.col("_doc")) & docs[group].eqNullSafe(F.col("_src"))
-        & (F.xxhash64(docs["text"]) == F.col("_hash"))
+        docs["doc_id"].eqNullSafe(F.col(doc)) & docs[group].eqNullSafe(F.col(source))
+        & (F.xxhash64(docs["text"]) == F.col(row))
     )
-    copies = docs.join(plan, same).select(*[docs[c] for c in docs.columns], "_block", "_place")
-    return copies.orderBy("_block", "_place").drop("_block", "_place")
+    copies = docs.join(plan, same).select(*[docs[c] for c in docs.columns], block, place)
+    return copies.orderBy(block, place).drop(block, place)

@@ -365,6 +365,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id; kept is true. Rows that share a doc_id count as one document with several texts, linked where one
     of them is. An empty table gives no rows; columns other than doc_id and text aren't read.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(sketches(docs), "sketches")
     sets = found.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"),

@@ -62,7 +62,7 @@ def document_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             rows = [statistics(value.as_py() or "") for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "stats"])
 
-    return docs.select("doc_id", F.col(text).alias("_text")).mapInArrow(run, "doc_id long, stats array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(run, "doc_id long, stats array<double>")
 
 
 @dataclass

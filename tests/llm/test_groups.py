@@ -241,3 +241,16 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
     encoded = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert sorted(r.n_tokens for r in encoded.collect())[:3] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_take_inner_names_and_integer_ids(spark, stage):
+    """Extra columns named as the operators name their own, and ids of 32 bits: the same rows as without."""
+    rows = [(k, f"word{k % 7} some text that goes on and on for document {k % 9}\nshared line of text", "st"[k % 2]) for k in range(40)]
+    inner = ["_doc", "_hash", "_keep", "_src", "_block", "_place", "_row", "_text", "stats", "bucket", "set_id", "epoch"]
+    plain = documents(spark, rows)
+    wide = plain.withColumn("doc_id", F.col("doc_id").cast("int")).withColumns({name: F.lit("x") for name in inner})
+    run = dict(corpus_pipeline.STAGES)[stage]
+    found = run(spark, wide, FOLDER)
+    assert found.columns == wide.columns
+    assert sorted(map(tuple, found.select(*plain.columns).collect())) == sorted(map(tuple, run(spark, plain, FOLDER).collect()))
