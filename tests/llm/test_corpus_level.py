@@ -189,7 +189,7 @@ def test_phrases_of_long_texts_and_full_filters(spark, monkeypatch):
                 expected.update((lang, " ".join(words[i:i + size])) for i in range(len(words) - size + 1))
         found = Counter()
         for tokens in phrases._stretches(iter(batches), 3):
-            words, n = tokens.counted(size, None, None)
+            _, words, n = tokens.counted(tokens.starts(tokens.inside(size), size), size)
             found.update({(tokens.lang, w): int(k) for w, k in zip(words.to_pylist(), n, strict=True)})
         assert found == expected
     monkeypatch.setattr(phrases, "phrase_filter", lambda known: b"\xff" * (phrases.FILTER_BITS // 8))
@@ -199,7 +199,12 @@ def test_phrases_of_long_texts_and_full_filters(spark, monkeypatch):
 
 def test_filter_knows_its_phrases(spark):
     rows = [("en", "a b"), ("de", "a b"), ("en", "c"), ("xx", "d e f")]
-    bits = phrases.phrase_filter(spark.createDataFrame(rows, "lang string, phrase string").repartition(2))
+
+    def hash_of(lang, *words):
+        return phrases._mixed([phrases._word_hashes(lang, [w.encode()]) for w in words])
+
+    hashes = [(int(hash_of(lang, *phrase.split(" ")).view(np.int64)[0]),) for lang, phrase in rows]
+    bits = phrases.phrase_filter(spark.createDataFrame(hashes, "hash long").repartition(2))
 
     class Packed:
         value = bits
@@ -207,12 +212,32 @@ def test_filter_knows_its_phrases(spark):
     known = phrases._Filter(Packed)
 
     def passes(lang, *words):
-        return bool(known.passes(phrases._mixed([phrases._word_hashes(lang, [w.encode()]) for w in words]))[0])
+        return bool(known.passes(hash_of(lang, *words))[0])
 
     assert all(passes(lang, *phrase.split(" ")) for lang, phrase in rows)
     assert not any(passes("en", *p.split(" ")) for p in ("b a", "a", "d e f", "a b c"))
 
 
+def test_proposals_add_up_equal_hashes():
+    held = [np.array([7, 2**63 + 1, 7], np.uint64), np.array([], np.uint64), np.array([2**63 + 1], np.uint64)]
+    rows = [row for batch in phrases._proposals(phrases.LOCAL, held) for row in batch.to_pylist()]
+    assert rows == [
+        {"code": phrases.LOCAL, "hash": 7, "key": None, "n": 2}, {"code": phrases.LOCAL, "hash": 1 - 2**63, "key": None, "n": 2},
+    ]
+
+
+def test_starts_of_proposals_keep_to_pieces():
+    """Neighbouring known parts make a proposal, not those of two pieces or of the context alone."""
+    class All:
+        def passes(self, hashes):
+            return np.ones(len(hashes), bool)
+
+    tokens = phrases._Tokens("en", b"a b c\nd e", 2)
+    for size, expected in ((1, [1, 4]), (2, [0])):
+        passing = tokens.passing(size, All())
+        assert tokens.starts(passing[:-1] & passing[1:], size + 1).tolist() == expected
+
+
 def test_phrase_edges(spark):
     assert phrases.collocations(phrase_table(spark, [])).count() == 0
     assert phrases.collocations(phrase_table(spark, [("en", "only once here"), (None, None)])).count() == 0
