@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,23 +71,19 @@ def polygon_edges(parts: Column) -> Column:
     return F.flatten(F.transform(parts, lambda ring: F.transform(_pairs(ring), edge)))
 
 
-def point_in_area(px: Column, py: Column, edges: Column) -> Column:
-    """Inside or on the border of a polygon, by counting the edges right of the point.
+def crossed_right(e: Column, px: Column, py: Column) -> Column:
+    """True where a ray from the point to the right crosses the edge.
 
-    An odd count is inside: holes and islands need no special case.
+    An odd number of crossed edges is inside: holes and islands need no special case.
     """
+    spans = (e["y1"] > py) != (e["y2"] > py)
+    at = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
+    return spans & (px < at)
 
-    def crossed(e: Column) -> Column:
-        spans = (e["y1"] > py) != (e["y2"] > py)
-        at = e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        return spans & (px < at)
-
-    def on_border(e: Column) -> Column:
-        side = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
-        return (side == 0) & _in_box(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
 
-    odd = F.size(F.filter(edges, crossed)) % 2 == 1
-    return odd | F.exists(edges, on_border)
+def on_border(e: Column, px: Column, py: Column) -> Column:
+    side = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
+    return (side == 0) & _in_box(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
 
 
 def piece_meets_border(x1: Column, y1: Column, x2: Column, y2: Column, edges: Column) -> Column:
@@ -94,13 +92,13 @@ def piece_meets_border(x1: Column, y1: Column, x2: Column, y2: Column, edges: Co
 
 
 def length_inside(
-    x1: Column, y1: Column, x2: Column, y2: Column, edges: Column, start: Column | float = 0.0, end: Column | float = 1.0
+    x1: Column, y1: Column, x2: Column, y2: Column, edges: Column, start: Column, end: Column,
+    inside: Callable[[Column, Column], Column],
 ) -> Column:
     """Length of a line piece inside a polygon, between two shares of its way.
 
-    The piece is cut where it meets an edge; the parts whose middle lies inside add up.
+    The piece is cut where it meets an edge; the parts whose middle lies ``inside`` add up.
     """
-    start, end = (v if isinstance(v, Column) else F.lit(v) for v in (start, end))
     dx, dy = x2 - x1, y2 - y1
 
     def cut(e: Column) -> Column:
@@ -114,10 +112,10 @@ def length_inside(
     stops = F.array_sort(F.array_distinct(F.concat(F.array(start, end), cuts)))
     parts = _pairs(stops)
 
-    def inside(p: Column) -> Column:
+    def counted(p: Column) -> Column:
         middle = (p["a"] + p["b"]) / 2.0
-        return F.when(point_in_area(x1 + middle * dx, y1 + middle * dy, edges), p["b"] - p["a"]).otherwise(0.0)
+        return F.when(inside(x1 + middle * dx, y1 + middle * dy), p["b"] - p["a"]).otherwise(0.0)
 
-    share = F.aggregate(F.transform(parts, inside), F.lit(0.0), lambda acc, v: acc + v)
+    share = F.aggregate(F.transform(parts, counted), F.lit(0.0), lambda acc, v: acc + v)
     return share * F.sqrt(dx * dx + dy * dy)
 

@@ -19,15 +19,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainstay.functions.geometry import (
-    length_inside, piece_meets_border, pieces_distance, point_in_area, point_segment_distance, polygon_edges,
-)
+from mainstay.functions.geometry import length_inside, piece_meets_border, pieces_distance, point_segment_distance
+from mainstay.operators.coverage import CELL, area_cells, cell_size, inside_cell, piece_cells, place_cells
 from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import shares_node
 
 MIN_CELL = 100.0
 LONG_EDGE = 1000.0
-BAND = 100.0
 _BOX = ["__bx1", "__by1", "__bx2", "__by2"]
 _CELLS = ["__cx", "__cy"]
 
@@ -168,9 +166,10 @@ def _at_level(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _numbered(polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Polygons with a key of their own, as one feature may have several; equal rows count once."""
+    """Polygons with a key and a cell size of their own, as one feature may have several; equal rows count once."""
     key = F.xxhash64("feature_id", *extra, "parts")
-    return polygons.select(key.alias("__pid"), "feature_id", *extra, "parts").dropDuplicates(["__pid"])
+    numbered = polygons.select(key.alias("__pid"), "feature_id", *extra, "parts").dropDuplicates(["__pid"])
+    return numbered.withColumn("__size", cell_size(F.col("parts")))
 
 
 def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
@@ -192,42 +191,22 @@ def polygon_candidates(boxes: DataFrame, polygons: DataFrame) -> DataFrame:
     return pairs.filter(overlap).drop("__px1", "__py1", "__px2", "__py2")
 
 
-def _band(y: Column) -> Column:
-    return F.floor(y / BAND)
-
-
-def _edge_bands(polygons: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(__pid, __band, __edges): the edges of each polygon that reach a level band, for bands with segments.
+def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Segment and polygon pairs that meet, with the length inside: id, feature_id, extra, length_inside.
 
-    Whatever is asked about a point or piece inside a band, its crossings as well as the edges to its right, only
-    the edges that reach the band count. So a border with very many corners is met by a small part at a time.
+    A piece meets the polygon's own cells along its course; each cell answers for the part of the way inside it.
     """
-    reach = boxes.agg(F.struct(F.min("__by1").alias("low"), F.max("__by2").alias("high"))).scalar()
-    edges = polygons.select("__pid", F.explode(polygon_edges(F.col("parts"))).alias("e"))
-    first = F.greatest(_band(F.least("e.y1", "e.y2")), _band(reach["low"]))
-    last = F.least(_band(F.greatest("e.y1", "e.y2")), _band(reach["high"]))
-    spread = edges.filter(first <= last).withColumn("__band", F.explode(F.sequence(first, last)))
-    return spread.groupBy("__pid", "__band").agg(F.collect_list("e").alias("__edges"))
-
-
-def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Segment and polygon pairs that meet, with the length inside: id, feature_id, extra, length_inside."""
     areas = _numbered(polygons, extra)
     boxes = with_box(split_edges(seg.select("id", "x1", "y1", "x2", "y2"), LONG_EDGE))
-    x1, y1, x2, y2 = piece = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
-    pairs = polygon_candidates(boxes, areas).withColumn(
-        "__band", F.explode(F.sequence(_band(F.least("y1", "y2")), _band(F.greatest("y1", "y2"))))
-    )
-    edges = F.col("__edges")
-    local = pairs.join(_edge_bands(areas, boxes), ["__pid", "__band"])
-    # The part of the piece inside the band, as shares of its way; a level piece lies in one band.
-    rise = F.nullif(y2 - y1, F.lit(0.0))
-    ends = [F.least(F.greatest(b, F.lit(0.0)), F.lit(1.0)) for b in ((F.col("__band") * BAND - y1) / rise, ((F.col("__band") + 1) * BAND - y1) / rise)]
-    start, end = F.when(y1 == y2, 0.0).otherwise(F.least(*ends)), F.when(y1 == y2, 1.0).otherwise(F.greatest(*ends))
-    starts_inside = (F.col("__band") == _band(y1)) & point_in_area(x1, y1, edges)
+    piece, edges = [F.col(c) for c in ("x1", "y1", "x2", "y2")], F.col("__edges")
+    pairs = piece_cells(polygon_candidates(boxes, areas))
+    local = pairs.join(area_cells(areas), CELL)
+    x1, y1 = piece[:2]
+    first = (F.col("__cx") == F.floor(x1 / F.col("__size"))) & (F.col("__cy") == F.floor(y1 / F.col("__size")))
+    length = length_inside(*piece, edges, F.col("__from"), F.col("__to"), inside_cell)
     found = local.select(
-        "id", "feature_id", *extra, (starts_inside | piece_meets_border(*piece, edges)).alias("__met"),
-        length_inside(*piece, edges, start, end).alias("__inside"),
+        "id", "feature_id", *extra, ((first & inside_cell(x1, y1)) | piece_meets_border(*piece, edges)).alias("__met"),
+        F.when(F.col("__from") < F.col("__to"), length).otherwise(0.0).alias("__inside"),
     )
     sums = found.groupBy("id", "feature_id", *extra).agg(F.max("__met").alias("__met"), F.sum("__inside").alias("length_inside"))
     return sums.filter("__met").drop("__met")
@@ -236,10 +215,9 @@ def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()
 def start_point_in(starts: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Ids whose start point (x, y) lies in any polygon, with the polygon's ``extra`` columns."""
     areas = _numbered(polygons, extra)
-    boxes = with_box(starts.select("id", "x", "y"))
-    pairs = polygon_candidates(boxes, areas).withColumn("__band", _band(F.col("y")))
-    local = pairs.join(_edge_bands(areas, boxes), ["__pid", "__band"])
-    return local.filter(point_in_area(F.col("x"), F.col("y"), F.col("__edges"))).select("id", *extra).distinct()
+    pairs = place_cells(polygon_candidates(with_box(starts.select("id", "x", "y")), areas))
+    local = pairs.join(area_cells(areas), CELL)
+    return local.filter(inside_cell(F.col("x"), F.col("y"))).select("id", *extra).distinct()
 
 
 def count_within(seg: DataFrame, points: DataFrame, d: float, extra: Sequence[str] = ()) -> DataFrame:

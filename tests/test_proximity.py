@@ -156,3 +156,69 @@ def test_border_with_very_many_corners(spark):
     starts = spark.createDataFrame([(k, x, y) for k, x, y, _, _ in segs], "id long, x double, y double")
     inside = {row.id for row in X.start_point_in(starts, area).collect()}
     assert inside == {k for k, x, y, _, _ in segs if math.hypot(x, y) < r}
+
+
+def plain_inside(px, py, rings):
+    odd = False
+    for ring_ in rings:
+        for (ax, ay), (bx, by) in zip(ring_, ring_[1:]):
+            if (ay > py) != (by > py) and px < ax + (py - ay) * (bx - ax) / (by - ay):
+                odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("corners", [5, 60, 900])
+def test_cells_of_ragged_polygons(spark, corners):
+    """Ragged rings with a hole, some corners on the lines between cells, against a ray over all edges."""
+    rng = random.Random(corners)
+
+    def ragged(x, y, least, most):
+        ways = sorted(rng.uniform(0, 2 * math.pi) for _ in range(corners))
+        around = [(x + rng.uniform(least, most) * math.cos(w), y + rng.uniform(least, most) * math.sin(w)) for w in ways]
+        snapped = [(round(a / 8) * 8.0, round(b / 8) * 8.0) if rng.random() < 0.4 else (a, b) for a, b in around]
+        return [*snapped, snapped[0]]
+
+    rings = [ragged(7_650_000.0, 680_000.0, 800, 2000), ragged(7_650_000.0, 680_000.0, 100, 600)]
+    schema = "feature_id long, parts array<array<struct<x:double,y:double>>>"
+    area = spark.createDataFrame([(1, rings)], schema)
+    places = [(7_650_000 + rng.uniform(-2200, 2200), 680_000 + rng.uniform(-2200, 2200)) for _ in range(800)]
+    places += [(7_650_000.0 + 8 * rng.randint(-250, 250), 680_000.0 + 8 * rng.randint(-250, 250)) for _ in range(800)]
+    starts = spark.createDataFrame([(k, *p) for k, p in enumerate(places)], "id long, x double, y double")
+    found = {row.id for row in X.start_point_in(starts, area).collect()}
+    edges = [(*a, *b) for r in rings for a, b in zip(r, r[1:])]
+    for k, (x, y) in enumerate(places):
+        if not any(point_distance(x, y, e) == 0 for e in edges):
+            assert (k in found) == plain_inside(x, y, rings)
+
+    segs = [(k, x, y, x + rng.uniform(-300, 300), y + rng.choice([0.0, rng.uniform(-300, 300)])) for k, (x, y) in enumerate(places[:60])]
+    lengths = {row.id: row.length_inside for row in X.polygon_pairs(spark.createDataFrame(segs, EDGE), area).collect()}
+    for k, x1, y1, x2, y2 in segs:
+        cuts = [0.0, 1.0]
+        for ax, ay, bx, by in edges:
+            cross = (x2 - x1) * (by - ay) - (y2 - y1) * (bx - ax)
+            if cross:
+                t = ((ax - x1) * (by - ay) - (ay - y1) * (bx - ax)) / cross
+                u = ((ax - x1) * (y2 - y1) - (ay - y1) * (x2 - x1)) / cross
+                cuts += [t] if 0 < t < 1 and 0 <= u <= 1 else []
+        cuts.sort()
+        middles = [((a + b) / 2, b - a) for a, b in zip(cuts, cuts[1:])]
+        share = sum(d for m, d in middles if plain_inside(x1 + m * (x2 - x1), y1 + m * (y2 - y1), rings))
+        assert lengths.get(k, 0.0) == pytest.approx(share * math.hypot(x2 - x1, y2 - y1), abs=1e-4)
+
+
+def test_million_corners_in_one_row_of_cells(spark, tmp_path):
+    """A comb of 250,000 teeth, 100 ft high: every second half foot is a tooth."""
+    teeth = 250_000
+    top = F.transform(F.sequence(F.col("id"), F.col("id") + 4 * teeth - 1), lambda k: F.struct(
+        (F.floor(k / 4) + F.when(k % 4 >= 2, 0.5).otherwise(0.0)).cast("double").alias("x"),
+        F.when((k % 4 == 1) | (k % 4 == 2), 100.0).otherwise(10.0).alias("y"),
+    ))
+    foot = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((float(teeth), 0.0), (0.0, 0.0), (0.0, 10.0))])
+    area = spark.range(1).select(F.col("id").alias("feature_id"), F.array(F.concat(top, foot)).alias("parts"))
+    area.write.parquet(f"{tmp_path}/comb")
+    area = spark.read.parquet(f"{tmp_path}/comb")
+    segs = [(k, 1000.0 * k + 0.25, 50.0, 1000.0 * k + 20.25, 50.0) for k in range(240)] + [(900, 10.75, 50.0, 10.75, 5.0)]
+    found = {row.id: row.length_inside for row in X.polygon_pairs(spark.createDataFrame(segs, EDGE), area).collect()}
+    assert found == pytest.approx({k: 10.0 for k in range(240)} | {900: 5.0})
+    starts = spark.createDataFrame([(k, k + 0.25 + 0.5 * (k % 2), 60.0) for k in range(0, 250_000, 777)], "id long, x double, y double")
+    assert {row.id for row in X.start_point_in(starts, area).collect()} == {k for k in range(0, 250_000, 777) if k % 2 == 0}
