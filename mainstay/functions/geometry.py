@@ -91,14 +91,10 @@ def piece_meets_border(x1: Column, y1: Column, x2: Column, y2: Column, edges: Co
     return F.exists(edges, lambda e: pieces_cross((x1, y1, x2, y2), (e["x1"], e["y1"], e["x2"], e["y2"])))
 
 
-def length_inside(
-    x1: Column, y1: Column, x2: Column, y2: Column, edges: Column, start: Column, end: Column,
-    inside: Callable[[Column, Column], Column],
+def cut_stops(
+    x1: Column, y1: Column, x2: Column, y2: Column, edges: Column, start: Column, end: Column
 ) -> Column:
-    """Length of a line piece inside a polygon, between two shares of its way.
-
-    The piece is cut where it meets an edge; the parts whose middle lies ``inside`` add up.
-    """
+    """Where a line piece meets edges, as shares of its way, with the two shares it is asked between."""
     dx, dy = x2 - x1, y2 - y1
 
     def cut(e: Column) -> Column:
@@ -109,13 +105,21 @@ def length_inside(
         return F.when((t > start) & (t < end) & (u >= 0) & (u <= 1), t)
 
     cuts = F.array_compact(F.transform(edges, cut))
-    stops = F.array_sort(F.array_distinct(F.concat(F.array(start, end), cuts)))
-    parts = _pairs(stops)
+    return F.array_sort(F.array_distinct(F.concat(F.array(start, end), cuts)))
+
+
+def length_inside(
+    x1: Column, y1: Column, x2: Column, y2: Column, stops: Column, inside: Callable[[Column, Column], Column]
+) -> Column:
+    """Length of a line piece inside a polygon: its parts between ``stops`` whose middle lies ``inside`` add up.
+
+    ``stops`` is read several times, so it should be a column, not an expression.
+    """
+    dx, dy = x2 - x1, y2 - y1
 
     def counted(p: Column) -> Column:
         middle = (p["a"] + p["b"]) / 2.0
         return F.when(inside(x1 + middle * dx, y1 + middle * dy), p["b"] - p["a"]).otherwise(0.0)
 
-    share = F.aggregate(F.transform(parts, counted), F.lit(0.0), lambda acc, v: acc + v)
+    share = F.aggregate(F.transform(_pairs(stops), counted), F.lit(0.0), lambda acc, v: acc + v)
     return share * F.sqrt(dx * dx + dy * dy)
-

@@ -76,28 +76,33 @@ def _line_cells(e: Column, size: Column) -> Column:
 
 
 def area_cells(areas: DataFrame) -> DataFrame:
-    """(__pid, __cx, __cy, __edges, __corner): all cells of all polygons (__pid, __size, parts).
+    """(__pid, __cx, __cy, __edges, __odd): the cells of all polygons (__pid, __size, parts) that aren't outside as a whole.
 
-    __edges are the edges that pass the cell (none in cells that are inside or outside as a whole), __corner tells whether its
-    lower right corner is inside. There are as many cells as corners, at most, and a few for each polygon.
+    __edges are the edges that pass the cell, none in cells that are inside as a whole. __odd tells whether the number of
+    edges elsewhere that a ray from the cell's lower right corner crosses is odd. There are as many cells as corners, at
+    most, and a few for each polygon.
     """
     edges = areas.select("__pid", "__size", F.explode(polygon_edges(F.col("parts"))).alias("e"))
     size = F.col("__size")
     found = F.concat(_edge_cells(F.col("e"), size), _line_cells(F.col("e"), size))
-    border = edges.select("__pid", F.explode(found).alias("c")).select("__pid", "c.cx", "c.cy", "c.e", "c.n")
+    border = edges.select("__pid", "__size", F.explode(found).alias("c")).select("__pid", "__size", "c.cx", "c.cy", "c.e", "c.n")
     # The outline is measured once, before it is spread: above the explode it would be measured for every column.
     names = ["__low_x", "__low_y", "__high_x", "__high_y"]
     bounds = areas.select("__pid", "__size", *[v.alias(n) for n, v in zip(names, _extent(F.col("parts")))])
     grid = (
         bounds.withColumn("cx", F.explode(_steps(F.col("__low_x"), F.col("__high_x"), size)))
-        .select("__pid", "cx", F.explode(_steps(F.col("__low_y"), F.col("__high_y"), size)).alias("cy"))
+        .select("__pid", "__size", "cx", F.explode(_steps(F.col("__low_y"), F.col("__high_y"), size)).alias("cy"))
     )
-    cells = border.unionByName(grid, allowMissingColumns=True).groupBy("__pid", "cx", "cy").agg(
+    cells = border.unionByName(grid, allowMissingColumns=True).groupBy("__pid", "__size", "cx", "cy").agg(
         F.collect_list("e").alias("__edges"), F.coalesce(F.sum("n"), F.lit(0)).alias("__n")
     )
     right = Window.partitionBy("__pid", "cy").orderBy(F.desc("cx")).rowsBetween(Window.unboundedPreceding, -1)
-    corner = F.coalesce(F.sum("__n").over(right), F.lit(0)) % 2 == 1
-    return cells.select("__pid", F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "__edges", corner.alias("__corner"))
+    corner = (F.col("cx") + 1) * size, F.col("cy") * size
+    own = F.size(F.filter("__edges", lambda e: crossed_right(e, *corner)))
+    counted = cells.withColumn("__right", F.coalesce(F.sum("__n").over(right), F.lit(0))).select(
+        "__pid", F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "__edges", ((F.col("__right") + own) % 2 == 1).alias("__odd")
+    )
+    return counted.filter(F.col("__odd") | (F.size("__edges") > 0))
 
 
 def piece_cells(pieces: DataFrame) -> DataFrame:
@@ -136,9 +141,8 @@ def inside_cell(px: Column, py: Column) -> Column:
         return (x > corner_x) & ((y > py) != (y > corner_y))
 
     def changes(e: Column) -> Column:
-        on_way = crossed_right(e, px, py) != crossed_right(e, corner_x, corner_y)
-        return on_way != (passed(e["x1"], e["y1"]) != passed(e["x2"], e["y2"]))
+        return crossed_right(e, px, py) != (passed(e["x1"], e["y1"]) != passed(e["x2"], e["y2"]))
 
     edges = F.col("__edges")
     odd = F.size(F.filter(edges, changes)) % 2 == 1
-    return (odd != F.col("__corner")) | F.exists(edges, lambda e: on_border(e, px, py))
+    return (odd != F.col("__odd")) | F.exists(edges, lambda e: on_border(e, px, py))

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mainstay.functions.geometry import length_inside, piece_meets_border, pieces_distance, point_segment_distance
+from mainstay.functions.geometry import cut_stops, length_inside, piece_meets_border, pieces_distance, point_segment_distance
 from mainstay.operators.coverage import CELL, area_cells, cell_size, inside_cell, piece_cells, place_cells
 from mainstay.operators.skew import HotKeys, attach
 from mainstay.operators.tables import shares_node
@@ -203,8 +203,8 @@ def polygon_pairs(seg: DataFrame, polygons: DataFrame, extra: Sequence[str] = ()
     local = pairs.join(area_cells(areas), CELL)
     x1, y1 = piece[:2]
     first = (F.col("__cx") == F.floor(x1 / F.col("__size"))) & (F.col("__cy") == F.floor(y1 / F.col("__size")))
-    length = length_inside(*piece, edges, F.col("__from"), F.col("__to"), inside_cell)
-    found = local.select(
+    length = length_inside(*piece, F.col("__stops"), inside_cell)
+    found = local.withColumn("__stops", cut_stops(*piece, edges, F.col("__from"), F.col("__to"))).select(
         "id", "feature_id", *extra, ((first & inside_cell(x1, y1)) | piece_meets_border(*piece, edges)).alias("__met"),
         F.when(F.col("__from") < F.col("__to"), length).otherwise(0.0).alias("__inside"),
     )
