@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from mainstay.checks.common import Query
 from mainstay.scratch import shared_folder
+from mainstay.sources import standing
 from mainstay.sources import tables as S
 
 Q: dict[str, Query] = {}
@@ -92,3 +93,20 @@ Q["s7_views_on_views"] = _viewed
 SQL["s7_views_on_views"] = """
 SELECT s.compkey, count(*) AS cuts, max(f.length) AS first_length FROM seg s JOIN seg f ON f.compkey = s.compkey AND f.cutno = 1 GROUP BY s.compkey
 """
+
+
+def _renewed(v):
+    path = _path(v, "standing")
+    standing.publish(_rows(v), path, "cutno = 0", buckets=16)
+    # The run over the subset gives its pipes twice the length and no longer has their first piece.
+    run = _rows(v).filter("cutno <> 1").selectExpr("id", "compkey", "cutno", "length * 2 AS length")
+    standing.renew(run, v("chg").select("compkey"), path, "cutno = 0")
+    return standing.read_standing(v.spark, path)
+
+
+Q["s8_renew_subset"] = _renewed
+SQL["s8_renew_subset"] = """
+SELECT id, compkey, cutno, length FROM seg WHERE compkey NOT IN (SELECT compkey FROM chg WHERE compkey IS NOT NULL)
+UNION ALL
+SELECT id, compkey, cutno, length * 2 AS length FROM seg WHERE cutno <> 1 AND compkey IN (SELECT compkey FROM chg)
+"""
