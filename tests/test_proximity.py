@@ -222,3 +222,28 @@ def test_million_corners_in_one_row_of_cells(spark, tmp_path):
     assert found == pytest.approx({k: 10.0 for k in range(240)} | {900: 5.0})
     starts = spark.createDataFrame([(k, k + 0.25 + 0.5 * (k % 2), 60.0) for k in range(0, 250_000, 777)], "id long, x double, y double")
     assert {row.id for row in X.start_point_in(starts, area).collect()} == {k for k in range(0, 250_000, 777) if k % 2 == 0}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_features_are_never_broadcast(spark):
+    segs = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 0.0)], EDGE)
+    points = spark.createDataFrame([(1, 5.0, 3.0)], POINT)
+    lines = spark.createDataFrame([(1, 5.0, -5.0, 5.0, 5.0)], LINE)
+    corner = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
+    ring = F.array(*[corner(*c) for c in ((0.0, -5.0), (9.0, -5.0), (9.0, 5.0), (0.0, 5.0), (0.0, -5.0))])
+    areas = spark.range(1).select(F.col("id").alias("feature_id"), F.array(ring).alias("parts"))
+    found = [X.point_pairs(segs, points, 5.0), X.line_pairs(segs, lines, 5.0), X.polygon_pairs(segs, areas)]
+    for pairs in found:
+        assert "BroadcastHashJoin" not in _plan(pairs)
+        assert pairs.count() == 1
+
+
+def test_segments_out_of_reach_are_left_out(spark):
+    segs = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 0.0), (2, 0.0, 15.0, 10.0, 15.0), (3, 0.0, 900.0, 10.0, 900.0)], EDGE)
+    points = spark.createDataFrame([(1, 5.0, 10.0)], POINT)
+    assert sorted(r.id for r in X.within_reach(segs, points, 10.0).collect()) == [1, 2]
+    assert sorted(r.id for r in X.point_pairs(segs, points, 10.0).collect()) == [1, 2]
+    assert X.within_reach(segs, points.limit(0), 10.0).count() == 0
