@@ -9,6 +9,8 @@ from mainstay.checks.common import NUDGE, Query, YEAR, rounded
 from mainstay.operators import costs as K
 from mainstay.operators import durations as D
 from mainstay.operators import windows as W
+from mainstay.operators.skew import hot_keys
+from mainstay.session import cut_lineage
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -464,10 +466,13 @@ FROM jobs j JOIN times t ON t.id = j.id LEFT JOIN wholexp x ON x.compkey = j.com
 
 
 def _final(v):
-    hours, xp = _hours(v), v("wholexp")
-    pro, rea = _pro(v), _rea(v)
-    a = W.final_times(pro, W.line_at_year(pro, YEAR, hot=v.hot("seg")), hours, xp).withColumn("form", F.lit("proactive"))
-    b = W.final_times(rea, W.line_at_year(rea, None, hot=v.hot("seg")), hours, xp).withColumn("form", F.lit("reactive"))
+    # As in the full run, what both forms read several times is made once.
+    hours, xp = cut_lineage(_hours(v)), v("wholexp")
+    scored = cut_lineage(v("scored").select("compkey", "cutno", "fail_yr_seg", "def_tot"))
+    hot = hot_keys(scored, ["compkey"])
+    pro, rea = W.windows_proactive(scored, YEAR), W.windows_reactive(scored, YEAR, hot=hot)
+    a = W.final_times(pro, W.line_at_year(pro, YEAR, hot=hot), hours, xp).withColumn("form", F.lit("proactive"))
+    b = W.final_times(rea, W.line_at_year(rea, None, hot=hot), hours, xp).withColumn("form", F.lit("reactive"))
     return rounded(a.unionByName(b), ["spot_time_a", "line_time_b", "whole_time", "line_time_a"])
 
 

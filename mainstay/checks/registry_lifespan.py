@@ -8,6 +8,8 @@ from mainstay import params as P
 from mainstay.checks.common import Query, SEVERE, SEVERE_SQL, YEAR, rounded
 from mainstay.checks.registry_basics import tail_sql
 from mainstay.operators import lifespan as L
+from mainstay.operators.skew import hot_keys
+from mainstay.session import cut_lineage
 
 Q: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -84,7 +86,10 @@ summ AS (SELECT b.compkey, b.segments, b.cof, b.replacecost, b.linercost, coales
 
 
 def _summary(v):
-    return L.pipe_summary(_stamped(v), v("latest"), _ledger(v), SEVERE, _hot(v, "latest"))
+    # As in the full run, segments and observations are made once for the steps that read them.
+    seg, latest = cut_lineage(_stamped(v)), cut_lineage(v("latest"))
+    hot = hot_keys(latest, ["compkey"])
+    return L.pipe_summary(seg, latest, L.defect_ledger(seg, latest, v("peak"), hot), SEVERE, hot)
 
 
 Q["d21_pipe_summary"] = lambda v: rounded(_summary(v), ["cof", "replacecost", "linercost"], 3)
