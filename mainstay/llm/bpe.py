@@ -16,9 +16,9 @@ from mainstay.llm.pretokens import SPECIAL, byte_level, parts, pretokens, tokeni
 
 END = "</w>"
 # A worker keeps its words in two generations of about this many bytes; the older one goes when the younger is full.
-CACHE = 16 << 20
+CACHE = 8 << 20
 # Texts are taken in chunks of about this many characters, a longer one in parts; ids are decoded in runs of DECODED.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 DECODED = 1 << 18
 # Bytes of a remembered word besides its letters and ids.
 ENTRY = 200
