@@ -54,6 +54,11 @@ def read_standing(spark: SparkSession, path: str, columns: StructType | None = N
     return found.drop(*PARTITIONS)
 
 
+def _of_pipes(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    # A task holds its part of the keys alone; rows pass by and are never sorted, however many a pipe has.
+    return rows.join(keys.hint("shuffle_hash"), "compkey", how)
+
+
 def renew(rows: DataFrame, subset: DataFrame, path: str, grain: Column | str) -> None:
     """Put the rows of the pipes in ``subset`` in place of those the table has of them.
 
@@ -62,8 +67,9 @@ def renew(rows: DataFrame, subset: DataFrame, path: str, grain: Column | str) ->
     never in a subset. A table without rows is published anew.
     """
     spark = rows.sparkSession
-    keys = subset.select(F.col("compkey").cast("long").alias("compkey")).dropna().distinct()
-    taken = rows.join(keys, "compkey", "left_semi")
+    # Read three times: to choose the buckets, the rows that stay and those that come.
+    keys = written(subset.select(F.col("compkey").cast("long").alias("compkey")).dropna().distinct(), "subset")
+    taken = _of_pipes(rows, keys, "left_semi")
     standing = _table(spark, path, rows.schema)
     first = standing.select(NUMBER).first()
     if first is None:
@@ -72,8 +78,9 @@ def renew(rows: DataFrame, subset: DataFrame, path: str, grain: Column | str) ->
     number = first[NUMBER]
     columns = rows.columns
     buckets = keys.select(_bucket(F.lit(number)).alias(BUCKET)).distinct()
-    touched = standing.join(buckets, BUCKET, "left_semi")
-    kept = touched.join(keys, "compkey", "left_anti").select(*columns, *PARTITIONS)
+    # One row for each bucket at most; without the hint the whole table is shuffled before Spark knows that.
+    touched = standing.join(F.broadcast(buckets), BUCKET, "left_semi")
+    kept = _of_pipes(touched, keys, "left_anti").select(*columns, *PARTITIONS)
     # The table can't be read while it is overwritten, so the new rows are written aside first.
     renewed = written(kept.unionByName(_placed(taken.select(*columns), grain, number)), "renewed")
     # At most two partitions for each bucket, so the lists are small.
