@@ -534,6 +534,10 @@ UNION ALL SELECT id, lateral_count, round(replacecost, 3) AS replacecost, round(
 
 
 def _finished(v):
+    # Scores, jobs, sites and manholes all read the segments: one copy serves them, with the columns that are read.
+    seg = ["id", "compkey", "cutno", "fm", "to_", "length", "diamwidth", "replacecost"]
+    v.written_once("scored", only=[*seg, "action", "spot_count", "linercost"])
+    v.read_from("seg", "scored", seg)
     seg, pipes = _applied(v)
     manholes = _manhole_whole(v).select("id", "manhole").unionByName(
         v("site").filter("cutno = 1").select("id", F.col("length").alias("manhole"))
